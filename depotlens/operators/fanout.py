@@ -7,47 +7,68 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-PAIRS_PER_SLICE = 4_000_000
+PAIRS_PER_BLOCK = 4_000_000
 
 
 def fan_out_join(
     left: DataFrame,
     right: DataFrame,
     key: str,
-    spread_by: Sequence[str],
+    left_id: Sequence[str],
+    right_id: Sequence[str],
+    carry: Sequence[str],
     how: str = "left",
-    pairs_per_slice: int = PAIRS_PER_SLICE,
+    pairs_per_block: int = PAIRS_PER_BLOCK,
 ) -> DataFrame:
-    """``left`` joined to ``right`` on ``key``, keys with many pairs cut into slices.
-
-    Adaptive execution splits partitions by their input bytes. Here the input of
-    a hot key is small and its output large, so the split goes by counted pairs:
-    the left rows of a hot key are dealt to slices by a hash of ``spread_by``, and
-    its right rows are repeated once per slice. Every pair still meets exactly
-    once, and for a left join each left row lives in one slice only, so an
-    unmatched row stays single. Keys below the limit have one slice."""
+    """``left`` with the ``carry`` columns of every ``right`` row of the same ``key``.
+
+    Adaptive execution splits partitions by their input bytes. Here a hot key has
+    little input and much output, so its pairs are counted and cut into a grid of
+    blocks: the left rows are dealt to strips by a hash of ``left_id``, the right
+    rows to bands by a hash of ``right_id``, and each row is repeated along the
+    other direction. Every pair meets in exactly one block. Other keys stay whole.
+
+    Only keys with rows on both sides are cut, so a left row without partner in
+    one of its blocks has partners in another, and the empty block is dropped."""
     if how not in ("inner", "left"):
         raise ValueError(f"fan_out_join supports inner and left joins, not {how!r}")
-    slices = _slices(left, right, key, pairs_per_slice)
-    known = F.coalesce(F.col("__slices"), F.lit(1))
-    dealt = left.join(slices, key, "left").withColumn(
-        "__slice", F.pmod(F.xxhash64(*spread_by), known).cast("int")
+    grid = _grid(left, right, key, pairs_per_block)
+    strips, bands = (F.coalesce(F.col(c), F.lit(1)) for c in ("__strips", "__bands"))
+    cut = F.col("__strips").isNotNull().alias("__cut")
+    blocks = [key, "__strip", "__band"]
+
+    left_rows = left.join(grid, key, "left").select(
+        *left.columns, cut, _dealt(left_id, strips).alias("__strip"), _each(bands).alias("__band")
+    )
+    right_rows = right.join(grid, key, "left").select(
+        key, *carry, _each(strips).alias("__strip"), _dealt(right_id, bands).alias("__band")
     )
-    repeated = right.join(slices, key, "left").withColumn(
-        "__slice", F.explode(F.sequence(F.lit(0), (known - 1).cast("int")))
+    # a fixed number of partitions, as merging small ones would undo the cut
+    partitions = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    paired = left_rows.repartition(partitions, *blocks).join(
+        right_rows.withColumn("__met", F.lit(True)), blocks, how
     )
-    joined = dealt.drop("__slices").join(repeated.drop("__slices"), [key, "__slice"], how)
-    return joined.drop("__slice")
+    kept = paired.where(F.col("__met").isNotNull() | ~F.col("__cut")) if how == "left" else paired
+    return kept.select(*left.columns, *carry)
+
+
+def _dealt(columns: Sequence[str], shares: Column) -> Column:
+    return F.pmod(F.xxhash64(*columns), shares).cast("int")
+
+
+def _each(shares: Column) -> Column:
+    return F.explode(F.sequence(F.lit(0), shares - 1))
 
 
-def _slices(left: DataFrame, right: DataFrame, key: str, pairs_per_slice: int) -> DataFrame:
-    """Slice count of the hot keys only: at most total pairs / ``pairs_per_slice`` rows."""
-    pairs: Column = F.col("__left_rows") * F.col("__right_rows")
-    wanted = F.least(F.ceil(pairs / F.lit(pairs_per_slice)), F.col("__left_rows"))
+def _grid(left: DataFrame, right: DataFrame, key: str, pairs_per_block: int) -> DataFrame:
+    """Strips and bands of the hot keys: at most all pairs / ``pairs_per_block`` rows."""
+    lefts, rights = F.col("__left_rows"), F.col("__right_rows")
+    bands = F.ceil(rights / F.lit(max(pairs_per_block // 4, 1)))
+    strips = F.least(lefts, F.ceil(lefts * rights / (bands * pairs_per_block)))
     return (
         left.groupBy(key)
         .agg(F.count("*").alias("__left_rows"))
         .join(right.groupBy(key).agg(F.count("*").alias("__right_rows")), key)
-        .where(pairs > pairs_per_slice)
-        .select(key, wanted.cast("int").alias("__slices"))
+        .where(lefts * rights > pairs_per_block)
+        .select(key, strips.cast("int").alias("__strips"), bands.cast("int").alias("__bands"))
     )

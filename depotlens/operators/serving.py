@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from depotlens.functions.rules import DEFAULT, Limits
 from depotlens.functions.scalars import first_match
-from depotlens.operators.fanout import PAIRS_PER_SLICE, fan_out_join
+from depotlens.operators.fanout import PAIRS_PER_BLOCK, fan_out_join
 from depotlens.schema import OFFER
 
 # Action and reason per case, first case wins.
@@ -127,13 +127,19 @@ def decisions(
     dispatch: DataFrame,
     limits: Limits = DEFAULT,
     as_of: Column | None = None,
-    pairs_per_slice: int = PAIRS_PER_SLICE,
+    pairs_per_block: int = PAIRS_PER_BLOCK,
 ) -> DataFrame:
     """One row per planner row and dispatch lane of its market, with the action to take."""
     positions = _forecast_positions(planner, forecast)
-    lanes = dispatch.select("market_key", "route_cost_exposure", "dispatch_risk_level")
     paired = fan_out_join(
-        positions, lanes, "market_key", ("terminal_id", "product_id"), "left", pairs_per_slice
+        positions,
+        dispatch,
+        key="market_key",
+        left_id=("terminal_id", "product_id"),
+        right_id=("route_id", "terminal_id"),
+        carry=("route_cost_exposure", "dispatch_risk_level"),
+        how="left",
+        pairs_per_block=pairs_per_block,
     )
     flagged = paired.withColumns(_lane_defaults()).withColumns(
         {

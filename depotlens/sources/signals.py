@@ -20,12 +20,13 @@ def conform_signals(
 ) -> DataFrame:
     """One signal per order line.
 
-    Orders meet customers first: that side is narrow and one row per order, so the
-    large line table is shuffled once (or not at all, if the other side is small)."""
+    Orders meet customers first, as that side is narrow and has one row per order;
+    the large line table is then shuffled once. Orders and lines grow together, so
+    neither is worth a broadcast: the merge join spills, and its skew is split."""
     tag = _checked_tag(batch_tag)
     buyers = customer.select(F.col("c_custkey").alias("o_custkey"), "c_nationkey")
     placed = orders.select("o_orderkey", "o_custkey", "o_orderdate").join(buyers, "o_custkey")
-    lines = lineitem.join(placed, F.col("l_orderkey") == F.col("o_orderkey"))
+    lines = lineitem.join(placed.hint("merge"), F.col("l_orderkey") == F.col("o_orderkey"))
 
     order, line = F.col("l_orderkey"), F.col("l_linenumber")
     part, supplier, nation = F.col("l_partkey"), F.col("l_suppkey"), F.col("c_nationkey")
