@@ -2,18 +2,21 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from depotlens.functions.rules import DEFAULT, Limits
 from depotlens.operators import serving
 from depotlens.operators.measures import State, rollup
 from depotlens.operators.quality import expect_or_drop
 from depotlens.operators.states import STATES
-from depotlens.schema import BRONZE, GOLD, SILVER
+from depotlens.schema import BRONZE, GOLD, SIGNALS, SILVER
 from depotlens.sources.store import CatalogStore, FolderStore, working_store
+from depotlens.streaming.ingest import IngestReport, ingest
 
 Store = FolderStore | CatalogStore
 ROLLUP = "signal_rollup"
+PROGRESS = "ingest_progress"
 
 
 def gold_tables(
@@ -73,3 +76,17 @@ def materialize(
         name: store.write(name, state.from_rollup(rolled)) for name, state in STATES.items()
     }
     return {**silver, **gold_tables(silver, limits, as_of, store)}
+
+
+def update(
+    spark: SparkSession,
+    landing: str,
+    store: FolderStore,
+    schema: StructType = SIGNALS,
+    limits: Limits = DEFAULT,
+    as_of: Column | None = None,
+) -> tuple[IngestReport, dict[str, DataFrame]]:
+    """One triggered run: stream what landed into bronze, then refresh the tables."""
+    bronze = BRONZE[0]
+    report = ingest(spark, landing, store.path(bronze), store.path(PROGRESS), schema)
+    return report, materialize(store.read(bronze), store, limits, as_of)

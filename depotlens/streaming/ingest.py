@@ -28,7 +28,7 @@ def signal_stream(
     spark: SparkSession,
     landing: str,
     schema: StructType = SIGNALS,
-    max_bytes_per_batch: str | None = None,
+    max_bytes_per_batch: int | None = None,
 ) -> DataFrame:
     """Signals as they land. Files already read are not read again, and files
     removed later do no harm; ``max_bytes_per_batch`` bounds one micro-batch."""
@@ -45,7 +45,7 @@ def ingest(
     checkpoint: str,
     schema: StructType = SIGNALS,
     expectations: Mapping[str, str] = SIGNAL_EXPECTATIONS,
-    max_bytes_per_batch: str | None = None,
+    max_bytes_per_batch: int | None = None,
 ) -> IngestReport:
     """Run the stream until all landed files are in bronze, then stop.
 

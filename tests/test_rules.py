@@ -1,0 +1,155 @@
+"""Each branch and boundary of the rule tables."""
+
+from __future__ import annotations
+
+import pytest
+from pyspark.sql import functions as F
+from rows import column, frame
+
+from depotlens import Limits
+from depotlens.functions import scalars
+from depotlens.operators import serving
+from depotlens.schema import SOURCE_SYSTEMS
+
+INVENTORY = (
+    "n int, market_key string, terminal_id string, product_id string, as_of_ts timestamp,"
+    "inventory_units_avg double, inventory_units_peak double, warning_signal_count bigint,"
+    "demand_units_avg double, retail_price_avg double, wholesale_cost_avg double,"
+    "weather_index_avg double, inventory_gap_units double"
+)
+DEMAND = (
+    "market_key string, product_id string, baseline_demand_units double, weather_index_avg double,"
+    "retail_price_avg double, wholesale_cost_avg double, planner_override_count bigint,"
+    "price_spread double"
+)
+
+
+def inventory(spark, *values):
+    """Rows of (average, gap); one terminal per row."""
+    rows = [
+        (n, "M", f"T{n}", "P", None, avg, None, 0, 100.0, 3.0, 160.0, 0.9, gap)
+        for n, (avg, gap) in enumerate(values)
+    ]
+    return frame(spark, INVENTORY, *rows)
+
+
+def demand(spark, **changes):
+    row = {
+        "market_key": "M", "product_id": "P", "baseline_demand_units": 200.0,
+        "weather_index_avg": 0.4, "retail_price_avg": 3.0, "wholesale_cost_avg": 160.0,
+        "planner_override_count": 0, "price_spread": 1.5,
+    }
+    return frame(spark, DEMAND, tuple({**row, **changes}.values()))
+
+
+def test_inventory_health_limits(spark):
+    values = [(v, 1.0) for v in (499.9, 500.0, 699.9, 700.0, None)]
+    result = serving.inventory_visibility(inventory(spark, *values))
+    assert column(result, "inventory_health") == ["at_risk", "watch", "watch", "healthy", "healthy"]
+
+
+def test_empty_stock_gives_null_not_failure(spark):
+    result = serving.inventory_visibility(inventory(spark, (0.0, 0.0)))
+    assert column(result, "inventory_utilization_ratio") == [None]
+    planner = serving.planner_explainability(inventory(spark, (0.0, 0.0)), demand(spark))
+    row = planner.first()
+    assert row.inventory_pressure_score is None
+    assert row.planner_reason_code == "stable_signal"
+
+
+@pytest.mark.parametrize(
+    ("gap", "weather", "reason"),
+    [
+        (20.0, 0.1, "stable_signal"),
+        (20.01, 0.1, "inventory_variability"),
+        (0.0, 0.6, "stable_signal"),
+        (0.0, 0.6001, "weather_shift"),
+        (30.0, 0.9, "inventory_variability"),
+        (None, None, "stable_signal"),
+    ],
+)
+def test_planner_reason(spark, gap, weather, reason):
+    stock = inventory(spark, (100.0, gap))
+    planner = serving.planner_explainability(stock, demand(spark, weather_index_avg=weather))
+    assert planner.first().planner_reason_code == reason
+
+
+def test_planner_takes_weather_from_demand_and_prices_from_inventory(spark):
+    drivers = demand(spark, weather_index_avg=0.12346, retail_price_avg=9.0, wholesale_cost_avg=9.0)
+    row = serving.planner_explainability(inventory(spark, (100.0, 1.0)), drivers).first()
+    assert (row.weather_index_avg, row.weather_pressure_score) == (0.12346, 0.1235)
+    assert (row.retail_price_avg, row.wholesale_cost_avg) == (3.0, 160.0)
+    assert len(row) == 18
+
+
+def test_forecast_and_bounds(spark):
+    row = serving.demand_forecast(demand(spark)).first()
+    assert row.ai_forecast_units == 255.36
+    assert (row.forecast_lower_bound, row.forecast_upper_bound) == (234.93, 275.79)
+    assert row.forecast_horizon_days == 7
+    kinds = dict(serving.demand_forecast(demand(spark)).dtypes)
+    assert kinds["forecast_horizon_days"] == "int"
+
+
+@pytest.mark.parametrize(("overrides", "expected"), [(0, 0.88), (10, 0.86), (500, -0.12)])
+def test_confidence_is_not_clamped(spark, overrides, expected):
+    result = serving.demand_forecast(demand(spark, planner_override_count=overrides))
+    assert result.first().forecast_confidence == expected
+
+
+def test_sales_band_limits(spark):
+    schema = (
+        "n int, market_key string, product_id string, ai_forecast_units double,"
+        "forecast_confidence double, forecast_horizon_days int, price_spread double,"
+        "weather_index_avg double"
+    )
+    values = (170.0, 170.01, 220.0, 220.01, None)
+    forecasts = frame(spark, schema, *[(n, "M", f"P{n}", v, 0.8, 7, 1.0, 0.1) for n, v in enumerate(values)])
+    result = serving.sales_context(forecasts)
+    assert column(result, "sales_priority_band", "product_id") == [
+        "demand_watch", "steady_state", "steady_state", "growth_opportunity", "demand_watch",
+    ]
+
+
+@pytest.mark.parametrize(
+    ("pairs", "levels"),
+    [
+        ([(v, 0.0) for v in (900.0, 900.1, 1400.0, 1400.1)], ["low", "medium", "medium", "high"]),
+        ([(None, v) for v in (0.45, 0.46, 0.7, 0.71)], ["low", "medium", "medium", "high"]),
+        ([(None, None), (2000.0, None)], ["low", "high"]),
+    ],
+)
+def test_dispatch_risk_limits(spark, pairs, levels):
+    schema = "n int, route_cost_exposure double, telematics_risk_avg double"
+    lanes = frame(spark, schema, *[(n, *pair) for n, pair in enumerate(pairs)])
+    assert column(serving.dispatch_exposure(lanes), "dispatch_risk_level") == levels
+
+
+def test_limits_can_be_changed(spark):
+    strict = Limits(at_risk_below=1000.0, watch_below=2000.0)
+    result = serving.inventory_visibility(inventory(spark, (900.0, 1.0)), strict)
+    assert result.first().inventory_health == "at_risk"
+
+
+def test_source_name_covers_every_index(spark):
+    indexes = [None, -3, -1, *range(len(SOURCE_SYSTEMS)), 12, 99]
+    rows = frame(spark, "n int, i int", *enumerate(indexes))
+    found = column(rows.select("n", scalars.source_name(F.col("i")).alias("s")), "s")
+    last = SOURCE_SYSTEMS[-1]
+    assert found == [last, last, last, *SOURCE_SYSTEMS, last, last]
+
+
+def test_scalar_helpers(spark):
+    moment = F.lit("2024-05-01 03:04:05").cast("timestamp")
+    row = spark.range(1).select(
+        scalars.padded_code("X-", F.lit(7), 3).alias("padded"),
+        scalars.padded_code("X-", F.lit(12345), 4).alias("cut"),
+        scalars.hours_before(moment, F.lit(5)).cast("string").alias("earlier"),
+        scalars.time_stamp(moment).alias("stamp"),
+        scalars.time_ordered_id(moment, F.lit(42)).alias("id"),
+    ).first()
+    assert (row.padded, row.cut) == ("X-007", "X-1234")
+    assert row.earlier == "2024-04-30 22:04:05"
+    assert row.stamp == "20240501030405"
+    assert row.id == 1714532645000 * 100_000 + 42
+    assert scalars.sql_quoted("it's") == "'it''s'"
