@@ -2,14 +2,14 @@
 
 A state (keys plus measures) can be computed straight from the signals, or from
 a rollup: the signals pre-aggregated to the finest key any of several states
-needs, with mergeable parts (sums, counts, maxima). Three states over one rollup
-cost one pass over the signals instead of three, and the pass shuffles only
-what map-side aggregation leaves of each task.
+needs, with mergeable parts (sums, counts, maxima). States over one rollup share
+one pass over the signals. What the pass shuffles depends on the number of finest
+groups, see :func:`families`.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
@@ -124,3 +124,25 @@ def rollup(signals: DataFrame, states: Iterable[State]) -> DataFrame:
         for measure in state.measures.values():
             parts.update(measure.parts())
     return signals.groupBy(*grain).agg(*[c.alias(n) for n, c in parts.items()])
+
+
+def families(states: Mapping[str, State], one_pass: bool = False) -> list[dict[str, State]]:
+    """States that share a rollup.
+
+    By default a state joins another only if its groups are unions of the other's,
+    so no rollup has more groups than a state that is wanted anyway, and map-side
+    aggregation shrinks it as well as it can. ``one_pass`` puts all into one family:
+    right where the signals are costly to derive and even the finest groups are few
+    against the rows of a task."""
+    if one_pass:
+        return [dict(states)]
+    found: list[dict[str, State]] = []
+    for name, state in sorted(states.items(), key=lambda item: -len(item[1].grain())):
+        for family in found:
+            finest = next(iter(family.values()))
+            if set(state.grain()) <= set(finest.grain()):
+                family[name] = state
+                break
+        else:
+            found.append({name: state})
+    return found

@@ -2,20 +2,21 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from depotlens.functions.rules import DEFAULT, Limits
 from depotlens.operators import serving
-from depotlens.operators.measures import State, rollup
+from depotlens.operators.measures import State, families, rollup
 from depotlens.operators.quality import expect_or_drop
 from depotlens.operators.states import STATES
 from depotlens.schema import BRONZE, GOLD, SIGNALS, SILVER
-from depotlens.sources.store import CatalogStore, FolderStore, working_store
+from depotlens.sources.store import CatalogStore, FolderStore
 from depotlens.streaming.ingest import IngestReport, ingest
 
 Store = FolderStore | CatalogStore
-ROLLUP = "signal_rollup"
 PROGRESS = "ingest_progress"
 
 
@@ -48,33 +49,40 @@ def gold_tables(
 def build_all(
     signals: DataFrame, limits: Limits = DEFAULT, as_of: Column | None = None
 ) -> dict[str, DataFrame]:
-    """Every table as a lazy plan over the signals; starts no job."""
+    """Every table as a lazy plan over the signals; starts no job. Each table scans
+    the signals anew, so for volumes use :func:`materialize`."""
     bronze = expect_or_drop(signals)
     silver = {name: state.from_signals(bronze) for name, state in STATES.items()}
     return {BRONZE[0]: bronze, **silver, **gold_tables(silver, limits, as_of)}
 
 
-def staged_states(
-    bronze: DataFrame, states: dict[str, State] = STATES, store: FolderStore | None = None
+def planned_states(
+    bronze: DataFrame,
+    store: Store,
+    states: Mapping[str, State] = STATES,
+    one_pass: bool = False,
 ) -> dict[str, DataFrame]:
-    """The states as lazy plans over one stored rollup: the signals are read once,
-    however many of the states are used and however often."""
-    store = store or working_store(bronze.sparkSession)
-    rolled = store.write(ROLLUP, rollup(bronze, states.values()))
-    return {name: state.from_rollup(rolled) for name, state in states.items()}
+    """Plans of the states. Where several share a rollup it is written to ``store``
+    first, so that each family of states reads the signals once, and only its columns."""
+    plans: dict[str, DataFrame] = {}
+    for family in families(states, one_pass):
+        if len(family) == 1:
+            plans.update({name: state.from_signals(bronze) for name, state in family.items()})
+        else:
+            parts = store.write(f"{next(iter(family))}_parts", rollup(bronze, family.values()))
+            plans.update({name: state.from_rollup(parts) for name, state in family.items()})
+    return plans
 
 
 def materialize(
     bronze: DataFrame, store: Store, limits: Limits = DEFAULT, as_of: Column | None = None
 ) -> dict[str, DataFrame]:
-    """Refresh all silver and gold tables of ``store`` from a snapshot of bronze.
+    """Refresh all silver and gold tables of ``store`` from a stored bronze table.
 
-    The signals are scanned once, into the rollup; everything later works on
-    aggregates. Each table is replaced as a whole, so a refresh can be repeated."""
-    rolled = store.write(ROLLUP, rollup(bronze, STATES.values()).hint("rebalance"))
-    silver = {
-        name: store.write(name, state.from_rollup(rolled)) for name, state in STATES.items()
-    }
+    Only the states read bronze; everything later works on aggregates. Each table
+    is replaced as a whole, so a refresh can be repeated, also after a failed one."""
+    plans = planned_states(bronze, store)
+    silver = {name: store.write(name, plans[name]) for name in SILVER}
     return {**silver, **gold_tables(silver, limits, as_of, store)}
 
 

@@ -1,7 +1,7 @@
 """Every query by name, over a folder of order tables.
 
 Queries on one state aggregate the signals directly. Queries on several states
-store a rollup in the cluster's shared folder first (see ``staged_states``), which
+first store a rollup in the cluster's shared folder (see ``planned_states``), which
 reads the tables once instead of once per state and consumer."""
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ from depotlens.functions.scalars import source_name
 from depotlens.operators import serving, states
 from depotlens.operators.quality import expect_or_drop, expectation_counts
 from depotlens.plans import graph, publish, reports
-from depotlens.schema import GOLD, KEYS, SILVER
+from depotlens.schema import BRONZE, GOLD, KEYS, SILVER
 from depotlens.sources.signals import append_batch, read_table, signals_from, stamp_batch
 from depotlens.sources.store import working_store
 from depotlens.streaming.ingest import ingest
@@ -39,13 +39,18 @@ def _bronze(spark: SparkSession, folder: str) -> DataFrame:
     return expect_or_drop(signals_from(spark, folder, BATCH_TAG))
 
 
-def _staged(spark: SparkSession, folder: str, *names: str) -> dict[str, DataFrame]:
+def _states(spark: SparkSession, folder: str, *names: str) -> dict[str, DataFrame]:
+    """States over a stored rollup. The signals come from a join and have few groups,
+    so one pass serves all."""
     wanted = {name: states.STATES[name] for name in names or SILVER}
-    return graph.staged_states(_bronze(spark, folder), wanted)
+    bronze = _bronze(spark, folder)
+    return graph.planned_states(bronze, working_store(spark), wanted, one_pass=True)
 
 
 def _stored_gold(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    return graph.materialize(_bronze(spark, folder), working_store(spark), as_of=_clock())
+    store = working_store(spark)
+    bronze = store.write(BRONZE[0], _bronze(spark, folder))
+    return graph.materialize(bronze, store, as_of=_clock())
 
 
 # sources and quality
@@ -143,12 +148,12 @@ def sales_context(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def planner_explainability(spark: SparkSession, folder: str) -> DataFrame:
-    silver = _staged(spark, folder, INVENTORY, DEMAND)
+    silver = _states(spark, folder, INVENTORY, DEMAND)
     return serving.planner_explainability(silver[INVENTORY], silver[DEMAND])
 
 
 def decisions(spark: SparkSession, folder: str) -> DataFrame:
-    return graph.gold_tables(_staged(spark, folder), as_of=_clock())[DECISIONS]
+    return graph.gold_tables(_states(spark, folder), as_of=_clock())[DECISIONS]
 
 
 def materialized_decisions(spark: SparkSession, folder: str) -> DataFrame:
@@ -160,7 +165,7 @@ def materialized_decisions(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _decision_counts(spark: SparkSession, folder: str) -> tuple[dict[str, DataFrame], DataFrame]:
-    gold = graph.gold_tables(_staged(spark, folder), as_of=_clock())
+    gold = graph.gold_tables(_states(spark, folder), as_of=_clock())
     return gold, serving.decision_counts(gold[PLANNER], gold[FORECAST], gold[EXPOSURE])
 
 

@@ -10,10 +10,11 @@ from pyspark.sql import functions as F
 from rows import as_set, signals
 
 from depotlens.operators import states
-from depotlens.operators.measures import rollup
+from depotlens.operators.measures import families, rollup
 from depotlens.operators.quality import expect_or_drop, expectation_counts
-from depotlens.plans.graph import staged_states
+from depotlens.plans.graph import planned_states
 from depotlens.sources.signals import signals_from
+from depotlens.sources.store import FolderStore
 
 NOTHING = {
     "inventory_units": None, "demand_units": None, "wholesale_cost": None, "retail_price": None,
@@ -100,11 +101,20 @@ def test_gap_is_never_negative(spark, data):
     assert found.where("inventory_gap_units < 0").count() == 0
 
 
-def test_staged_states_scan_the_rollup_only(spark, data):
-    staged = staged_states(signals_from(spark, data))
-    for frame in staged.values():
-        plan = frame._jdf.queryExecution().optimizedPlan().toString()
-        assert "l_orderkey" not in plan
+def test_families_nest(spark):
+    names = [list(family) for family in families(states.STATES)]
+    assert names == [["silver_dispatch_context"], ["silver_inventory_state", "silver_demand_drivers"]]
+    assert [set(f) for f in families(states.STATES, one_pass=True)] == [set(states.STATES)]
+
+
+@pytest.mark.parametrize("one_pass", [False, True])
+def test_planned_states_equal_direct_ones(spark, data, tmp_path, one_pass):
+    frame = signals_from(spark, data)
+    plans = planned_states(frame, FolderStore(spark, str(tmp_path)), one_pass=one_pass)
+    for name, state in states.STATES.items():
+        direct = state.from_signals(frame)
+        assert plans[name].dtypes == direct.dtypes
+        assert as_set(plans[name]) == as_set(direct)
 
 
 def test_one_hot_group_is_whole(spark):
