@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql.types import StructType
 
 from depotlens.functions.rules import DEFAULT, Limits
@@ -13,11 +13,9 @@ from depotlens.operators.measures import State, families, rollup
 from depotlens.operators.quality import expect_or_drop
 from depotlens.operators.states import STATES
 from depotlens.schema import BRONZE, GOLD, SIGNALS, SILVER
-from depotlens.sources.store import CatalogStore, FolderStore
+from depotlens.sources.store import Store
 from depotlens.streaming.ingest import IngestReport, ingest
 
-Store = FolderStore | CatalogStore
-PROGRESS = "ingest_progress"
 
 
 def gold_tables(
@@ -87,14 +85,12 @@ def materialize(
 
 
 def update(
-    spark: SparkSession,
-    landing: str,
-    store: FolderStore,
+    store: Store,
+    checkpoint: str,
     schema: StructType = SIGNALS,
     limits: Limits = DEFAULT,
     as_of: Column | None = None,
 ) -> tuple[IngestReport, dict[str, DataFrame]]:
     """One triggered run: stream what landed into bronze, then refresh the tables."""
-    bronze = BRONZE[0]
-    report = ingest(spark, landing, store.path(bronze), store.path(PROGRESS), schema)
-    return report, materialize(store.read(bronze), store, limits, as_of)
+    report = ingest(store, checkpoint, schema)
+    return report, materialize(store.read(BRONZE[0]), store, limits, as_of)

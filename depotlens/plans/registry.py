@@ -94,15 +94,9 @@ def stream_ingest(spark: SparkSession, folder: str) -> DataFrame:
     signals = signals_from(spark, folder, BATCH_TAG)
     flagged = F.coalesce(F.col("planner_override_flag"), F.lit(False))
     for part in (signals.where(flagged), signals.where(~flagged)):
-        append_batch(part, store.path("landing"), even_files=False)
-        ingest(
-            spark,
-            store.path("landing"),
-            store.path("bronze"),
-            store.path("progress"),
-            schema=signals.schema,
-        )
-    return store.read("bronze")
+        append_batch(part, store, even_files=False)
+        ingest(store, store.path("progress"), signals.schema)
+    return store.read(BRONZE[0])
 
 
 def raw_signals_by_source(spark: SparkSession, folder: str) -> DataFrame:

@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from depotlens.functions.scalars import padded_code, source_name, time_ordered_id, time_stamp
-from depotlens.schema import SIGNALS
+from depotlens.schema import SIGNALS, SOURCE
+from depotlens.sources.store import Store
 
 
 def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -78,13 +79,13 @@ def stamp_batch(signals: DataFrame, batch_tag: str, landed_at: datetime | Column
     )
 
 
-def append_batch(signals: DataFrame, landing: str, even_files: bool = True) -> None:
-    """Add a batch to a landing folder. The folder must only ever grow: rewriting
-    its files would make a stream read the same signals again.
+def append_batch(signals: DataFrame, store: Store, even_files: bool = True) -> None:
+    """Add a batch to the source table. Its files must never be rewritten: a
+    stream would take them for new ones and read the same signals again.
 
     ``even_files`` sizes the files by adaptive execution, for one more shuffle."""
     ordered = signals.select(*SIGNALS.names)
-    (ordered.hint("rebalance") if even_files else ordered).write.mode("append").parquet(landing)
+    store.append(SOURCE, ordered.hint("rebalance") if even_files else ordered)
 
 
 def _checked_tag(batch_tag: str) -> str:

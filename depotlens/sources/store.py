@@ -7,6 +7,8 @@ import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
+from pyspark.sql.types import StructType
 
 NAMESPACE_SETTING = "depotlens.namespace"
 DEFAULT_NAMESPACE = "operations"
@@ -27,9 +29,19 @@ class FolderStore:
         frame.write.format(self.format).mode("overwrite").save(self.path(name))
         return self.spark.read.format(self.format).schema(frame.schema).load(self.path(name))
 
+    def append(self, name: str, frame: DataFrame) -> None:
+        frame.write.format(self.format).mode("append").save(self.path(name))
+
     def read(self, name: str) -> DataFrame:
         return self.spark.read.format(self.format).load(self.path(name))
 
+    def read_stream(self, name: str, schema: StructType, **options: object) -> DataFrame:
+        reader = self.spark.readStream.format(self.format).schema(schema)
+        return reader.options(**options).load(self.path(name))
+
+    def start(self, name: str, writer: DataStreamWriter) -> StreamingQuery:
+        return writer.format(self.format).start(self.path(name))
+
 
 @dataclass(frozen=True)
 class CatalogStore:
@@ -55,9 +67,25 @@ class CatalogStore:
         frame.write.format(self.format).mode("overwrite").saveAsTable(self.full_name(name))
         return self.read(name)
 
+    def append(self, name: str, frame: DataFrame) -> None:
+        self.ensure()
+        frame.write.format(self.format).mode("append").saveAsTable(self.full_name(name))
+
     def read(self, name: str) -> DataFrame:
         return self.spark.table(self.full_name(name))
 
+    def read_stream(self, name: str, schema: StructType, **options: object) -> DataFrame:
+        """The schema is that of the catalog; ``schema`` only picks the columns."""
+        rows = self.spark.readStream.options(**options).table(self.full_name(name))
+        return rows.select(*schema.names)
+
+    def start(self, name: str, writer: DataStreamWriter) -> StreamingQuery:
+        self.ensure()
+        return writer.format(self.format).toTable(self.full_name(name))
+
+
+Store = FolderStore | CatalogStore
+
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors can reach, as set by the cluster. Only a local

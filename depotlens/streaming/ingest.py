@@ -5,12 +5,13 @@ from __future__ import annotations
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from depotlens.operators.quality import SIGNAL_EXPECTATIONS, expect_or_drop
-from depotlens.schema import SIGNALS
+from depotlens.schema import BRONZE, SIGNALS, SOURCE
+from depotlens.sources.store import Store
 
 EXPECTATIONS = "expectations"
 
@@ -25,42 +26,35 @@ class IngestReport:
 
 
 def signal_stream(
-    spark: SparkSession,
-    landing: str,
-    schema: StructType = SIGNALS,
-    max_bytes_per_batch: int | None = None,
+    store: Store, schema: StructType = SIGNALS, max_bytes_per_batch: int | None = None
 ) -> DataFrame:
-    """Signals as they land. Files already read are not read again, and files
-    removed later do no harm; ``max_bytes_per_batch`` bounds one micro-batch."""
-    reader = spark.readStream.schema(schema)
+    """Signals as they are appended to the source table. Changes and deletions of
+    older rows are not followed; ``max_bytes_per_batch`` bounds one micro-batch."""
+    options: dict[str, object] = {"skipChangeCommits": "true"}
     if max_bytes_per_batch:
-        reader = reader.option("maxBytesPerTrigger", max_bytes_per_batch)
-    return reader.parquet(landing)
+        options["maxBytesPerTrigger"] = max_bytes_per_batch
+    return store.read_stream(SOURCE, schema, **options)
 
 
 def ingest(
-    spark: SparkSession,
-    landing: str,
-    bronze: str,
+    store: Store,
     checkpoint: str,
     schema: StructType = SIGNALS,
     expectations: Mapping[str, str] = SIGNAL_EXPECTATIONS,
     max_bytes_per_batch: int | None = None,
 ) -> IngestReport:
-    """Run the stream until all landed files are in bronze, then stop.
+    """Run the stream until all landed signals are in bronze, then stop.
 
     The checkpoint and the sink's own log make each file count exactly once, also
     after a lost driver; a second run only sees what landed since."""
-    landed = signal_stream(spark, landing, schema, max_bytes_per_batch)
-    query = (
+    landed = signal_stream(store, schema, max_bytes_per_batch)
+    writer = (
         expect_or_drop(landed, expectations, EXPECTATIONS)
-        .writeStream.format("parquet")
-        .outputMode("append")
+        .writeStream.outputMode("append")
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
-        .start(bronze)
     )
-    return _follow(query)
+    return _follow(store.start(BRONZE[0], writer))
 
 
 def _follow(query: StreamingQuery) -> IngestReport:

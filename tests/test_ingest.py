@@ -12,7 +12,7 @@ from rows import as_set, signals
 
 from depotlens.operators.quality import expect_or_drop
 from depotlens.plans.graph import build_all, update
-from depotlens.schema import BRONZE, GOLD, SIGNALS, SILVER, signal_schema
+from depotlens.schema import BRONZE, GOLD, SIGNALS, SILVER, SOURCE, signal_schema
 from depotlens.sources.signals import append_batch, conform_signals, signals_from, stamp_batch
 from depotlens.sources.store import CatalogStore, FolderStore, shared_folder, working_store
 from depotlens.streaming.ingest import ingest
@@ -20,66 +20,72 @@ from depotlens.streaming.ingest import ingest
 
 @pytest.fixture
 def run(spark, tmp_path):
-    landing, bronze, progress = (str(tmp_path / n) for n in ("landing", "bronze", "progress"))
+    store = FolderStore(spark, str(tmp_path / "tables"))
 
     def go(**options):
-        return ingest(spark, landing, bronze, progress, **options)
+        return ingest(store, str(tmp_path / "progress"), **options)
+
+    return store, go
 
-    return landing, bronze, go
+
+def bronze(store):
+    return store.read(BRONZE[0])
 
 
 def test_each_run_reads_only_what_landed_since(spark, run):
-    landing, bronze, go = run
-    append_batch(signals(spark, {"id": 1}, {"id": 2, "source_system": None}), landing)
+    store, go = run
+    append_batch(signals(spark, {"id": 1}, {"id": 2, "source_system": None}), store)
     first = go()
     assert (first.input_rows, first.counters["valid_source_system_failed"]) == (2, 1)
-    append_batch(signals(spark, {"id": 3}), landing)
+    append_batch(signals(spark, {"id": 3}), store)
     second = go()
     assert (second.input_rows, second.counters["valid_source_system_passed"]) == (1, 1)
     third = go()
     assert (third.batches, third.input_rows) == (0, 0)
-    assert sorted(r.id for r in spark.read.parquet(bronze).collect()) == [1, 3]
+    assert sorted(r.id for r in bronze(store).collect()) == [1, 3]
 
 
 def test_removed_landing_files_do_no_harm(spark, run):
-    landing, bronze, go = run
-    append_batch(signals(spark, {"id": 1}), landing)
+    store, go = run
+    append_batch(signals(spark, {"id": 1}), store)
     go()
+    landing = store.path(SOURCE)
     for name in os.listdir(landing):
         if name.endswith(".parquet"):
             os.remove(os.path.join(landing, name))
-    append_batch(signals(spark, {"id": 2}), landing)
+    append_batch(signals(spark, {"id": 2}), store)
     go()
-    assert sorted(r.id for r in spark.read.parquet(bronze).collect()) == [1, 2]
+    assert sorted(r.id for r in bronze(store).collect()) == [1, 2]
 
 
 def test_many_small_batches_are_all_counted(spark, run):
-    landing, bronze, go = run
+    store, go = run
     for n in range(6):
-        append_batch(signals(spark, {"id": n}, {"id": n, "source_system": None}), landing)
+        append_batch(signals(spark, {"id": n}, {"id": n, "source_system": None}), store)
     report = go(max_bytes_per_batch=1)
     assert report.batches > 1
     assert report.counters == {"valid_source_system_passed": 6, "valid_source_system_failed": 6}
-    assert spark.read.parquet(bronze).count() == 6
+    assert bronze(store).count() == 6
 
 
 def test_stream_equals_batch(spark, data, run):
-    landing, bronze, go = run
+    store, go = run
     frame = signals_from(spark, data)
-    append_batch(frame, landing)
+    append_batch(frame, store)
     go(schema=signal_schema(T.TimestampNTZType()))
-    assert as_set(spark.read.parquet(bronze)) == as_set(expect_or_drop(frame))
+    assert as_set(bronze(store)) == as_set(expect_or_drop(frame))
 
 
-def test_update_builds_every_table(spark, data, tmp_path):
-    store = FolderStore(spark, str(tmp_path / "tables"))
-    landing = str(tmp_path / "landing")
+@pytest.mark.parametrize("kind", ["folder", "catalog"])
+def test_update_builds_every_table(spark, data, tmp_path, kind):
+    folder, catalog = FolderStore(spark, str(tmp_path / "tables")), CatalogStore(spark, "updated")
+    store = folder if kind == "folder" else catalog
     frame = signals_from(spark, data)
     as_of = F.lit("2024-01-01").cast("timestamp_ntz")
     early = F.col("signal_timestamp") < "1996-01-01"
     for part in (frame.where(early), frame.where(~early)):
-        append_batch(part, landing)
-        report, _ = update(spark, landing, store, frame.schema, as_of=as_of)
+        append_batch(part, store)
+        report, _ = update(store, str(tmp_path / "progress"), frame.schema, as_of=as_of)
         assert report.input_rows == part.count()
     expected = build_all(frame, as_of=as_of)
     assert list(expected) == [*BRONZE, *SILVER, *GOLD]
