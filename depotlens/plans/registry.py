@@ -146,8 +146,17 @@ def planner_explainability(spark: SparkSession, folder: str) -> DataFrame:
     return serving.planner_explainability(silver[INVENTORY], silver[DEMAND])
 
 
+def _decision_inputs(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    silver = _states(spark, folder)
+    return (
+        serving.planner_explainability(silver[INVENTORY], silver[DEMAND]),
+        serving.demand_forecast(silver[DEMAND]),
+        serving.dispatch_exposure(silver[DISPATCH]),
+    )
+
+
 def decisions(spark: SparkSession, folder: str) -> DataFrame:
-    return graph.gold_tables(_states(spark, folder), as_of=_clock())[DECISIONS]
+    return serving.decisions(*_decision_inputs(spark, folder), as_of=_clock())
 
 
 def materialized_decisions(spark: SparkSession, folder: str) -> DataFrame:
@@ -158,19 +167,16 @@ def materialized_decisions(spark: SparkSession, folder: str) -> DataFrame:
 # reports
 
 
-def _decision_counts(spark: SparkSession, folder: str) -> tuple[dict[str, DataFrame], DataFrame]:
-    gold = graph.gold_tables(_states(spark, folder), as_of=_clock())
-    return gold, serving.decision_counts(gold[PLANNER], gold[FORECAST], gold[EXPOSURE])
-
-
 def decision_summary(spark: SparkSession, folder: str) -> DataFrame:
-    return reports.ranked_summary(_decision_counts(spark, folder)[1])
+    counted = serving.decision_counts(*_decision_inputs(spark, folder))
+    return reports.ranked_summary(counted)
 
 
 def gold_row_counts(spark: SparkSession, folder: str) -> DataFrame:
     """Rows of each gold table; decisions are counted without building the pairs."""
-    gold, counted = _decision_counts(spark, folder)
+    gold = graph.gold_tables(_states(spark, folder))
     single = reports.row_counts({name: gold[name] for name in GOLD if name != DECISIONS})
+    counted = serving.decision_counts(gold[PLANNER], gold[FORECAST], gold[EXPOSURE])
     total = counted.agg(F.coalesce(F.sum("decision_count"), F.lit(0)).alias("row_count"))
     return single.unionAll(total.select(F.lit(DECISIONS).alias("table_name"), "row_count"))
 

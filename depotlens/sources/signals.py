@@ -12,8 +12,19 @@ from depotlens.schema import SIGNALS, SOURCE
 from depotlens.sources.store import Store
 
 
+# Columns of the order tables that signals are made of; a typed read needs no look at the files.
+ORDER_TABLES = {
+    "lineitem": (
+        "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int,"
+        " l_quantity double, l_returnflag string, l_shipdate timestamp_ntz"
+    ),
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderdate timestamp_ntz",
+    "customer": "c_custkey bigint, c_nationkey int",
+}
+
+
 def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    return spark.read.schema(ORDER_TABLES[name]).parquet(f"{folder}/{name}.parquet")
 
 
 def conform_signals(
@@ -59,7 +70,7 @@ def conform_signals(
 
 
 def signals_from(spark: SparkSession, folder: str, batch_tag: str = "orders") -> DataFrame:
-    tables = (read_table(spark, folder, name) for name in ("lineitem", "orders", "customer"))
+    tables = (read_table(spark, folder, name) for name in ORDER_TABLES)
     return conform_signals(*tables, batch_tag=batch_tag)
 
 

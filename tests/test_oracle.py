@@ -27,6 +27,24 @@ def test_query_matches_oracle(spark, duck, data, name):
     assert_same(QUERIES[name](spark, data), expected)
 
 
+# DuckDB's name of each Spark type that occurs in a result
+TYPES = {
+    "bigint": "BIGINT",
+    "int": "INTEGER",
+    "double": "DOUBLE",
+    "string": "VARCHAR",
+    "boolean": "BOOLEAN",
+    "timestamp_ntz": "TIMESTAMP",
+}
+
+
+@pytest.mark.parametrize("name", [n for n in QUERIES if n not in ("reconcile_counts", "reconcile_keys")])
+def test_query_has_the_types_of_its_oracle(spark, duck, data, name):
+    expected = duck.sql(ORACLE[name])
+    found = {column: TYPES[kind] for column, kind in QUERIES[name](spark, data).dtypes}
+    assert found == dict(zip(expected.columns, map(str, expected.types), strict=True))
+
+
 def test_entry_runs(spark):
     frame = contract.entry(spark)
     assert len(frame.columns) == 28
