@@ -47,12 +47,6 @@ def _states(spark: SparkSession, folder: str, *names: str) -> dict[str, DataFram
     return graph.planned_states(bronze, working_store(spark), wanted, one_pass=True)
 
 
-def _stored_gold(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    store = working_store(spark)
-    bronze = store.write(BRONZE[0], _bronze(spark, folder))
-    return graph.materialize(bronze, store, as_of=_clock())
-
-
 # sources and quality
 
 
@@ -89,12 +83,11 @@ def expectation_metrics(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def stream_ingest(spark: SparkSession, folder: str) -> DataFrame:
-    """Land all signals in two batches and stream each into bronze."""
+    """Land all signals and stream them into bronze; a second run finds nothing new."""
     store = working_store(spark)
     signals = signals_from(spark, folder, BATCH_TAG)
-    flagged = F.coalesce(F.col("planner_override_flag"), F.lit(False))
-    for part in (signals.where(flagged), signals.where(~flagged)):
-        append_batch(part, store, even_files=False)
+    append_batch(signals, store, even_files=False)
+    for _ in range(2):
         ingest(store, store.path("progress"), signals.schema)
     return store.read(BRONZE[0])
 
@@ -161,7 +154,9 @@ def decisions(spark: SparkSession, folder: str) -> DataFrame:
 
 def materialized_decisions(spark: SparkSession, folder: str) -> DataFrame:
     """The decision table of a full refresh, in which every table is stored."""
-    return _stored_gold(spark, folder)[DECISIONS]
+    store = working_store(spark)
+    bronze = store.write(BRONZE[0], _bronze(spark, folder))
+    return graph.materialize(bronze, store, as_of=_clock())[DECISIONS]
 
 
 # reports
@@ -217,7 +212,7 @@ def ask_route_risk(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _reconciled(spark: SparkSession, folder: str) -> DataFrame:
-    gold = _stored_gold(spark, folder)
+    gold = graph.gold_tables(_states(spark, folder), as_of=_clock(), store=working_store(spark))
     target = publish.FolderTarget(working_store(spark))
     rows = []
     for name in GOLD:

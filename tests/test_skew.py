@@ -9,10 +9,10 @@ from depotlens.plans.oracle import ORACLE
 from depotlens.plans.registry import QUERIES
 
 SKEWED = {
-    # a third of all lines in one order, another third of the rest with one part and supplier
+    # a third of all lines in one order, a third of all lines from one supplier
     "lineitem": """
         SELECT * REPLACE (
-            CASE WHEN l_partkey % 3 = 0 THEN (SELECT min(o_orderkey) FROM orders) ELSE l_orderkey END AS l_orderkey,
+            CASE WHEN l_partkey % 3 = 0 THEN (SELECT min(o_orderkey) FROM orders WHERE o_orderkey % 97 > 0) ELSE l_orderkey END AS l_orderkey,
             CASE WHEN l_suppkey % 3 = 0 THEN 6 ELSE l_suppkey END AS l_suppkey)
         FROM lineitem""",
     # half of all orders by one customer, a third of all customers in one nation
