@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from depotlens.llm import decontaminate
+from depotlens.llm import decontaminate, language, licenses, private
 from depotlens.llm.oracle import ORACLE  # noqa: F401
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,8 +16,28 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op6_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return licenses.scan(table(spark, folder, "documents"))
+
+
+def op7_language_mixture(spark: SparkSession, folder: str) -> DataFrame:
+    return language.report(table(spark, folder, "documents"))
+
+
+def op8_private_data(spark: SparkSession, folder: str) -> DataFrame:
+    return private.report(table(spark, folder, "documents"))
+
+
 def op10_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.report(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
-QUERIES: dict[str, Query] = {query.__name__: query for query in (op10_decontamination,)}
+QUERIES: dict[str, Query] = {
+    query.__name__: query
+    for query in (
+        op6_license_scan,
+        op7_language_mixture,
+        op8_private_data,
+        op10_decontamination,
+    )
+}
