@@ -4,10 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from depotlens.llm import decontaminate, language, licenses, private
+from depotlens.llm import decontaminate, frames, language, licenses, packing, private
 from depotlens.llm.oracle import ORACLE  # noqa: F401
+from depotlens.llm.storage import fresh_folder, stored
+
+TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,6 +21,16 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op3_token_frames(spark: SparkSession, folder: str) -> DataFrame:
+    shared = fresh_folder(spark, "frames")
+    manifest = stored(frames.write(table(spark, folder, "documents"), shared, TOKENIZER), shared, "manifest")
+    return frames.read(manifest).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+def op5_cutting_stock(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.report(packing.packed(table(spark, folder, "documents"), TOKENIZER))
+
+
 def op6_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     return licenses.scan(table(spark, folder, "documents"))
 
@@ -35,6 +50,8 @@ def op10_decontamination(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     query.__name__: query
     for query in (
+        op3_token_frames,
+        op5_cutting_stock,
         op6_license_scan,
         op7_language_mixture,
         op8_private_data,
