@@ -26,7 +26,7 @@ def canonical(frame: pd.DataFrame) -> list[tuple]:
 
 
 def _text(value: object) -> str:
-    if value is None or value is pd.NaT or (isinstance(value, float) and value != value):
+    if value is None or value is pd.NaT or value is pd.NA or (isinstance(value, float) and value != value):
         return "<null>"
     return repr(value) if isinstance(value, float) else str(value)
 
