@@ -24,4 +24,21 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, c
 FROM docs LEFT JOIN hits USING (r) LEFT JOIN ids USING (r)
 """
 
-ORACLE: dict[str, str] = {"op10_decontamination": OP10}
+# SHA-1 as 40 hex digits; five of them are four characters of base 32
+OP4 = """
+WITH hashed AS (
+  SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS h FROM pages),
+named AS (
+  SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, h,
+    array_to_string([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST(1 + ((CAST(list_sum(
+      [CAST(strpos('0123456789abcdef', substr(h, (k // 4) * 5 + j, 1)) - 1 AS BIGINT) << (4 * (5 - j)) for j in range(1, 6)]
+      ) AS BIGINT) >> ((3 - k % 4) * 5)) & 31) AS BIGINT), 1) for k in range(0, 32)], '') AS payload_digest
+  FROM hashed),
+latest AS (SELECT payload_digest, payload_bytes, max(page_id) AS l FROM named GROUP BY ALL)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN page_id < l THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN page_id < l THEN l END AS refers_to
+FROM named JOIN latest USING (payload_digest, payload_bytes)
+"""
+
+ORACLE: dict[str, str] = {"op4_zip_archive": OP4, "op10_decontamination": OP10}

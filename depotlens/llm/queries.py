@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from depotlens.llm import decontaminate, frames, language, licenses, packing, private
+from depotlens.llm import archive, decontaminate, frames, language, licenses, packing, private
 from depotlens.llm.oracle import ORACLE  # noqa: F401
 from depotlens.llm.storage import fresh_folder, stored
 
@@ -27,6 +27,12 @@ def op3_token_frames(spark: SparkSession, folder: str) -> DataFrame:
     return frames.read(manifest).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op4_zip_archive(spark: SparkSession, folder: str) -> DataFrame:
+    shared = fresh_folder(spark, "archives")
+    packages = stored(archive.write(table(spark, folder, "pages"), shared), shared, "packages")
+    return archive.read(packages).drop("url", "payload")
+
+
 def op5_cutting_stock(spark: SparkSession, folder: str) -> DataFrame:
     return packing.report(packing.packed(table(spark, folder, "documents"), TOKENIZER))
 
@@ -51,6 +57,7 @@ QUERIES: dict[str, Query] = {
     query.__name__: query
     for query in (
         op3_token_frames,
+        op4_zip_archive,
         op5_cutting_stock,
         op6_license_scan,
         op7_language_mixture,
