@@ -41,4 +41,22 @@ SELECT page_id, payload_bytes, payload_digest,
 FROM named JOIN latest USING (payload_digest, payload_bytes)
 """
 
-ORACLE: dict[str, str] = {"op4_zip_archive": OP4, "op10_decontamination": OP10}
+OP2 = """
+WITH rows AS (
+  SELECT vec_id, [CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT) for x in embedding] AS v
+  FROM embeddings WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0),
+scored AS (
+  SELECT q.vec_id AS query_id, r.vec_id,
+    CAST(list_inner_product(CAST(q.v AS DOUBLE[]), CAST(r.v AS DOUBLE[])) AS BIGINT) AS score
+  FROM rows q, rows r WHERE q.vec_id % 50 = 0 AND q.vec_id <> r.vec_id AND len(q.v) = len(r.v)),
+ranked AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM scored)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
+"""
+
+ORACLE: dict[str, str] = {
+    "op2_bit_sliced_topk": OP2,
+    "op4_zip_archive": OP4,
+    "op10_decontamination": OP10,
+}
