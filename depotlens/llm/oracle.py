@@ -41,6 +41,29 @@ SELECT page_id, payload_bytes, payload_digest,
 FROM named JOIN latest USING (payload_digest, payload_bytes)
 """
 
+OP1 = r"""
+WITH RECURSIVE docs AS (
+  SELECT doc_id, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+'), []) AS w
+  FROM documents),
+shingles AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS s
+  FROM docs, unnest(range(1, greatest(len(w) - 3, 2))) AS t(i) WHERE len(w) > 0),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+common AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c
+  FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY ALL),
+links AS (
+  SELECT x, y FROM common JOIN sizes p ON p.doc_id = x JOIN sizes q ON q.doc_id = y
+  WHERE 100 * c >= 85 * (p.n + q.n - c)),
+reached(x, y) AS (
+  SELECT x, y FROM (SELECT x, y FROM links UNION SELECT y, x FROM links)
+  UNION SELECT r.x, l.y FROM reached r JOIN (SELECT x, y FROM links UNION SELECT y, x FROM links) l ON r.y = l.x),
+lowest AS (SELECT x, min(y) AS y FROM reached GROUP BY x)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, least(doc_id, coalesce(y, doc_id)) AS component_id,
+  doc_id = least(doc_id, coalesce(y, doc_id)) AS kept
+FROM docs LEFT JOIN sizes USING (doc_id) LEFT JOIN lowest ON x = doc_id
+"""
+
 OP2 = """
 WITH rows AS (
   SELECT vec_id, [CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT) for x in embedding] AS v
@@ -56,6 +79,7 @@ SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
 """
 
 ORACLE: dict[str, str] = {
+    "op1_minhash_dedup": OP1,
     "op2_bit_sliced_topk": OP2,
     "op4_zip_archive": OP4,
     "op10_decontamination": OP10,

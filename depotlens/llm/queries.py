@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from depotlens.llm import archive, decontaminate, frames, language, licenses, packing, private, topk
+from depotlens.llm import archive, decontaminate, frames, language, licenses, neardup, packing, private, topk
 from depotlens.llm.oracle import ORACLE  # noqa: F401
 from depotlens.llm.storage import fresh_folder, stored
 
@@ -21,6 +21,10 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_minhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return neardup.report(table(spark, folder, "documents"))
+
+
 def op2_bit_sliced_topk(spark: SparkSession, folder: str) -> DataFrame:
     shared = fresh_folder(spark, "slices")
     written = topk.index(table(spark, folder, "embeddings"), shared, "vec_id", "embedding")
@@ -62,6 +66,7 @@ def op10_decontamination(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     query.__name__: query
     for query in (
+        op1_minhash_dedup,
         op2_bit_sliced_topk,
         op3_token_frames,
         op4_zip_archive,
