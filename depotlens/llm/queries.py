@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from depotlens.llm import archive, decontaminate, frames, language, licenses, neardup, packing, private, topk
+from depotlens.llm import archive, decontaminate, frames, language, licenses, mixing, neardup, packing, private, topk
 from depotlens.llm.oracle import ORACLE  # noqa: F401
 from depotlens.llm.storage import fresh_folder, stored
 
@@ -59,6 +59,10 @@ def op8_private_data(spark: SparkSession, folder: str) -> DataFrame:
     return private.report(table(spark, folder, "documents"))
 
 
+def op9_context_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.score(table(spark, folder, "documents"))
+
+
 def op10_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.report(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
@@ -74,6 +78,7 @@ QUERIES: dict[str, Query] = {
         op6_license_scan,
         op7_language_mixture,
         op8_private_data,
+        op9_context_mixing,
         op10_decontamination,
     )
 }
