@@ -3,19 +3,47 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from depotlens.llm import decontaminate
-from depotlens.llm.queries import table
+from depotlens.llm import decontaminate, language, neardup, packing, private
+from depotlens.llm.queries import TOKENIZER, table
 from depotlens.llm.storage import fresh_folder, stored
 
 
+def with_main_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with letters and a main language; a missing ``lang`` is filled in."""
+    return language.main_language(docs)
+
+
+def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates, that of the smallest id."""
+    return neardup.one_of_each(docs)
+
+
 def clean_of_benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without any benchmark passage."""
     return decontaminate.decontaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
-STAGES = [("benchmark decontamination", clean_of_benchmarks)]
+def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose personal data is replaced by tags."""
+    return private.redacted(docs)
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of full token sequences, with their ids."""
+    return packing.packed(docs, TOKENIZER).withColumn("ids_crc32", F.crc32("ids"))
+
+
+STAGES = [
+    ("language identification", with_main_language),
+    ("near-duplicates", without_near_duplicates),
+    ("benchmark decontamination", clean_of_benchmarks),
+    ("personal data", without_personal_data),
+    ("packing", packed),
+]
 
+# Near-duplicates, language models and packing have no SQL form.
 ORACLE_SQL = None
 
 
