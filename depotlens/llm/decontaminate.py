@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from depotlens.llm.storage import fresh_folder, stored
-from depotlens.llm.words import LETTERED, coded, hashes, mixed, slices, split_words
+from depotlens.llm.words import LETTERED, coded, column_of, hashes, mixed, slices, split_words
 
 WINDOW = 10
 BLOCK_BYTES = 16_000_000
@@ -124,14 +124,14 @@ def occurrences(strings: StringSet, words: np.ndarray, starts: np.ndarray, ends:
 
 
 def _search(batch: pa.RecordBatch, sets: list[StringSet]) -> pa.RecordBatch:
-    """``batch`` with ``__hits`` (word numbers) and ``__items`` extended."""
-    counts, values = split_words(batch.column("text"), LETTERED)
+    """``batch`` with ``hits`` (word numbers) and ``items`` extended."""
+    counts, values = split_words(column_of(batch, "row.text"), LETTERED)
     codes, distinct = coded(values)
     words = hashes(distinct)[codes] if len(distinct) else np.empty(0, np.uint64)
     ends = np.cumsum(counts)
     starts = ends - counts
-    hit = [set(x or ()) for x in batch.column("__hits").to_pylist()]
-    items = [set(x or ()) for x in batch.column("__items").to_pylist()]
+    hit = [set(x or ()) for x in batch.column("hits").to_pylist()]
+    items = [set(x or ()) for x in batch.column("items").to_pylist()]
     for strings in sets:
         positions, found = occurrences(strings, words, starts, ends)
         rows = np.searchsorted(ends, positions, side="right")
@@ -141,22 +141,20 @@ def _search(batch: pa.RecordBatch, sets: list[StringSet]) -> pa.RecordBatch:
                 continue
             hit[row].update(range(first - int(starts[row]), position + 1 - int(starts[row])))
             items[row].update(strings.items[string])
-    added = {
-        "__hits": pa.array([sorted(x) for x in hit], pa.list_(pa.int32())),
-        "__items": pa.array([sorted(x) for x in items], pa.list_(pa.int64())),
-        "__n_words": pa.array(counts, pa.int64()),
+    columns = {
+        "row": batch.column("row"),
+        "hits": pa.array([sorted(x) for x in hit], pa.list_(pa.int32())),
+        "items": pa.array([sorted(x) for x in items], pa.list_(pa.int64())),
+        "n_words": pa.array(counts, pa.int64()),
     }
-    kept = [c for c in batch.schema.names if c not in added]
-    return pa.RecordBatch.from_arrays(
-        [batch.column(c) for c in kept] + list(added.values()), names=kept + list(added)
-    )
+    return pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
 
 
 def search(
     documents: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_BYTES
 ) -> DataFrame:
-    """``documents`` with ``__hits`` (numbers of hit words), ``__items`` (ids of
-    occurring items) and ``__n_words``.
+    """``row`` (a struct of the columns of ``documents``), ``hits`` (numbers of hit words),
+    ``items`` (ids of occurring items) and ``n_words``.
 
     The test strings are sent to the executors in blocks of items of about
     ``block_bytes`` of text, so their size is bounded whatever the benchmark's size;
@@ -167,10 +165,10 @@ def search(
     blocks = max(1, -(-total // block_bytes))
     folder = fresh_folder(spark, "strings") if blocks > 1 else ""
     found = documents.select(
-        "*",
-        F.lit(None).cast("array<int>").alias("__hits"),
-        F.lit(None).cast("array<bigint>").alias("__items"),
-        F.lit(None).cast("bigint").alias("__n_words"),
+        F.struct("*").alias("row"),
+        F.lit(None).cast("array<int>").alias("hits"),
+        F.lit(None).cast("array<bigint>").alias("items"),
+        F.lit(None).cast("bigint").alias("n_words"),
     )
     for block in range(blocks):
         rows = items.where(F.pmod(F.xxhash64("item"), F.lit(blocks)) == block).orderBy("item").collect()
@@ -178,7 +176,7 @@ def search(
 
         def run(batches: Iterator[pa.RecordBatch], sets=sets) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                for part in slices(batch):
+                for part in slices(batch, "row.text"):
                     yield _search(part, sets.value)
 
         found = found.mapInArrow(run, found.schema)
@@ -190,18 +188,18 @@ def search(
 def decontaminated(documents: DataFrame, benchmark: DataFrame, most: float = 0.0, window: int = WINDOW) -> DataFrame:
     """Documents whose share of hit words is at most ``most``, columns unchanged."""
     found = search(documents, benchmark, window)
-    share = F.size("__hits") / F.greatest(F.col("__n_words"), F.lit(1))
-    return found.where(share <= most).select(*documents.columns)
+    share = F.size("hits") / F.greatest(F.col("n_words"), F.lit(1))
+    return found.where(share <= most).select("row.*")
 
 
 def report(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """Per document the number of words, hit words and occurring items."""
-    ids = F.array_join(F.array_sort(F.transform("__items", lambda i: i.cast("string"))), ",")
+    ids = F.array_join(F.array_sort(F.transform("items", lambda i: i.cast("string"))), ",")
     return search(documents.select("doc_id", "text"), benchmark, window).select(
-        "doc_id",
-        F.col("__n_words").alias("n_words"),
-        F.size("__hits").cast("long").alias("n_hit"),
-        F.size("__items").cast("long").alias("n_items"),
+        "row.doc_id",
+        "n_words",
+        F.size("hits").cast("long").alias("n_hit"),
+        F.size("items").cast("long").alias("n_items"),
         F.sha2(ids, 256).alias("items_sha256"),
-        (F.size("__hits") > 0).alias("contaminated"),
+        (F.size("hits") > 0).alias("contaminated"),
     )

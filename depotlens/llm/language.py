@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from depotlens.llm.words import _table, coded, flat_bytes, slices, split_words, spread
+from depotlens.llm.words import _table, coded, column_of, flat_bytes, slices, split_words, spread
 
 BUCKETS = 1 << 15
 SMOOTHING = 0.5
@@ -152,29 +152,31 @@ def _selected(evidence: np.ndarray, counts: np.ndarray) -> np.ndarray:
 
 
 def predict(documents: DataFrame, model: Model) -> DataFrame:
-    """``documents`` with ``lang_pred``, ``score`` (its share) and ``lang_set``."""
-    spark = documents.sparkSession
-    sent = spark.sparkContext.broadcast(model)
-    names, columns = [*model.languages, UNKNOWN], documents.columns
-    with_letters = documents.withColumn("__letters", F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)))
+    """``row`` (a struct of the columns of ``documents``), ``lang_pred``, ``score`` (its
+    share) and ``lang_set``."""
+    sent = documents.sparkSession.sparkContext.broadcast(model)
+    names = [*model.languages, UNKNOWN]
+    letters = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
+    rows = documents.select(F.struct("*").alias("row"), letters.alias("letters"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch):
-                shares = mixtures(part.column("text"), sent.value)
-                shares[~part.column("__letters").to_numpy(zero_copy_only=False)] = 0
+            for part in slices(batch, "row.text"):
+                shares = mixtures(column_of(part, "row.text"), sent.value)
+                shares[~part.column("letters").to_numpy(zero_copy_only=False)] = 0
                 known = shares.sum(axis=1) > 0
                 best = np.where(known, shares.argmax(axis=1) if shares.shape[1] else 0, len(names) - 1)
-                sets = [[names[i] for i in np.flatnonzero(row)] for row in shares]
                 score = shares.max(axis=1) if shares.shape[1] else np.zeros(part.num_rows)
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(c) for c in columns]
-                    + [pa.array([names[i] for i in best], pa.string()), pa.array(np.minimum(score, 1.0), pa.float64()), pa.array(sets, pa.list_(pa.string()))],
-                    names=[*columns, "lang_pred", "score", "lang_set"],
-                )
+                columns = {
+                    "row": part.column("row"),
+                    "lang_pred": pa.array([names[i] for i in best], pa.string()),
+                    "score": pa.array(np.minimum(score, 1.0), pa.float64()),
+                    "lang_set": pa.array([[names[i] for i in np.flatnonzero(s)] for s in shares], pa.list_(pa.string())),
+                }
+                yield pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
 
-    kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in documents.schema)
-    return with_letters.mapInArrow(run, f"{kept}, lang_pred string, score double, lang_set array<string>")
+    kept = rows.schema["row"].dataType.simpleString()
+    return rows.mapInArrow(run, f"row {kept}, lang_pred string, score double, lang_set array<string>")
 
 
 def held_out(parts: int = 5) -> Column:
@@ -185,7 +187,7 @@ def report(documents: DataFrame) -> DataFrame:
     """Predicted language of every document, learned from four fifths of the ids."""
     model = train(documents.where(~F.coalesce(held_out(), F.lit(False))))
     rows = documents.select("doc_id", held_out().alias("held_out"), "text")
-    return predict(rows, model).select("doc_id", "held_out", "lang_pred", "score", "lang_set")
+    return predict(rows, model).select("row.doc_id", "row.held_out", "lang_pred", "score", "lang_set")
 
 
 def main_language(documents: DataFrame, least: float = 0.5) -> DataFrame:
@@ -193,4 +195,5 @@ def main_language(documents: DataFrame, least: float = 0.5) -> DataFrame:
     has a share of ``least``, go. A missing ``lang`` is filled in."""
     model = train(documents.where(~F.coalesce(held_out(), F.lit(False))))
     found = predict(documents, model).where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least))
-    return found.withColumn("lang", F.coalesce("lang", "lang_pred")).select(*documents.columns)
+    lang = F.coalesce("row.lang", "lang_pred")
+    return found.select(*(lang.alias(c) if c == "lang" else F.col("row")[c].alias(c) for c in documents.columns))

@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from depotlens.llm.components import components
 from depotlens.llm.storage import fresh_folder, stored
-from depotlens.llm.words import SPACED, coded, hashes, mixed, slices, split_words
+from depotlens.llm.words import SPACED, coded, hashes, mixed, slices, split_words, unused
 
 SHINGLE = 5
 PERCENT = 85
@@ -312,6 +312,6 @@ def one_of_each(documents: DataFrame) -> DataFrame:
     stays. Equal rows are one; rows with a null id stay."""
     gone = report(documents).where("not kept").select("doc_id").distinct()
     stay = documents.join(gone, "doc_id", "left_anti")
-    text = F.xxhash64("text", F.length("text"))
-    with_id = stay.where("doc_id is not null").withColumn("__text", text).dropDuplicates(["doc_id", "__text"])
-    return with_id.drop("__text").unionAll(stay.where("doc_id is null"))
+    text = unused("text_hash", documents.columns)
+    hashed = stay.where("doc_id is not null").withColumn(text, F.xxhash64("text", F.length("text")))
+    return hashed.dropDuplicates(["doc_id", text]).drop(text).unionAll(stay.where("doc_id is null"))

@@ -220,7 +220,7 @@ def redacted(documents: DataFrame) -> DataFrame:
                 texts = [None if null else text for text, null in zip(texts, given, strict=True)]
                 columns = {name: part.column(name) for name in names}
                 columns["text"] = pa.array(texts, part.schema.field("text").type)
-                if "n_chars" in columns:
+                if "n_chars" in columns and pa.types.is_integer(columns["n_chars"].type):
                     sizes = [old if t is None else len(t) for t, old in zip(texts, columns["n_chars"].to_pylist(), strict=True)]
                     columns["n_chars"] = pa.array(sizes, part.schema.field("n_chars").type)
                 yield pa.RecordBatch.from_arrays(list(columns.values()), names=names)

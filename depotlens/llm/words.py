@@ -29,10 +29,10 @@ LETTERED = _table([range(0x30), range(0x3A, 0x41), range(0x5B, 0x61), range(0x7B
 
 def slices(batch: pa.RecordBatch, column: str = "text", most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """``batch`` cut into runs of rows with about ``most`` bytes of text; a longer
-    text is a run of its own."""
+    text is a run of its own. ``column`` may name a field of a struct, by a dot."""
     if batch.num_rows == 0:
         return
-    sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+    sizes = pc.fill_null(pc.binary_length(column_of(batch, column)), 0).to_numpy(zero_copy_only=False)
     ends = np.cumsum(sizes, dtype=np.int64)
     start = 0
     while start < batch.num_rows:
@@ -42,6 +42,19 @@ def slices(batch: pa.RecordBatch, column: str = "text", most: int = SLICE_BYTES)
         start = stop
 
 
+def column_of(batch: pa.RecordBatch, column: str) -> pa.Array:
+    name, _, field = column.partition(".")
+    return pc.struct_field(batch.column(name), field) if field else batch.column(name)
+
+
+def unused(name: str, columns: list[str]) -> str:
+    """``name``, or with underscores after it, such that no column has it."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def flat_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """UTF-8 bytes of all texts end to end, and where each begins (n + 1 numbers).
     A null is an empty text."""

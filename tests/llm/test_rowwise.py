@@ -1,0 +1,239 @@
+"""Operators that look at one text at a time, against plain Python."""
+
+from __future__ import annotations
+
+import hashlib
+import random
+import re
+import zlib
+
+import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
+
+from compare import assert_same, connect
+from depotlens.llm import decontaminate, language, licenses, private
+from depotlens.llm.oracle import ORACLE
+from depotlens.llm.queries import QUERIES
+
+SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint, row string, hits string, score string, text_hash string"
+WORDS = "[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
+
+
+def lowered(text: str) -> str:
+    return re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
+
+
+def docs(spark, texts, lang="en"):
+    rows = [(k, t, lang, "s", len(t or ""), "r", "h", "x", "t") for k, t in enumerate(texts)]
+    return spark.createDataFrame(rows, SCHEMA)
+
+
+# decontamination
+
+
+def windows_of(text):
+    words = re.findall(WORDS, lowered(text))
+    size = min(10, len(words))
+    return [tuple(words[k : k + size]) for k in range(len(words) - size + 1)] if words else []
+
+
+def plain_report(text, items):
+    words = re.findall(WORDS, lowered(text))
+    hit, found = set(), set()
+    for item, item_text in items:
+        for window in windows_of(item_text):
+            for k in range(len(words) - len(window) + 1):
+                if tuple(words[k : k + len(window)]) == window:
+                    hit.update(range(k, k + len(window)))
+                    found.add(item)
+    ids = ",".join(sorted(map(str, found)))
+    return len(words), len(hit), len(found), hashlib.sha256(ids.encode()).hexdigest(), bool(hit)
+
+
+@pytest.mark.parametrize("block_bytes", [16_000_000, 40])
+def test_decontamination_matches_plain_search(spark, block_bytes):
+    pick = random.Random(5)
+    word = lambda: pick.choice(["a", "b", "c", "Dé", "x1"])
+    line = lambda n: pick.choice([" ", ". ", "\n"]).join(word() for _ in range(n))
+    items = [(k, line(pick.randint(1, 14))) for k in range(12)] + [(12, None), (13, "..."), (3, "a b c")]
+    texts = [line(pick.randint(0, 60)) for _ in range(60)] + [None, "", "!!", items[0][1], line(9000)]
+    benchmark = spark.createDataFrame(items, "item_id bigint, text string")
+    found = decontaminate.search(docs(spark, texts), benchmark, block_bytes=block_bytes)
+    rows = {r.row.doc_id: r for r in found.collect()}
+    for k, text in enumerate(texts):
+        n_words, n_hit, n_items, _, _ = plain_report(text, items)
+        assert (rows[k].n_words, len(rows[k].hits), len(rows[k]["items"])) == (n_words, n_hit, n_items)
+
+
+def test_decontaminated_keeps_clean_rows_and_columns(spark):
+    benchmark = spark.createDataFrame([(1, "one two three four five six seven eight nine ten")], "item_id bigint, text string")
+    frame = docs(spark, ["x One two, three four five six seven eight nine TEN y", "clean text", None, ""])
+    kept = decontaminate.decontaminated(frame, benchmark)
+    assert kept.schema == frame.schema
+    assert sorted(r.doc_id for r in kept.collect()) == [1, 2, 3]
+    assert decontaminate.decontaminated(frame.limit(0), benchmark).count() == 0
+    assert decontaminate.decontaminated(frame, benchmark.limit(0)).count() == 4
+
+
+def test_decontamination_oracle(spark, data):
+    expected = connect(data).execute(ORACLE["op10_decontamination"]).df()
+    assert_same(QUERIES["op10_decontamination"](spark, data), expected)
+
+
+# languages
+
+
+def corpus():
+    return {
+        "en": ["the house and the river with other things that are there", "we think this weather is rather nice"],
+        "de": ["das haus und der fluss mit anderen dingen die dort sind", "wir denken dass dieses wetter recht schön ist"],
+        "fr": ["la maison et la rivière avec les autres choses qui sont là", "nous pensons que ce temps est plutôt agréable"],
+    }
+
+
+def test_language_of_pure_and_mixed_texts(spark):
+    rows = [(k, t, lang) for lang, ts in corpus().items() for k, t in enumerate(ts * 10)]
+    model = language.train(spark.createDataFrame(rows, "doc_id bigint, text string, lang string"))
+    assert model.languages == ["de", "en", "fr"]
+    english, german = (" ".join(corpus()[k] * 4) for k in ("en", "de"))
+    texts = [english, german, english + " " + german + " " + german, None, "", "12 34 !!", "—"]
+    found = language.predict(docs(spark, texts), model).orderBy("row.doc_id").collect()
+    assert [r.lang_pred for r in found] == ["en", "de", "de", "und", "und", "und", "und"]
+    assert found[2].lang_set == ["de", "en"] and 0.5 < found[2].score < 0.8
+    assert [r.score for r in found[3:]] == [0.0] * 4
+
+
+def test_language_without_training_rows(spark):
+    model = language.train(docs(spark, ["a b"], None))
+    assert model.languages == []
+    assert [r.lang_pred for r in language.predict(docs(spark, ["a b", None]), model).collect()] == ["und", "und"]
+    assert language.train(docs(spark, [])).languages == []
+
+
+def test_language_held_out_accuracy(spark, data):
+    truth = spark.read.parquet(f"{data}/documents.parquet").select("doc_id", "lang")
+    found = QUERIES["op7_language_mixture"](spark, data).join(truth, "doc_id").where("held_out and lang is not null")
+    right = found.agg(F.avg((F.col("lang") == F.col("lang_pred")).cast("int"))).first()[0]
+    assert right > 0.95
+
+
+def test_held_out_follows_crc32(spark):
+    found = docs(spark, ["x"] * 50).select("doc_id", language.held_out().alias("h")).collect()
+    assert all(r.h == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0) for r in found)
+
+
+def test_main_language_fills_and_rejects(spark):
+    rows = [(k, t, lang, 1) for lang, ts in corpus().items() for k, t in enumerate(ts * 10)]
+    rows += [(900, corpus()["de"][0], None, 2), (901, "123", "en", 3), (902, None, "en", 4)]
+    kept = language.main_language(spark.createDataFrame(rows, "doc_id bigint, text string, lang string, score int"))
+    assert kept.columns == ["doc_id", "text", "lang", "score"]
+    late = {r.doc_id: r.lang for r in kept.where("doc_id >= 900").collect()}
+    assert late == {900: "de"} and kept.count() == 61
+
+
+# personal data
+
+
+def plain_base(text):
+    """The base patterns, as stated."""
+    found = []
+    for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", text):
+        found.append((m.start(), 0, m.end(), "email"))
+    for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", text):
+        if all(int(p) <= 255 for p in m[0].split(".")):
+            found.append((m.start(), 1, m.end(), "ip"))
+    for m in re.finditer(r"[0-9]([\x20-]?[0-9])+", text):
+        digits = [int(c) for c in m[0] if c.isdigit()]
+        total = sum(d if k % 2 == 0 else sum(divmod(2 * d, 10)) for k, d in enumerate(reversed(digits)))
+        if 12 <= len(digits) <= 19 and total % 10 == 0:
+            found.append((m.start(), 2, m.end(), "card"))
+    for m in re.finditer(r"\+[0-9][\x20().0-9-]+[0-9]", text):
+        if 9 <= len(re.findall("[0-9]", m[0])) <= 15:
+            found.append((m.start(), 3, m.end(), "phone"))
+    return [(s, e, kind) for s, _, e, kind in sorted(found)]
+
+
+def test_base_spans_match_the_patterns():
+    pick = random.Random(3)
+    parts = ["a", "B.c", "@", "x@y.z", "1", "4539 1488 0343 6467", "1.2.3.4", ".", " ", "-", "+", "+49 (170) 123-4567", "é", "256.1.1.1", "0", "%", "\n"]
+    for _ in range(4000):
+        text = "".join(pick.choice(parts) for _ in range(pick.randint(0, 14)))
+        assert private.plain_spans(text) == plain_base(text), text
+
+
+@pytest.mark.parametrize(
+    ("text", "source", "kind"),
+    [
+        ("mail john (at) example (dot) com now", "john (at) example (dot) com", "email"),
+        ("jane at mail dot example dot org", "jane at mail dot example dot org", "email"),
+        ("x user@mail[.]example[.]com", "user@mail[.]example[.]com", "email"),
+        ("write а.bс@exаmple.com", "а.bс@exаmple.com", "email"),
+        ("＋４９ 170 1234567 x", "＋４９ 170 1234567", "phone"),
+        ("call plus four nine one seven zero one two three four five six", "plus four nine one seven zero one two three four five six", "phone"),
+        ("one nine two dot one six eight dot zero dot one", "one nine two dot one six eight dot zero dot one", "ip"),
+        ("4539​ 1488 0343 6467", "4539​ 1488 0343 6467", "card"),
+    ],
+)
+def test_disguised_identifiers_are_mapped_back(text, source, kind):
+    ((_, _, spans),) = private.all_spans(pa.array([text]))
+    assert [(text[s:e], k) for s, e, k in spans if text[s:e] == source] == [(source, kind)]
+
+
+@pytest.mark.parametrize("text", ["we met at noon dot", "one two at home", "look at www dot", "привет", "", "zero one"])
+def test_clean_texts_have_no_spans(text):
+    assert [spans for _, _, spans in private.all_spans(pa.array([text, None]))] == [[], []]
+
+
+def test_private_report_and_redaction(spark):
+    texts = ["a@b.cd 1.2.3.4", None, "", "é a (at) b (dot) cd", "x" * 200_000 + "@", "a@b.cd 1.2.3.4"]
+    frame = docs(spark, texts)
+    found = {r.doc_id: r for r in private.report(frame).collect()}
+    base = private.joined(plain_base(texts[0]))
+    assert (found[0].n_email, found[0].n_ip, found[0].spans) == (1, 1, base)
+    assert found[0].base_sha256 == hashlib.sha256(base.encode()).hexdigest()
+    assert found[1].spans == "" and found[1].base_sha256 == hashlib.sha256(b"").hexdigest()
+    assert found[3].spans == "email:2:19" and found[3].n_email == 0 and found[5].spans == base
+    hidden = {r.doc_id: r for r in private.redacted(frame).collect()}
+    assert hidden[0].text == "<EMAIL> <IP>" and hidden[0].n_chars == 12
+    assert hidden[1].text is None and hidden[3].text == "é <EMAIL>" and hidden[4].text == texts[4]
+    assert private.report(frame.limit(0)).count() == 0 and private.redacted(frame).schema == frame.schema
+
+
+# licenses
+
+
+def plain_licenses(text):
+    words = re.findall(WORDS, lowered(text))
+    places = [(k, label) for phrase, label in licenses.PHRASES.items() for k in range(len(words)) if words[k : k + len(phrase.split())] == phrase.split()]
+    labels, score = set(), 0.0
+    for label, template in licenses.TEMPLATES:
+        wanted = set(re.findall(WORDS, lowered(template)))
+        blocks = [words[k : k + 2 * len(wanted)] for k in range(len(words))]
+        most = max((len(wanted & set(b)) for b in blocks), default=0)
+        if most >= licenses.CONTAINMENT * len(wanted):
+            labels.add(label)
+            score = max(score, most / len(wanted))
+    base = {label for _, label in places}
+    starts = [k for k, _ in places]
+    return len(words), len(places), min(starts, default=None), max(starts, default=None), ",".join(sorted(base)), ",".join(sorted(base | labels)), 1.0 if places else score
+
+
+def test_license_scan_matches_plain_search(spark):
+    pick = random.Random(11)
+    pool = sorted({w for _, t in licenses.TEMPLATES for w in re.findall(WORDS, lowered(t))}) + ["w%d" % k for k in range(40)]
+
+    def text():
+        parts = []
+        for _ in range(pick.randint(0, 5)):
+            chosen = pick.choice(licenses.TEMPLATES)[1].split()
+            kept = [w for w in chosen if pick.random() < pick.choice([1, 0.95, 0.8])]
+            parts += [*kept, *(pick.choice(pool) for _ in range(pick.randint(0, 30))), pick.choice(["CC BY-NC", "under the MIT License.", ""])]
+        return " ".join(parts)
+
+    texts = [text() for _ in range(80)] + [None, "", "mit", "the " * 3000 + licenses.TEMPLATES[0][1]] + [licenses.TEMPLATES[4][1]] * 2
+    found = {r.doc_id: r for r in licenses.scan(docs(spark, texts)).collect()}
+    for k, t in enumerate(texts):
+        r = found[k]
+        assert (r.n_words, r.n_base, r.first_word, r.last_word, r.base_labels, r.labels, r.score) == pytest.approx(plain_licenses(t)), t
+    assert licenses.scan(docs(spark, [])).count() == 0
