@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -14,23 +18,27 @@ def components(edges: DataFrame, folder: str, name: str) -> DataFrame:
     """``node`` and ``root``, the smallest node of its component, for every node of the
     edges ``a``, ``b`` (longs; loops and repeats allowed).
 
-    Large-star and small-star steps in turn: each node hands its larger, then its smaller
-    neighbours to the smallest one, until every edge ends at a root. Each step is an
-    aggregate and a join; rounds grow with the logarithm of the longest path. Every round
-    is written, which cuts the lineage."""
-    pairs = edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-    pairs = stored(pairs, folder, f"{name}0")
-    before = _mark(pairs)
-    for step in range(1, MOST_ROUNDS):
-        pairs = stored(_small_star(_large_star(pairs)), folder, f"{name}{step}")
+    Each round deals the edges, larger node first, by that node. A task replaces its edges
+    by a star around the smallest node of each of their components, which joins the smaller
+    neighbours of every node; then every edge jumps from its smaller node to that node's own
+    smallest one. A node has few smaller neighbours, as repeats go; a smallest node may be
+    shared by any number of edges, which only the join sees, and Spark splits that side. Rounds
+    grow with the logarithm of the longest path, and each is written, which cuts lineage."""
+    pairs = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+    before = None
+    for step in range(MOST_ROUNDS):
+        starred = pairs.repartition("a").mapInArrow(_stars, "a bigint, b bigint, own boolean")
+        starred = stored(starred, folder, f"{name}-star{step}")
+        parents = starred.where("own").select(F.col("a").alias("b"), F.col("b").alias("up"))
+        jumped = starred.join(parents, "b", "left").select("a", F.coalesce("up", "b").alias("b"))
+        pairs = stored(jumped, folder, f"{name}-jump{step}")
         after = _mark(pairs)
         if after == before:
-            break
+            # every edge now ends at a root, so each node but the roots has just one
+            inner = pairs.where("a <> b").select(F.col("a").alias("node"), F.col("b").alias("root"))
+            return inner.unionAll(pairs.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())
         before = after
-    else:
-        raise RuntimeError("components did not settle")
-    roots = pairs.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct()
-    return pairs.select(F.col("a").alias("node"), F.col("b").alias("root")).unionAll(roots)
+    raise RuntimeError("components did not settle")
 
 
 def _mark(pairs: DataFrame) -> tuple:
@@ -38,16 +46,30 @@ def _mark(pairs: DataFrame) -> tuple:
     return tuple(pairs.agg(F.count("*").alias("n"), mark).first())
 
 
-def _large_star(pairs: DataFrame) -> DataFrame:
-    """Edges (a > b): each node links its larger neighbours to its smallest neighbour."""
-    both = pairs.select("a", "b").unionAll(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-    larger = both.where("b > a").join(least, "a")
-    return larger.select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
-
-
-def _small_star(pairs: DataFrame) -> DataFrame:
-    """Each node links itself and its smaller neighbours to the smallest of them."""
-    least = pairs.groupBy("a").agg(F.min("b").alias("m"))
-    linked = pairs.join(least, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-    return linked.unionAll(least.select("a", F.col("m").alias("b"))).distinct()
+def _stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Edges of one task as stars. ``own`` marks nodes that were dealt here as the larger
+    end; each such node is dealt to one task only."""
+    ends = [(b.column("a").to_numpy(), b.column("b").to_numpy()) for b in batches]
+    if not ends:
+        return
+    a, b = (np.concatenate(c) for c in zip(*ends, strict=True))
+    nodes, place = np.unique(np.concatenate([a, b]), return_inverse=True)
+    up, down = place[: len(a)], place[len(a) :]
+    root = np.arange(len(nodes))
+    while True:
+        # nodes are sorted, so the smallest number is the smallest node
+        least = np.minimum(root[up], root[down])
+        following = root.copy()
+        np.minimum.at(following, root[up], least)
+        np.minimum.at(following, root[down], least)
+        following = np.minimum(following, following[following])
+        if (following == root).all():
+            break
+        root = following
+    owned = np.zeros(len(nodes), bool)
+    owned[up[a > b]] = True
+    inner = np.flatnonzero(root != np.arange(len(nodes)))
+    loops = np.setdiff1d(up, np.concatenate([inner, root[inner]]))
+    rows = np.concatenate([inner, loops])
+    columns = [pa.array(nodes[rows]), pa.array(nodes[root[rows]]), pa.array(owned[rows])]
+    yield pa.RecordBatch.from_arrays(columns, names=["a", "b", "own"])

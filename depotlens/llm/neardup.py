@@ -27,6 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -187,23 +188,25 @@ def _loaded(table: pa.Table) -> tuple[pa.Table, list[np.ndarray], np.ndarray]:
 
 
 _LINKS = "a bigint, b bigint"
-
-
-def _link_table(reps: np.ndarray, links: list[tuple[int, int]]) -> pa.Table:
-    a, b = (np.array([pair[k] for pair in links], np.int64) for k in (0, 1))
-    return pa.table({"a": pa.array(reps[a], pa.int64()), "b": pa.array(reps[b], pa.int64())})
+_GROUPS = "rep bigint, root bigint, low bigint, large boolean"
 
 
 def _link_block(table: pa.Table) -> pa.Table:
-    """Links within one block, cluster by cluster."""
+    """Groups joined by the links within one block, cluster by cluster: each class with the
+    smallest class of its group, and the smallest document id of the group."""
     rows, sets, signs = _loaded(table)
     reps, cluster = rows["rep"].to_numpy(), rows["cluster"].to_numpy()
-    group, links = np.arange(len(reps)), []
+    group = np.arange(len(reps))
     order = np.argsort(cluster, kind="stable")
     for members in np.split(order, np.flatnonzero(np.diff(cluster[order])) + 1):
         for k in range(1, len(members)):
-            links += linked(sets, signs, group, members[k : k + 1], members[:k])
-    return _link_table(reps, links)
+            linked(sets, signs, group, members[k : k + 1], members[:k])
+    _, number = np.unique(group, return_inverse=True)
+    root, low = (np.full(len(reps), np.iinfo(np.int64).max) for _ in range(2))
+    np.minimum.at(root, number, reps)
+    np.minimum.at(low, number, rows["low"].to_numpy())
+    large = pc.greater(rows["blocks"], 1).combine_chunks()
+    return pa.table({"rep": pa.array(reps), "root": pa.array(root[number]), "low": pa.array(low[number]), "large": large})
 
 
 def _link_guests(table: pa.Table) -> pa.Table:
@@ -211,7 +214,9 @@ def _link_guests(table: pa.Table) -> pa.Table:
     rows, sets, signs = _loaded(table)
     reps, guest = rows["rep"].to_numpy(), rows["guest"].to_numpy(zero_copy_only=False)
     group = np.unique(rows["root"].to_numpy(), return_inverse=True)[1]
-    return _link_table(reps, linked(sets, signs, group, np.flatnonzero(guest), np.flatnonzero(~guest)))
+    links = linked(sets, signs, group, np.flatnonzero(guest), np.flatnonzero(~guest))
+    a, b = (np.array([pair[k] for pair in links], np.int64) for k in (0, 1))
+    return pa.table({"a": pa.array(reps[a], pa.int64()), "b": pa.array(reps[b], pa.int64())})
 
 
 def _clusters(classes: DataFrame, folder: str) -> DataFrame:
@@ -225,7 +230,7 @@ def _clusters(classes: DataFrame, folder: str) -> DataFrame:
     posts = posts.withColumn("many", F.count("*").over(mine)).where(F.col("many") >= MATCHES)
     merged = stored(posts.withColumn("prefix", prefix).where("prefix").select("token", "rep"), folder, "prefixes")
     first = merged.groupBy("token").agg(F.min("rep").alias("b"))
-    ties = merged.join(first, "token").where("rep <> b").select(F.col("rep").alias("a"), "b").distinct()
+    ties = merged.join(first, "token").where("rep <> b").select(F.col("rep").alias("a"), "b")
     return components(ties, folder, "ties").select(F.col("node").alias("rep"), F.col("root").alias("cluster"))
 
 
@@ -236,10 +241,11 @@ def sketches(documents: DataFrame, folder: str) -> DataFrame:
     return stored(made.withColumn("row", F.monotonically_increasing_id()), folder, "sketches")
 
 
-def near_links(documents: DataFrame, classes: DataFrame, folder: str, block_classes: int = BLOCK_CLASSES) -> DataFrame:
-    """Links ``a``, ``b`` between classes whose joins give the components of all links."""
-    clusters = stored(_clusters(classes, folder), folder, "clusters")
-    members = clusters.join(classes, "rep")
+def near_groups(documents: DataFrame, classes: DataFrame, folder: str, block_classes: int = BLOCK_CLASSES) -> DataFrame:
+    """``rep`` and ``component``, the smallest document id of its component, for every
+    class that has a cluster."""
+    members = _clusters(classes, folder).join(classes, "rep")
+    members = stored(members, folder, "members")
     sizes = members.groupBy("cluster").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("size"))
     blocks = F.greatest(F.ceil(F.col("n") / block_classes), F.ceil(F.col("size") / BLOCK_SHINGLES)).cast("int")
     sizes = stored(sizes.select("cluster", "n", blocks.alias("blocks")), folder, "sizes")
@@ -252,34 +258,41 @@ def near_links(documents: DataFrame, classes: DataFrame, folder: str, block_clas
     every = F.when(F.col("rep") == F.col("cluster"), F.sequence(F.lit(0), F.col("blocks") - 1)).otherwise(F.array("block"))
     name = F.when(F.col("blocks") == 1, -1 - F.pmod(F.xxhash64("cluster"), F.lit(bins))).otherwise(F.col("cluster"))
     wanted = placed.select(
-        "doc_id", "rep", "key1", "key2", "cluster", "blocks", "block", name.alias("bin"), F.explode(every).alias("at"), "signature"
+        "doc_id", "rep", "low", "key1", "key2", "cluster", "blocks", "block", name.alias("bin"), F.explode(every).alias("at"), "signature"
     )
-    wanted = stored(wanted, folder, "placed")
     texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    first = wanted.join(texts, "doc_id").groupBy("bin", "at").applyInArrow(_link_block, _LINKS)
-    links = stored(first, folder, "links")
-
-    large = wanted.where("blocks > 1 and at = block")
-    if large.isEmpty():
-        return links
-    joined = components(links, folder, "joined").withColumnRenamed("node", "rep")
-    rooted = large.join(joined, "rep", "left").withColumn("root", F.coalesce("root", "rep"))
-    groups = rooted.groupBy("cluster", "root").agg(F.count("*").alias("n"))
-    main = groups.groupBy("cluster").agg(F.max_by("root", F.struct("n", "root")).alias("main"))
+    met = wanted.join(texts, "doc_id").groupBy("bin", "at").applyInArrow(_link_block, _GROUPS)
+    groups = stored(met, folder, "groups")
+    done = groups.where("not large").select("rep", F.col("low").alias("component"))
+    if sizes.where("blocks > 1").isEmpty():
+        return done
+    return done.unionAll(_large_groups(stored(wanted.where("blocks > 1"), folder, "large"), texts, groups, folder, block_classes))
+
+
+def _large_groups(large: DataFrame, texts: DataFrame, groups: DataFrame, folder: str, block_classes: int) -> DataFrame:
+    """Components of the clusters of several blocks. Their blocks are tied by the first
+    class of the cluster; what is then outside the cluster's largest group meets the other
+    blocks as guests."""
+    links = groups.where("large").select(F.col("rep").alias("a"), F.col("root").alias("b"))
+    joined = components(links, folder, "blocks").withColumnRenamed("node", "rep")
+    rooted = large.where("at = block").join(joined, "rep")
+    parts = rooted.groupBy("cluster", "root").agg(F.count("*").alias("n"))
+    main = parts.groupBy("cluster").agg(F.max_by("root", F.struct("n", "root")).alias("main"))
     rooted = stored(rooted.join(main, "cluster"), folder, "rooted")
     outside = rooted.where("root <> main")
     shares = outside.groupBy("cluster").agg(F.ceil(F.count("*") / block_classes).cast("int").alias("shares"))
     held = [c for c in rooted.columns if c not in ("at", "main")]
     others = F.explode(F.filter(F.sequence(F.lit(0), F.col("blocks") - 1), lambda b: b != F.col("block")))
-    guests = outside.join(shares, "cluster").select(
-        *held, others.alias("at"), F.pmod(F.xxhash64("rep", F.lit(1)), "shares").cast("int").alias("share"), F.lit(True).alias("guest")
-    )
-    hosts = rooted.join(shares, "cluster").select(
-        *held, F.col("block").alias("at"), F.explode(F.sequence(F.lit(0), F.col("shares") - 1)).alias("share"), F.lit(False).alias("guest")
-    )
+    share = F.pmod(F.xxhash64("rep", F.lit(1)), "shares").cast("int")
+    guests = outside.join(shares, "cluster").select(*held, others.alias("at"), share.alias("share"), F.lit(True).alias("guest"))
+    numbers = F.explode(F.sequence(F.lit(0), F.col("shares") - 1))
+    hosts = rooted.join(shares, "cluster").select(*held, F.col("block").alias("at"), numbers.alias("share"), F.lit(False).alias("guest"))
     met = guests.unionAll(hosts).join(texts, "doc_id")
-    more = met.groupBy("cluster", "at", "share").applyInArrow(_link_guests, _LINKS)
-    return links.unionAll(stored(more, folder, "guests"))
+    more = stored(met.groupBy("cluster", "at", "share").applyInArrow(_link_guests, _LINKS), folder, "guests")
+    final = components(joined.select(F.col("rep").alias("a"), F.col("root").alias("b")).unionAll(more), folder, "final")
+    lows = rooted.select("rep", "low").join(final.withColumnRenamed("node", "rep"), "rep")
+    lowest = lows.groupBy(F.col("root").alias("top")).agg(F.min("low").alias("component"))
+    return lows.join(lowest, F.col("root") == F.col("top")).select("rep", "component")
 
 
 def report(documents: DataFrame, block_classes: int = BLOCK_CLASSES) -> DataFrame:
@@ -288,18 +301,13 @@ def report(documents: DataFrame, block_classes: int = BLOCK_CLASSES) -> DataFram
     rows = sketches(documents, folder)
     keys = ["n_shingles", "key1", "key2"]
     linkable = rows.where("n_shingles > 0 and doc_id is not null")
-    found = linkable.groupBy(*keys).agg(F.min("row").alias("rep"), F.min("doc_id").alias("low"))
-    found = stored(found, folder, "classes")
-    signed = rows.select(F.col("row").alias("rep"), "doc_id", "signature").join(found.drop("low"), "rep")
-    classes = stored(signed, folder, "signed")
-
-    links = near_links(documents, classes, folder, block_classes)
-    rooted = components(links, folder, "final").withColumnRenamed("node", "rep")
-    joined = found.join(rooted, "rep")
-    lowest = joined.groupBy("root").agg(F.min("low").alias("component"))
-    of_class = stored(joined.join(lowest, "root").select(*keys, "component"), folder, "components")
-    lows = found.select(*keys, "low").join(of_class, keys, "left")
-    labels = lows.select(*keys, F.coalesce("component", "low").alias("component"))
+    one = F.min_by(F.struct("row", "doc_id", "signature"), "row").alias("one")
+    found = linkable.groupBy(*keys).agg(one, F.min("doc_id").alias("low"))
+    found = found.select(*keys, F.col("one.row").alias("rep"), "one.doc_id", "one.signature", "low")
+    classes = stored(found, folder, "classes")
+
+    groups = stored(near_groups(documents, classes, folder, block_classes), folder, "components")
+    labels = classes.join(groups, "rep", "left").select(*keys, F.coalesce("component", "low").alias("component"))
     labelled = rows.select("doc_id", *keys).join(labels, keys, "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
     return labelled.select("doc_id", "n_shingles", component.alias("component_id")).withColumn(
