@@ -11,9 +11,10 @@ from depotlens.schema import SOURCE_SYSTEMS
 
 
 def padded_code(prefix: str, number: Column, width: int) -> Column:
-    """``prefix`` and a zero-padded number. Like SQL ``lpad`` this cuts longer
-    numbers, so ``width`` must cover the range of ``number``."""
-    return F.concat(F.lit(prefix), F.lpad(number.cast("string"), width, "0"))
+    """``prefix`` and a number padded with zeros to ``width``; longer numbers stay whole."""
+    digits = number.cast("string")
+    padded = F.when(F.length(digits) >= width, digits).otherwise(F.lpad(digits, width, "0"))
+    return F.concat(F.lit(prefix), padded)
 
 
 def source_name(index: Column, names: Sequence[str] = SOURCE_SYSTEMS) -> Column:
@@ -22,13 +23,19 @@ def source_name(index: Column, names: Sequence[str] = SOURCE_SYSTEMS) -> Column:
     return F.coalesce(F.get(lookup, index.cast("int")), F.lit(names[-1]))
 
 
-def hours_before(moment: Column, hours: Column) -> Column:
-    return moment - F.make_dt_interval(hours=hours)
+IDS_PER_MILLISECOND = 100_000
 
 
-def time_ordered_id(moment: Column, number: Column) -> Column:
-    """Ids that grow with the batch time (an instant); ``number`` must stay below 100000."""
-    return (F.unix_millis(moment) * F.lit(100_000) + number).cast("bigint")
+def time_ordered_id(moment: Column, number: Column, span_ms: int = 1) -> Column:
+    """Ids that grow with the batch time (an instant).
+
+    A batch owns ``span_ms`` milliseconds of ids, so batches at least that far apart
+    never share one. A ``number`` that does not fit fails the job."""
+    room = span_ms * IDS_PER_MILLISECOND
+    fits = (number >= 0) & (number < room)
+    message = F.concat(F.lit(f"id number outside 0..{room - 1}: "), number.cast("string"))
+    checked = F.when(number.isNull() | fits, number).otherwise(F.raise_error(message))
+    return (F.unix_millis(moment) * F.lit(IDS_PER_MILLISECOND) + checked).cast("bigint")
 
 
 def time_stamp(moment: Column) -> Column:

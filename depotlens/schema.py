@@ -41,7 +41,7 @@ POSITION = ("market_key", "terminal_id", "product_id")
 OFFER = ("market_key", "product_id")
 LANE = ("route_id", "market_key", "terminal_id")
 
-# Business key of each gold table. The decision table repeats its key once per
+# Business key of each gold table. The decision table repeats its key once per
 # dispatch lane of the market, so the key identifies a decision, not a row.
 KEYS = {
     "gold_inventory_visibility": POSITION,
@@ -58,6 +58,7 @@ def signal_schema(clock: T.DataType | None = None) -> T.StructType:
     instants by default, ``TimestampNTZType()`` for zone-less Parquet."""
     clock = clock or T.TimestampType()
     text, real = T.StringType(), T.DoubleType()
+    # Names and order of the columns.
     columns = {
         "id": T.LongType(),
         "source_system": text,

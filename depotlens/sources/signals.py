@@ -27,10 +27,19 @@ def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.schema(ORDER_TABLES[name]).parquet(f"{folder}/{name}.parquet")
 
 
+# Batches land at least a minute apart, which leaves a batch room for 6 billion ids.
+BATCH_SPAN_MS = 60_000
+
+
 def conform_signals(
-    lineitem: DataFrame, orders: DataFrame, customer: DataFrame, batch_tag: str = "orders"
+    lineitem: DataFrame,
+    orders: DataFrame,
+    customer: DataFrame,
+    batch_tag: str = "orders",
+    wide: bool = False,
 ) -> DataFrame:
-    """One signal per order line.
+    """One signal per order line. With ``wide`` every supplier is a terminal and every
+    customer a location, so that the groups grow with the data.
 
     Orders meet customers first, as that side is narrow and has one row per order;
     the large line table is then shuffled once. Orders and lines grow together, so
@@ -44,15 +53,18 @@ def conform_signals(
     part, supplier, nation = F.col("l_partkey"), F.col("l_suppkey"), F.col("c_nationkey")
     route, quantity = order % 5, F.col("l_quantity")
     record = order * 8 + line
+    terminal, location = supplier, F.col("o_custkey")
+    if not wide:
+        terminal, location = terminal % 6, location % 12
     columns = {
         "id": record,
         "source_system": F.when(order % 97 != 0, source_name(order % 12)),
         "signal_timestamp": F.col("l_shipdate"),
         "market_key": padded_code("MKT-", nation, 2),
-        "terminal_id": padded_code("TRM-", supplier % 6, 3),
+        "terminal_id": padded_code("TRM-", terminal, 3),
         "product_id": padded_code("PRD-", part % 8, 2),
         "route_id": padded_code("RTE-", route, 3),
-        "retail_location_id": padded_code("LOC-", F.col("o_custkey") % 12, 4),
+        "retail_location_id": padded_code("LOC-", location, 4),
         "inventory_units": F.lit(350.0) + part % 8 * 60 + quantity * 4,
         "demand_units": F.lit(120.0) + nation * 3 + quantity,
         "wholesale_cost": F.lit(150.0) + line * 5,
@@ -69,20 +81,28 @@ def conform_signals(
     return lines.select(*[columns[field.name].alias(field.name) for field in SIGNALS])
 
 
-def signals_from(spark: SparkSession, folder: str, batch_tag: str = "orders") -> DataFrame:
+def signals_from(
+    spark: SparkSession, folder: str, batch_tag: str = "orders", wide: bool = False
+) -> DataFrame:
     tables = (read_table(spark, folder, name) for name in ORDER_TABLES)
-    return conform_signals(*tables, batch_tag=batch_tag)
+    return conform_signals(*tables, batch_tag=batch_tag, wide=wide)
 
 
-def stamp_batch(signals: DataFrame, batch_tag: str, landed_at: datetime | Column) -> DataFrame:
+def stamp_batch(
+    signals: DataFrame,
+    batch_tag: str,
+    landed_at: datetime | Column,
+    span_ms: int = BATCH_SPAN_MS,
+) -> DataFrame:
     """Lineage of one landed batch. ``landed_at`` is an instant, given by the caller
-    so that a repeated attempt stamps the same batch the same way."""
+    so that a repeated attempt stamps the same batch the same way; the next batch must
+    not land within ``span_ms`` of it."""
     tag = _checked_tag(batch_tag)
     moment = landed_at if isinstance(landed_at, Column) else F.lit(landed_at)
     clock = signals.schema["record_created_ts"].dataType
     return signals.withColumns(
         {
-            "id": time_ordered_id(moment, F.col("id")),
+            "id": time_ordered_id(moment, F.col("id"), span_ms),
             "source_record_id": _record_label(tag, F.col("id")),
             "ingest_batch_id": F.concat(F.lit(f"BATCH-{tag}-"), time_stamp(moment)),
             "record_created_ts": moment.cast(clock),

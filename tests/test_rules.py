@@ -143,13 +143,32 @@ def test_scalar_helpers(spark):
     moment = F.lit("2024-05-01 03:04:05").cast("timestamp")
     row = spark.range(1).select(
         scalars.padded_code("X-", F.lit(7), 3).alias("padded"),
-        scalars.padded_code("X-", F.lit(12345), 4).alias("cut"),
-        scalars.hours_before(moment, F.lit(5)).cast("string").alias("earlier"),
+        scalars.padded_code("X-", F.lit(12345), 4).alias("longer"),
         scalars.time_stamp(moment).alias("stamp"),
         scalars.time_ordered_id(moment, F.lit(42)).alias("id"),
     ).first()
-    assert (row.padded, row.cut) == ("X-007", "X-1234")
-    assert row.earlier == "2024-04-30 22:04:05"
+    assert (row.padded, row.longer) == ("X-007", "X-12345")
     assert row.stamp == "20240501030405"
     assert row.id == 1714532645000 * 100_000 + 42
     assert scalars.sql_quoted("it's") == "'it''s'"
+
+
+def test_padded_codes_of_different_numbers_differ(spark):
+    numbers = frame(spark, "n int", *[(n,) for n in (1, 10, 100, 101, 1000)])
+    codes = column(numbers.select("n", scalars.padded_code("M-", F.col("n"), 2).alias("c")), "c")
+    assert codes == ["M-01", "M-10", "M-100", "M-101", "M-1000"]
+
+
+def test_ids_of_batches_a_millisecond_apart_differ(spark):
+    rows = frame(spark, "n bigint", (0,), (99_999,), (None,))
+    first, second = (
+        F.lit(f"2024-05-01 03:04:05.00{k}").cast("timestamp") for k in range(2)
+    )
+    ids = [{r.i for r in rows.select(scalars.time_ordered_id(m, F.col("n")).alias("i")).collect()} for m in (first, second)]
+    assert ids[0] & ids[1] == {None} and len(ids[0] | ids[1]) == 5
+    for number in (100_000, -1):
+        late = frame(spark, "n bigint", (number,)).select(scalars.time_ordered_id(first, F.col("n")))
+        with pytest.raises(Exception, match="id number outside 0..99999"):
+            late.collect()
+    wide = frame(spark, "n bigint", (100_000,)).select(scalars.time_ordered_id(first, F.col("n"), 2).alias("i"))
+    assert wide.first().i == min(i for i in ids[1] if i is not None)
