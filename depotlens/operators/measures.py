@@ -126,16 +126,12 @@ def rollup(signals: DataFrame, states: Iterable[State]) -> DataFrame:
     return signals.groupBy(*grain).agg(*[c.alias(n) for n, c in parts.items()])
 
 
-def families(states: Mapping[str, State], one_pass: bool = False) -> list[dict[str, State]]:
+def families(states: Mapping[str, State]) -> list[dict[str, State]]:
     """States that share a rollup.
 
-    By default a state joins another only if its groups are unions of the other's,
-    so no rollup has more groups than a state that is wanted anyway, and map-side
-    aggregation shrinks it as well as it can. ``one_pass`` puts all into one family:
-    right where the signals are costly to derive and even the finest groups are few
-    against the rows of a task."""
-    if one_pass:
-        return [dict(states)]
+    A state joins another only if its groups are unions of the other's, so no rollup
+    has more groups than a state that is wanted anyway, and map-side aggregation
+    shrinks it as well as it can."""
     found: list[dict[str, State]] = []
     for name, state in sorted(states.items(), key=lambda item: -len(item[1].grain())):
         for family in found:

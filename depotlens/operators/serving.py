@@ -2,21 +2,37 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from dataclasses import dataclass
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from depotlens.functions.rules import DEFAULT, Limits
 from depotlens.functions.scalars import first_match
-from depotlens.operators.fanout import PAIRS_PER_BLOCK, fan_out_join
+from depotlens.operators.fanout import PAIRS_PER_BLOCK, block_tasks, fan_out_join
 from depotlens.schema import OFFER
 
-# Action and reason per case, first case wins.
-ACTIONS = {
-    "replenish": ("increase_terminal_replenishment", "inventory_gap_with_demand_surge"),
-    "freight": ("reroute_dispatch", "route_cost_threshold"),
-    "risk": ("escalate_dispatch_review", "telematics_and_dispatch_risk"),
-    "none": ("maintain_current_plan", "criteria_within_tolerance"),
-}
+
+
+@dataclass(frozen=True)
+class Rule:
+    """A case of the decision table. Its flags belong to the planner row or to the lane."""
+
+    flags: tuple[str, ...]
+    action: str
+    reason: str
+
+
+# The cases in order, the first whose flags are all true decides.
+RULES = (
+    Rule(("inventory_risk_flag", "demand_surge_flag"), "increase_terminal_replenishment", "inventory_gap_with_demand_surge"),
+    Rule(("freight_risk_flag",), "reroute_dispatch", "route_cost_threshold"),
+    Rule(("high_risk",), "escalate_dispatch_review", "telematics_and_dispatch_risk"),
+)
+OTHERWISE = Rule((), "maintain_current_plan", "criteria_within_tolerance")
+POSITION_FLAGS = ("inventory_risk_flag", "demand_surge_flag")
 
 
 def inventory_visibility(inventory: DataFrame, limits: Limits = DEFAULT) -> DataFrame:
@@ -128,8 +144,10 @@ def decisions(
     limits: Limits = DEFAULT,
     as_of: Column | None = None,
     pairs_per_block: int = PAIRS_PER_BLOCK,
+    tasks: int | None = None,
 ) -> DataFrame:
-    """One row per planner row and dispatch lane of its market, with the action to take."""
+    """One row per planner row and dispatch lane of its market, with the action to take.
+    ``tasks`` is passed to the join, see :func:`decision_tasks`."""
     positions = _forecast_positions(planner, forecast)
     paired = fan_out_join(
         positions,
@@ -140,21 +158,20 @@ def decisions(
         carry=("route_cost_exposure", "dispatch_risk_level"),
         how="left",
         pairs_per_block=pairs_per_block,
+        tasks=tasks,
     )
-    flagged = paired.withColumns(_lane_defaults()).withColumns(
-        {
-            "inventory_risk_flag": F.col("inventory_pressure_score") > limits.pressure_above,
-            "demand_surge_flag": F.col("ai_forecast_units") > limits.growth_above,
-            "freight_risk_flag": F.col("route_cost_exposure") > limits.freight_above,
-        }
-    )
-    return flagged.withColumns(
-        {
-            "ai_query_action": _outcome(0),
-            "ai_query_reason_code": _outcome(1),
-            "decision_timestamp": F.current_timestamp() if as_of is None else as_of,
-        }
+    flags = _flags(limits)
+    flagged = paired.withColumns(_lane_defaults()).withColumns(flags)
+    decided = flagged.withColumns(
+        {**_outcome(), "decision_timestamp": F.current_timestamp() if as_of is None else as_of}
     )
+    return decided.drop("high_risk")
+
+
+def decision_tasks(planner: DataFrame, dispatch: DataFrame) -> int:
+    """Tasks for :func:`decisions` over stored tables. Every planner row has one forecast
+    row, so planner rows are the positions."""
+    return block_tasks(planner, dispatch, "market_key")
 
 
 def decision_counts(
@@ -165,36 +182,30 @@ def decision_counts(
 ) -> DataFrame:
     """Rows of :func:`decisions` per action and reason, without building them.
 
-    A decision depends on one truth value of the planner row and two of the lane.
-    So each side shrinks to at most a handful of rows per market before they meet,
+    A decision depends on flags of the planner row and flags of the lane only. So each
+    side shrinks to one row per market and combination of its flags before they meet,
     and the number of pairs is the product of the two counts."""
-    surge = (F.col("inventory_pressure_score") > limits.pressure_above) & (
-        F.col("ai_forecast_units") > limits.growth_above
-    )
+    flags = _flags(limits)
+    of_position = [flags[name].alias(name) for name in POSITION_FLAGS]
+    of_lane = [flag.alias(name) for name, flag in flags.items() if name not in POSITION_FLAGS]
     positions = (
         _forecast_positions(planner, forecast)
-        .groupBy("market_key", F.coalesce(surge, F.lit(False)).alias("replenish"))
+        .groupBy("market_key", *of_position)
         .agg(F.count("*").alias("positions"))
     )
     lanes = (
         dispatch.select("market_key", "route_cost_exposure", "dispatch_risk_level")
         .withColumns(_lane_defaults())
-        .groupBy(
-            "market_key",
-            (F.col("route_cost_exposure") > limits.freight_above).alias("freight_risk_flag"),
-            (F.col("dispatch_risk_level") == "high").alias("high_risk"),
-        )
+        .groupBy("market_key", *of_lane)
         .agg(F.count("*").alias("lanes"))
     )
-    case = F.when(F.col("replenish"), "replenish")
-    case = case.when(F.col("freight_risk_flag"), "freight").when(F.col("high_risk"), "risk")
     pairs = F.col("positions") * F.coalesce(F.col("lanes"), F.lit(1))
-    counted = (
+    labels = [label.alias(name) for name, label in _outcome().items()]
+    return (
         positions.join(lanes, "market_key", "left")
-        .groupBy(case.otherwise("none").alias("case"))
+        .groupBy(*labels)
         .agg(F.sum(pairs).alias("decision_count"))
     )
-    return counted.select(_named("case", 0), _named("case", 1), "decision_count")
 
 
 def _forecast_positions(planner: DataFrame, forecast: DataFrame) -> DataFrame:
@@ -209,16 +220,23 @@ def _lane_defaults() -> dict[str, Column]:
     }
 
 
-def _outcome(part: int) -> Column:
-    return first_match(
-        (F.col("inventory_risk_flag") & F.col("demand_surge_flag"), ACTIONS["replenish"][part]),
-        (F.col("freight_risk_flag"), ACTIONS["freight"][part]),
-        (F.col("dispatch_risk_level") == "high", ACTIONS["risk"][part]),
-        otherwise=ACTIONS["none"][part],
-    )
+def _flags(limits: Limits) -> dict[str, Column]:
+    return {
+        "inventory_risk_flag": F.col("inventory_pressure_score") > limits.pressure_above,
+        "demand_surge_flag": F.col("ai_forecast_units") > limits.growth_above,
+        "freight_risk_flag": F.col("route_cost_exposure") > limits.freight_above,
+        "high_risk": F.col("dispatch_risk_level") == "high",
+    }
+
+
+def _outcome() -> dict[str, Column]:
+    """Action and reason over the flags; a flag that is NULL is not true."""
 
+    def label(of: Callable[[Rule], str]) -> Column:
+        arms = [(reduce(Column.__and__, map(F.col, rule.flags)), of(rule)) for rule in RULES]
+        return first_match(*arms, otherwise=of(OTHERWISE))
 
-def _named(case: str, part: int) -> Column:
-    arms = [(F.col(case) == name, ACTIONS[name][part]) for name in ("replenish", "freight", "risk")]
-    label = ("ai_query_action", "ai_query_reason_code")[part]
-    return first_match(*arms, otherwise=ACTIONS["none"][part]).alias(label)
+    return {
+        "ai_query_action": label(lambda rule: rule.action),
+        "ai_query_reason_code": label(lambda rule: rule.reason),
+    }

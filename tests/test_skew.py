@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import pytest
 from compare import assert_same, connect
+from pyspark.sql import functions as F
+
+from depotlens.operators.fanout import block_grid, block_tasks
 
 from depotlens.plans.oracle import ORACLE
 from depotlens.plans.registry import QUERIES
@@ -71,3 +74,27 @@ def test_no_broadcast(spark, data, large, name):
     with connect(data) as duck:
         expected = duck.execute(ORACLE[name]).df()
     assert_same(QUERIES[name](spark, data), expected)
+
+
+@pytest.mark.parametrize(
+    ("lefts", "rights"),
+    [(10**6, 10**6), (10**6, 100), (100, 10**6), (10**5, 10**5), (3, 10**7), (2001, 2000)],
+)
+def test_blocks_copy_little(spark, lefts, rights):
+    """Copies of both sides stay near those of a square grid, and no block is too large."""
+    block = 4_000_000
+    counts = spark.createDataFrame([(lefts, rights)], "l bigint, r bigint")
+    strips, bands = counts.select(*block_grid(F.col("l"), F.col("r"), block)).first()
+    assert 1 <= strips <= lefts and 1 <= bands <= rights
+    assert -(-lefts // strips) * -(-rights // bands) <= 1.5 * block
+    blocks = -(-lefts * rights // block)
+    bands_best = min(max((blocks * rights / lefts) ** 0.5, 1), rights, blocks)
+    best = lefts * bands_best + rights * max(blocks / bands_best, 1)
+    assert lefts * bands + rights * strips <= 2 * best
+
+
+def test_tasks_follow_the_pairs(spark):
+    left = spark.range(1000).select(F.lit("M").alias("market_key"))
+    right = spark.range(500).select(F.lit("M").alias("market_key"))
+    assert block_tasks(left, right, "market_key", 100_000) == 5
+    assert block_tasks(left, right.limit(0), "market_key") == 1
