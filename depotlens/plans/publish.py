@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from typing import Protocol
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -44,15 +44,28 @@ def serving_type(kind: T.DataType) -> str:
     return _serving(kind)[1]
 
 
-def serving_columns(frame: DataFrame) -> DataFrame:
-    """Columns cast to the types the serving side stores."""
+def serving_columns(frame: DataFrame, zone: str = "UTC") -> DataFrame:
+    """Columns cast to the types the serving side stores. Times without a zone are read
+    as times of ``zone``, whatever the zone of the session."""
     columns: list[Column] = []
     for column in frame.schema:
-        target = _serving(column.dataType)[0]
-        columns.append(F.col(f"`{column.name}`").cast(target).alias(column.name))
+        value = F.col(_ticked(column.name))
+        if isinstance(column.dataType, T.TimestampNTZType):
+            value = _instant(column.name, zone)
+        columns.append(value.cast(_serving(column.dataType)[0]).alias(column.name))
     return frame.select(*columns)
 
 
+def _ticked(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _instant(name: str, zone: str) -> Column:
+    start = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
+    micros = F.expr(f"timestampdiff(MICROSECOND, {start}, {_ticked(name)})")
+    return F.to_utc_timestamp(F.timestamp_micros(micros), zone)
+
+
 def describe_columns(schema: T.StructType) -> list[tuple[int, str, str, str]]:
     """Position, name, Spark type and serving type of each column."""
     return [
@@ -94,14 +107,20 @@ class FolderTarget:
         return counts(self.store.read(name), keys)
 
 
+def quoted(name: str) -> str:
+    """``name`` as an SQL identifier."""
+    return '"' + name.replace('"', '""') + '"'
+
+
 @dataclass(frozen=True)
 class JdbcTarget:
-    """Serving copy in a relational server, written by the executors in parallel.
+    """Serving copy in a relational server, filled by the executors in parallel.
 
-    An existing table is truncated and filled again, so grants and column types
-    stay; the schema must exist. Each task commits its own part, so readers can see
-    a table half filled, and a task that is repeated after its commit got lost
-    doubles its part. The reconciliation that follows reports both."""
+    The executors write to a staging table, each task in its own transaction. Only when
+    the staging table has the rows of the source, one transaction of the driver empties
+    the serving table, fills it from the staging table and drops that. So readers see the
+    old table or the new one, and a repeated task is noticed before the swap. The serving
+    table is created on first use and keeps its grants after that."""
 
     spark: SparkSession
     url: str
@@ -115,31 +134,82 @@ class JdbcTarget:
             raise ValueError("a JDBC url is required to publish")
 
     def full_name(self, name: str) -> str:
-        return f"{self.schema}.{name}" if self.schema else name
+        return f"{quoted(self.schema)}.{quoted(name)}" if self.schema else quoted(name)
+
+    def staging(self, name: str) -> str:
+        return f"{name}__staging"
 
     def write_options(self, name: str) -> dict[str, str]:
         return {
             **self.properties,
             "url": self.url,
-            "dbtable": self.full_name(name),
-            "truncate": "true",
+            "dbtable": self.full_name(self.staging(name)),
             "batchsize": str(self.batch_rows),
-            "numPartitions": str(self.connections),
         }
 
+    def create(self, name: str, columns: T.StructType) -> str:
+        listed = ", ".join(f"{quoted(c.name)} {serving_type(c.dataType)}" for c in columns)
+        return f"CREATE TABLE IF NOT EXISTS {self.full_name(name)} ({listed})"
+
+    def preparation(self, name: str, columns: T.StructType) -> list[str]:
+        """Statements before the executors write."""
+        namespace = [f"CREATE SCHEMA IF NOT EXISTS {quoted(self.schema)}"] if self.schema else []
+        staging = self.staging(name)
+        return [*namespace, f"DROP TABLE IF EXISTS {self.full_name(staging)}", self.create(staging, columns)]
+
+    def swap(self, name: str, columns: T.StructType) -> list[str]:
+        """Statements of the one transaction that readers see."""
+        listed = ", ".join(quoted(c.name) for c in columns)
+        staging = self.full_name(self.staging(name))
+        return [
+            self.create(name, columns),
+            f"TRUNCATE TABLE {self.full_name(name)}",
+            f"INSERT INTO {self.full_name(name)} ({listed}) SELECT {listed} FROM {staging}",
+            f"DROP TABLE {staging}",
+        ]
+
     def count_query(self, name: str, keys: Sequence[str]) -> str:
         table = self.full_name(name)
         if not keys:
             return f"SELECT COUNT(*) AS row_count, 0 AS key_count FROM {table}"
-        per_key = f"SELECT COUNT(*) AS copies FROM {table} GROUP BY {', '.join(keys)}"
+        columns = ", ".join(map(quoted, keys))
+        per_key = f"SELECT COUNT(*) AS copies FROM {table} GROUP BY {columns}"
         return (
             "SELECT COALESCE(SUM(copies), 0) AS row_count, COUNT(*) AS key_count "
             f"FROM ({per_key}) key_rows"
         )
 
     def replace(self, name: str, frame: DataFrame) -> None:
-        writer = frame.write.format("jdbc").options(**self.write_options(name))
-        writer.mode("overwrite").save()
+        self.execute(self.preparation(name, frame.schema))
+        written = Observation()
+        # dealt anew, so that the table is computed in as many tasks as it needs
+        dealt = frame.observe(written, F.count("*").alias("rows")).repartition(self.connections)
+        self.fill(name, dealt)
+        found = self.counts(self.staging(name), ()).first()["row_count"]
+        if found != written.get["rows"]:
+            raise ReconciliationError(f"{name}: {written.get['rows']} rows sent, {found} staged")
+        self.execute(self.swap(name, frame.schema))
+
+    def fill(self, name: str, frame: DataFrame) -> None:
+        frame.write.format("jdbc").options(**self.write_options(name)).mode("append").save()
+
+    def execute(self, statements: Sequence[str]) -> None:
+        """All statements in one transaction of the driver."""
+        jvm = self.spark._jvm
+        settings = jvm.java.util.Properties()
+        for key, value in self.properties.items():
+            settings.setProperty(key, value)
+        connection = jvm.java.sql.DriverManager.getConnection(self.url, settings)
+        try:
+            connection.setAutoCommit(False)
+            for statement in statements:
+                connection.createStatement().execute(statement)
+            connection.commit()
+        except Exception:
+            connection.rollback()
+            raise
+        finally:
+            connection.close()
 
     def counts(self, name: str, keys: Sequence[str]) -> DataFrame:
         """Counted by the server; only one row comes back."""
@@ -182,6 +252,7 @@ def publish(
     target: Target,
     order: Sequence[str] = GOLD,
     keys: Mapping[str, Sequence[str]] = KEYS,
+    zone: str = "UTC",
 ) -> list[str]:
     """Replace each serving table in turn and check it; the first failure stops the run.
 
@@ -193,7 +264,7 @@ def publish(
         if not frame.columns:
             LOG.warning("table %s has no columns, skipped", name)
             continue
-        target.replace(name, serving_columns(frame))
+        target.replace(name, serving_columns(frame, zone))
         check(name, frame, target, keys.get(name, ()))
         LOG.info("published %s", name)
         done.append(name)

@@ -120,15 +120,68 @@ def test_serving_copy_keeps_values(spark, gold, target):
     assert as_set(copied) == as_set(gold[name])
 
 
-def test_jdbc_settings(spark):
-    target = publish.JdbcTarget(
-        spark, "jdbc:postgresql://host/db", "serving", {"user": "u"}, connections=4, batch_rows=500
-    )
-    assert target.write_options("t") == {
-        "user": "u", "url": "jdbc:postgresql://host/db", "dbtable": "serving.t",
-        "truncate": "true", "batchsize": "500", "numPartitions": "4",
-    }
-    query = target.count_query("t", KEY)
-    assert query.endswith("FROM serving.t GROUP BY market_key, product_id) key_rows")
+def test_times_without_zone_do_not_depend_on_the_session(spark):
+    rows = spark.sql("SELECT TIMESTAMP_NTZ'2024-01-01 00:00:00' AS t, TIMESTAMP_NTZ'2024-07-01 12:00:00' AS `a.b`")
+    before = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for session in ("UTC", "America/New_York"):
+            spark.conf.set("spark.sql.session.timeZone", session)
+            for zone, moved in (("UTC", 0), ("Europe/Berlin", 3600)):
+                sent = publish.serving_columns(rows, zone).selectExpr("unix_seconds(t)", "unix_seconds(`a.b`)").first()
+                assert tuple(sent) == (1704067200 - moved, 1719835200 - 2 * moved)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
+class Recorded(publish.JdbcTarget):
+    """A target that keeps its statements instead of running them."""
+
+    lost = 0
+
+    def execute(self, statements):
+        self.properties["log"].append(list(statements))
+
+    def fill(self, name, frame):
+        self.properties["log"].append(frame.count())
+
+    def counts(self, name, keys):
+        rows = self.properties["log"][-1] - self.lost
+        return self.spark.createDataFrame([(rows, 0)], "row_count bigint, key_count bigint")
+
+
+def test_jdbc_statements(spark):
+    log = []
+    target = Recorded(spark, "jdbc:postgresql://host/db", 'ser"ving', {"log": log}, batch_rows=500)
+    rows = spark.createDataFrame([(1, 2.0, "x"), (2, None, None)], "`group` bigint, `t; x` double, s string")
+    target.replace("t", rows)
+    columns = '("group" BIGINT, "t; x" DOUBLE PRECISION, "s" TEXT)'
+    assert log == [
+        [
+            'CREATE SCHEMA IF NOT EXISTS "ser""ving"',
+            'DROP TABLE IF EXISTS "ser""ving"."t__staging"',
+            f'CREATE TABLE IF NOT EXISTS "ser""ving"."t__staging" {columns}',
+        ],
+        2,
+        [
+            f'CREATE TABLE IF NOT EXISTS "ser""ving"."t" {columns}',
+            'TRUNCATE TABLE "ser""ving"."t"',
+            'INSERT INTO "ser""ving"."t" ("group", "t; x", "s") SELECT "group", "t; x", "s" FROM "ser""ving"."t__staging"',
+            'DROP TABLE "ser""ving"."t__staging"',
+        ],
+    ]
+    query = target.count_query("t", ("group", "t; x"))
+    assert query.endswith('FROM "ser""ving"."t" GROUP BY "group", "t; x") key_rows')
+    options = target.write_options("t")
+    assert options["dbtable"] == '"ser""ving"."t__staging"' and options["batchsize"] == "500"
     with pytest.raises(ValueError, match="url"):
         publish.JdbcTarget(spark, " ")
+
+
+def test_jdbc_swaps_only_what_is_whole(spark):
+    class Lossy(Recorded):
+        lost = 1
+
+    log = []
+    with pytest.raises(publish.ReconciliationError, match="t: 3 rows sent, 2 staged"):
+        Lossy(spark, "jdbc:x", properties={"log": log}).replace("t", spark.range(3))
+    assert len(log) == 2
