@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql.types import StructType
@@ -13,9 +13,8 @@ from depotlens.operators.measures import State, families, rollup
 from depotlens.operators.quality import expect_or_drop
 from depotlens.operators.states import STATES
 from depotlens.schema import BRONZE, GOLD, SIGNALS, SILVER
-from depotlens.sources.store import Store
-from depotlens.streaming.ingest import IngestReport, ingest
-
+from depotlens.sources.store import FolderStore, Store, scoped_store
+from depotlens.streaming.ingest import IngestReport, follow_table, ingest
 
 
 def gold_tables(
@@ -39,7 +38,10 @@ def gold_tables(
         exposure: kept(exposure, serving.dispatch_exposure(dispatch, limits)),
     }
     gold[sales] = kept(sales, serving.sales_context(gold[forecast], limits))
-    actions = serving.decisions(gold[planner], gold[forecast], gold[exposure], limits, as_of)
+    tasks = serving.decision_tasks(gold[planner], gold[exposure]) if store else None
+    actions = serving.decisions(
+        gold[planner], gold[forecast], gold[exposure], limits, as_of, tasks=tasks
+    )
     gold[decided] = kept(decided, actions)
     return gold
 
@@ -55,23 +57,24 @@ def build_all(
 
 
 def planned_states(
-    bronze: DataFrame,
-    store: Store,
-    states: Mapping[str, State] = STATES,
-    one_pass: bool = False,
+    bronze: DataFrame, work: Store, states: Mapping[str, State] = STATES
 ) -> dict[str, DataFrame]:
-    """Plans of the states. Where several share a rollup it is written to ``store``
+    """Plans of the states. Where several share a rollup it is written to ``work``
     first, so that each family of states reads the signals once, and only its columns."""
     plans: dict[str, DataFrame] = {}
-    for family in families(states, one_pass):
+    for family in families(states):
         if len(family) == 1:
             plans.update({name: state.from_signals(bronze) for name, state in family.items()})
         else:
-            parts = store.write(f"{next(iter(family))}_parts", rollup(bronze, family.values()))
+            parts = work.write(parts_name(family), rollup(bronze, family.values()))
             plans.update({name: state.from_rollup(parts) for name, state in family.items()})
     return plans
 
 
+def parts_name(family: Mapping[str, State]) -> str:
+    return f"{next(iter(family))}_parts"
+
+
 def materialize(
     bronze: DataFrame, store: Store, limits: Limits = DEFAULT, as_of: Column | None = None
 ) -> dict[str, DataFrame]:
@@ -79,8 +82,9 @@ def materialize(
 
     Only the states read bronze; everything later works on aggregates. Each table
     is replaced as a whole, so a refresh can be repeated, also after a failed one."""
-    plans = planned_states(bronze, store)
-    silver = {name: store.write(name, plans[name]) for name in SILVER}
+    with scoped_store(bronze.sparkSession) as work:
+        plans = planned_states(bronze, work)
+        silver = {name: store.write(name, plans[name]) for name in SILVER}
     return {**silver, **gold_tables(silver, limits, as_of, store)}
 
 
@@ -90,7 +94,58 @@ def update(
     schema: StructType = SIGNALS,
     limits: Limits = DEFAULT,
     as_of: Column | None = None,
+    max_bytes_per_batch: int | None = None,
 ) -> tuple[IngestReport, dict[str, DataFrame]]:
-    """One triggered run: stream what landed into bronze, then refresh the tables."""
-    report = ingest(store, checkpoint, schema)
+    """One triggered run: stream what landed into bronze, then refresh the tables.
+    The states are computed anew from all of bronze; see :func:`update_states`."""
+    report = ingest(store, checkpoint, schema, max_bytes_per_batch=max_bytes_per_batch)
     return report, materialize(store.read(BRONZE[0]), store, limits, as_of)
+
+
+def update_states(
+    store: Store,
+    checkpoint: str,
+    parts: FolderStore,
+    schema: StructType = SIGNALS,
+    limits: Limits = DEFAULT,
+    as_of: Column | None = None,
+    max_bytes_per_batch: int | None = None,
+) -> tuple[IngestReport, IngestReport, dict[str, DataFrame]]:
+    """Like :func:`update`, but only new signals are read.
+
+    A second stream follows bronze and adds the rollup of each of its batches to
+    ``parts``; the states are merged from those. The reports are of both streams."""
+    landed = ingest(store, f"{checkpoint}/bronze", schema, max_bytes_per_batch=max_bytes_per_batch)
+    rolled = roll_up_new(
+        store, f"{checkpoint}/parts", parts, schema, [*families(STATES)], max_bytes_per_batch
+    )
+    plans = states_from_parts(parts)
+    silver = {name: store.write(name, plans[name]) for name in SILVER}
+    return landed, rolled, {**silver, **gold_tables(silver, limits, as_of, store)}
+
+
+def roll_up_new(
+    store: Store,
+    checkpoint: str,
+    parts: FolderStore,
+    schema: StructType,
+    wanted: Sequence[Mapping[str, State]],
+    max_bytes_per_batch: int | None = None,
+) -> IngestReport:
+    """Rollups of the signals that reached bronze since the last run, one folder per
+    batch of the stream. A repeated batch replaces its folder, so it counts once."""
+
+    def keep(batch: DataFrame, number: int) -> None:
+        for family in wanted:
+            rolled = rollup(batch, family.values())
+            parts.write(f"{parts_name(family)}/batch={number}", rolled)
+
+    return follow_table(store, BRONZE[0], checkpoint, schema, keep, max_bytes_per_batch)
+
+
+def states_from_parts(parts: FolderStore) -> dict[str, DataFrame]:
+    plans: dict[str, DataFrame] = {}
+    for family in families(STATES):
+        rolled = parts.read(parts_name(family)).drop("batch")
+        plans.update({name: state.from_rollup(rolled) for name, state in family.items()})
+    return plans

@@ -6,7 +6,10 @@ bare ``0.35`` is a DECIMAL there."""
 
 from __future__ import annotations
 
-from depotlens.plans.registry import AS_OF, BATCH_TAG
+from datetime import timedelta
+
+from depotlens.functions.scalars import IDS_PER_MILLISECOND
+from depotlens.plans.registry import AS_OF, ASKED, BATCH_TAG, DRIFTED, LANDING_GAP_MS
 from depotlens.schema import GOLD, KEYS, SOURCE_SYSTEMS
 
 
@@ -23,16 +26,22 @@ def _source_case(index: str) -> str:
     return f"CASE {index} {arms} ELSE '{SOURCE_SYSTEMS[-1]}' END"
 
 
-SIGNALS = f"""signals AS (
+def _padded(number: str, width: int) -> str:
+    text = f"CAST({number} AS VARCHAR)"
+    return f"CASE WHEN length({text}) >= {width} THEN {text} ELSE lpad({text}, {width}, '0') END"
+
+
+def _signals(terminal: str = "l_suppkey % 6", location: str = "o_custkey % 12") -> str:
+    return f"""signals AS (
   SELECT
     l_orderkey * 8 + l_linenumber AS id,
     CASE WHEN l_orderkey % 97 = 0 THEN NULL ELSE {_source_case('l_orderkey % 12')} END AS source_system,
     l_shipdate AS signal_timestamp,
-    'MKT-' || lpad(CAST(c_nationkey AS VARCHAR), 2, '0') AS market_key,
-    'TRM-' || lpad(CAST(l_suppkey % 6 AS VARCHAR), 3, '0') AS terminal_id,
-    'PRD-' || lpad(CAST(l_partkey % 8 AS VARCHAR), 2, '0') AS product_id,
-    'RTE-' || lpad(CAST(l_orderkey % 5 AS VARCHAR), 3, '0') AS route_id,
-    'LOC-' || lpad(CAST(o_custkey % 12 AS VARCHAR), 4, '0') AS retail_location_id,
+    'MKT-' || {_padded('c_nationkey', 2)} AS market_key,
+    'TRM-' || {_padded(terminal, 3)} AS terminal_id,
+    'PRD-' || {_padded('l_partkey % 8', 2)} AS product_id,
+    'RTE-' || {_padded('l_orderkey % 5', 3)} AS route_id,
+    'LOC-' || {_padded(location, 4)} AS retail_location_id,
     {_d('350 + (l_partkey % 8) * 60')} + l_quantity * 4 AS inventory_units,
     {_d('120 + c_nationkey * 3')} + l_quantity AS demand_units,
     {_d('150 + l_linenumber * 5')} AS wholesale_cost,
@@ -161,13 +170,13 @@ DECIDED = f"""decided AS (
     LEFT JOIN exposure e ON p.market_key = e.market_key))"""
 
 PARTS = (
-    SIGNALS, BRONZE, INVENTORY, DEMAND, DISPATCH,
+    BRONZE, INVENTORY, DEMAND, DISPATCH,
     VISIBILITY, PLANNER, FORECAST, EXPOSURE, SALES, DECIDED,
 )
 
 
-def _over(body: str) -> str:
-    return "WITH " + ",\n".join(PARTS) + "\n" + body
+def _over(body: str, signals: str = _signals()) -> str:
+    return "WITH " + ",\n".join((signals, *PARTS)) + "\n" + body
 
 
 _GOLD_VIEWS = dict(
@@ -176,24 +185,56 @@ _GOLD_VIEWS = dict(
 
 
 def _per_gold_table(columns: str) -> str:
-    """One row per gold table; ``{rows}`` and ``{keys}`` stand for its two counts."""
+    """One row per gold table; ``{rows}`` and ``{keys}`` stand for its two counts, the
+    others for those of a copy without one market."""
     selects = []
     for name, view in _GOLD_VIEWS.items():
-        rows = f"(SELECT COUNT(*) FROM {view})"
-        keys = f"(SELECT COUNT(*) FROM (SELECT DISTINCT {', '.join(KEYS[name])} FROM {view}))"
-        selects.append(f"SELECT '{name}' AS table_name, " + columns.format(rows=rows, keys=keys))
+        counts = {}
+        for prefix, rows in (("", view), ("left_", f"(SELECT * FROM {view} WHERE market_key <> '{DRIFTED}')")):
+            distinct = f"(SELECT DISTINCT {', '.join(KEYS[name])} FROM {rows})"
+            counts[f"{prefix}rows"] = f"(SELECT COUNT(*) FROM {rows})"
+            counts[f"{prefix}keys"] = f"(SELECT COUNT(*) FROM {distinct})"
+        selects.append(f"SELECT '{name}' AS table_name, " + columns.format(**counts))
     return _over("\nUNION ALL\n".join(selects))
 
 
-_BY_SOURCE = "SELECT source_system, COUNT(*) AS row_count FROM {} GROUP BY source_system"
+_WIDE = _signals("l_suppkey", "o_custkey")
+_SUMMARY = """SELECT ai_query_action, ai_query_reason_code, COUNT(*) AS decision_count FROM decided
+GROUP BY ai_query_action, ai_query_reason_code
+ORDER BY decision_count DESC, ai_query_action, ai_query_reason_code"""
+# the join alone; a wide decision table is too large to build
+_WIDE_SUMMARY = """SELECT ai_query_action, ai_query_reason_code, CAST(SUM(n) AS BIGINT) AS decision_count FROM (
+  SELECT p.n * coalesce(e.n, 1) AS n,
+    CASE WHEN replenish THEN 'increase_terminal_replenishment' WHEN freight THEN 'reroute_dispatch'
+         WHEN high THEN 'escalate_dispatch_review' ELSE 'maintain_current_plan' END AS ai_query_action,
+    CASE WHEN replenish THEN 'inventory_gap_with_demand_surge' WHEN freight THEN 'route_cost_threshold'
+         WHEN high THEN 'telematics_and_dispatch_risk' ELSE 'criteria_within_tolerance' END AS ai_query_reason_code
+  FROM (
+    SELECT market_key, COUNT(*) AS n,
+      coalesce(inventory_pressure_score > CAST(0.2 AS DOUBLE) AND ai_forecast_units > 220, FALSE) AS replenish
+    FROM planner JOIN forecast USING (market_key, product_id) GROUP BY ALL) p
+  LEFT JOIN (
+    SELECT market_key, COUNT(*) AS n, coalesce(route_cost_exposure, 0) > 1100 AS freight,
+      dispatch_risk_level = 'high' AS high
+    FROM exposure GROUP BY ALL) e USING (market_key))
+GROUP BY ALL ORDER BY decision_count DESC, ai_query_action, ai_query_reason_code"""
+_BY_SOURCE = (
+    "SELECT source_system, COUNT(*) AS row_count FROM {} GROUP BY source_system"
+    " ORDER BY source_system NULLS FIRST"
+)
+_REASONS = """SELECT market_key, product_id, terminal_id, inventory_pressure_score,
+  weather_pressure_score, price_spread, planner_override_count, planner_reason_code FROM planner"""
+_LATER = (AS_OF + timedelta(milliseconds=LANDING_GAP_MS)).strftime("%Y%m%d%H%M%S")
 _DECISIONS = _over("SELECT * FROM decided")
 _STAMP = AS_OF.strftime("%Y%m%d%H%M%S")
 
 ORACLE: dict[str, str] = {
     "conform_signals": _over("SELECT * FROM signals"),
     "stamped_batch": _over(
-        f"""SELECT id AS id_in_batch, 'SRC-{BATCH_TAG}-' || CAST(id AS VARCHAR) AS source_record_id,
-  'BATCH-{BATCH_TAG}-{_STAMP}' AS ingest_batch_id, TIMESTAMP '{AS_OF}' AS record_created_ts
+        f"""SELECT id + (id % 2) * {LANDING_GAP_MS * IDS_PER_MILLISECOND} AS id_since_start,
+  'SRC-{BATCH_TAG}-' || CAST(id AS VARCHAR) AS source_record_id,
+  'BATCH-{BATCH_TAG}-' || CASE WHEN id % 2 = 0 THEN '{_STAMP}' ELSE '{_LATER}' END AS ingest_batch_id,
+  TIMESTAMP '{AS_OF}' + to_milliseconds((id % 2) * {LANDING_GAP_MS}) AS record_created_ts
 FROM signals"""
     ),
     "source_lookup": (
@@ -204,12 +245,15 @@ FROM signals"""
         """SELECT 'valid_source_system' AS expectation,
   COUNT(source_system) AS passed, COUNT(*) - COUNT(source_system) AS failed FROM signals"""
     ),
-    "stream_ingest": _over("SELECT * FROM bronze"),
+    "stream_ingest": _over("SELECT *, COUNT(*) OVER (PARTITION BY id % 2) AS passed_in_run FROM bronze"),
+    "incremental_states": _over("SELECT * FROM planner"),
+    "incremental_dispatch": _over("SELECT * FROM dispatch"),
     "raw_signals_by_source": _over(_BY_SOURCE.format("signals")),
     "signals_by_source": _over(_BY_SOURCE.format("bronze")),
     "inventory_state": _over("SELECT * FROM inventory"),
     "demand_drivers": _over("SELECT * FROM demand"),
     "dispatch_context": _over("SELECT * FROM dispatch"),
+    "dispatch_context_wide": _over("SELECT * FROM dispatch", _WIDE),
     "inventory_visibility": _over("SELECT * FROM visibility"),
     "planner_explainability": _over("SELECT * FROM planner"),
     "demand_forecast": _over("SELECT * FROM forecast"),
@@ -217,10 +261,8 @@ FROM signals"""
     "sales_context": _over("SELECT * FROM sales"),
     "decisions": _DECISIONS,
     "materialized_decisions": _DECISIONS,
-    "decision_summary": _over(
-        """SELECT ai_query_action, ai_query_reason_code, COUNT(*) AS decision_count
-FROM decided GROUP BY ai_query_action, ai_query_reason_code"""
-    ),
+    "decision_summary": _over(_SUMMARY),
+    "decision_summary_wide": _over(_WIDE_SUMMARY, _WIDE),
     "gold_row_counts": _per_gold_table("{rows} AS row_count"),
     "report_inventory_health": _over(
         """SELECT market_key, terminal_id, product_id, inventory_health, inventory_units_avg,
@@ -249,21 +291,25 @@ ORDER BY ai_forecast_units DESC NULLS LAST, market_key, product_id LIMIT 20"""
 FROM visibility GROUP BY market_key, terminal_id"""
     ),
     "ask_planner_reason": _over(
-        """SELECT market_key, product_id, terminal_id, inventory_pressure_score,
-  weather_pressure_score, price_spread, planner_override_count, planner_reason_code FROM planner"""
+        f"{_REASONS} WHERE market_key = '{ASKED[0]}' AND product_id = '{ASKED[1]}'"
     ),
+    "planner_reasons": _over(_REASONS),
     "ask_top_markets": _over(
         f"""SELECT market_key,
   CAST(SUM({_rounded("ai_forecast_units", 2, "DECIMAL(18,2)")}) AS DOUBLE) AS forecast_units
-FROM forecast GROUP BY market_key"""
+FROM forecast GROUP BY market_key ORDER BY forecast_units DESC NULLS LAST, market_key"""
     ),
     "ask_route_risk": _over(
         """SELECT route_id, MAX(route_cost_exposure) AS route_cost_exposure_peak,
   COUNT(*) FILTER (WHERE dispatch_risk_level = 'high') AS high_risk_lanes
-FROM exposure GROUP BY route_id"""
+FROM exposure GROUP BY route_id ORDER BY route_cost_exposure_peak DESC NULLS LAST, route_id"""
     ),
     "reconcile_counts": _per_gold_table("{rows} AS source_rows, {rows} AS target_rows"),
     "reconcile_keys": _per_gold_table(
         "{keys} AS source_keys, {keys} AS target_keys, TRUE AS ok"
     ),
+    "reconcile_drift": _per_gold_table(
+        "{rows} AS source_rows, {left_rows} AS target_rows, {keys} AS source_keys,"
+        " {left_keys} AS target_keys, {rows} = {left_rows} AND {keys} = {left_keys} AS ok"
+    ),
 }

@@ -1,8 +1,7 @@
 """Every query by name, over a folder of order tables.
 
-Queries on one state aggregate the signals directly. Queries on several states
-first store a rollup in the cluster's shared folder (see ``planned_states``), which
-reads the tables once instead of once per state and consumer."""
+Queries are lazy plans over the signals, except those that land, stream or store tables:
+these write to a working store in the cluster's shared folder."""
 
 from __future__ import annotations
 
@@ -13,13 +12,14 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from depotlens.functions.scalars import source_name
+from depotlens.functions.scalars import IDS_PER_MILLISECOND, source_name
 from depotlens.operators import serving, states
+from depotlens.operators.measures import families
 from depotlens.operators.quality import expect_or_drop, expectation_counts
 from depotlens.plans import graph, publish, reports
 from depotlens.schema import BRONZE, GOLD, KEYS, SILVER
 from depotlens.sources.signals import append_batch, read_table, signals_from, stamp_batch
-from depotlens.sources.store import working_store
+from depotlens.sources.store import FolderStore, working_store
 from depotlens.streaming.ingest import ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -27,6 +27,11 @@ Query = Callable[[SparkSession, str], DataFrame]
 # Clock of the registered queries, so that their results can be compared.
 AS_OF = datetime(2001, 2, 3, 4, 5, 6)
 BATCH_TAG = "orders"
+LANDING_GAP_MS = 1000
+# Market and product of the question about planner decisions, and the market that the
+# drifted copy lacks.
+ASKED = ("MKT-03", "PRD-02")
+DRIFTED = "MKT-07"
 INVENTORY, DEMAND, DISPATCH = SILVER
 VISIBILITY, PLANNER, FORECAST, EXPOSURE, SALES, DECISIONS = GOLD
 
@@ -39,12 +44,9 @@ def _bronze(spark: SparkSession, folder: str) -> DataFrame:
     return expect_or_drop(signals_from(spark, folder, BATCH_TAG))
 
 
-def _states(spark: SparkSession, folder: str, *names: str) -> dict[str, DataFrame]:
-    """States over a stored rollup. The signals come from a join and have few groups,
-    so one pass serves all."""
-    wanted = {name: states.STATES[name] for name in names or SILVER}
-    bronze = _bronze(spark, folder)
-    return graph.planned_states(bronze, working_store(spark), wanted, one_pass=True)
+def _states(spark: SparkSession, folder: str, *names: str, wide: bool = False) -> dict[str, DataFrame]:
+    bronze = expect_or_drop(signals_from(spark, folder, BATCH_TAG, wide))
+    return {name: states.STATES[name].from_signals(bronze) for name in names or SILVER}
 
 
 # sources and quality
@@ -55,16 +57,25 @@ def conform_signals(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def stamped_batch(spark: SparkSession, folder: str) -> DataFrame:
-    landed = _clock().cast("timestamp")
-    stamped = stamp_batch(signals_from(spark, folder, BATCH_TAG), BATCH_TAG, landed)
-    # the id counts milliseconds since 1970 in UTC, so it is given relative to the batch
-    start = F.unix_millis(landed) * F.lit(100_000)
-    return stamped.select(
-        (F.col("id") - start).alias("id_in_batch"),
-        "source_record_id",
-        "ingest_batch_id",
-        "record_created_ts",
-    )
+    """Two batches landed a second apart. Ids count from the first batch's start, since
+    they hold milliseconds since 1970 in UTC."""
+    signals = signals_from(spark, folder, BATCH_TAG)
+    first = _clock().cast("timestamp")
+    later = first + F.make_dt_interval(secs=F.lit(LANDING_GAP_MS / 1000))
+    start = F.unix_millis(first) * F.lit(IDS_PER_MILLISECOND)
+    halves = []
+    for half, landed in enumerate((first, later)):
+        rows = signals.where(F.pmod("id", F.lit(2)) == half)
+        stamped = stamp_batch(rows, BATCH_TAG, landed, LANDING_GAP_MS)
+        halves.append(
+            stamped.select(
+                (F.col("id") - start).alias("id_since_start"),
+                "source_record_id",
+                "ingest_batch_id",
+                "record_created_ts",
+            )
+        )
+    return halves[0].unionAll(halves[1])
 
 
 def source_lookup(spark: SparkSession, folder: str) -> DataFrame:
@@ -82,14 +93,46 @@ def expectation_metrics(spark: SparkSession, folder: str) -> DataFrame:
     return expectation_counts(signals_from(spark, folder, BATCH_TAG))
 
 
+def _landings(signals: DataFrame) -> list[DataFrame]:
+    """The signals in two landings, by the parity of their id."""
+    return [signals.where(F.pmod("id", F.lit(2)) == half) for half in range(2)]
+
+
 def stream_ingest(spark: SparkSession, folder: str) -> DataFrame:
-    """Land all signals and stream them into bronze; a second run finds nothing new."""
+    """Land the signals in two batches and stream each into bronze, with the number of
+    rows that each run read."""
     store = working_store(spark)
     signals = signals_from(spark, folder, BATCH_TAG)
-    append_batch(signals, store, even_files=False)
-    for _ in range(2):
-        ingest(store, store.path("progress"), signals.schema)
-    return store.read(BRONZE[0])
+    reports = []
+    for batch in _landings(signals):
+        append_batch(batch, store)
+        reports.append(ingest(store, store.path("progress"), signals.schema))
+    passed = [F.lit(r.counters["valid_source_system_passed"]).cast("bigint") for r in reports]
+    half = F.pmod("id", F.lit(2))
+    return store.read(BRONZE[0]).withColumn("passed_in_run", F.when(half == 0, passed[0]).otherwise(passed[1]))
+
+
+def _updated_states(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+    """States after two landings and two updates, each of which reads only new signals."""
+    store = working_store(spark)
+    parts = FolderStore(spark, store.path("parts"))
+    signals = signals_from(spark, folder, BATCH_TAG)
+    for batch in _landings(signals):
+        append_batch(batch, store)
+        ingest(store, store.path("progress/bronze"), signals.schema)
+        wanted = [*families(states.STATES)]
+        graph.roll_up_new(store, store.path("progress/parts"), parts, signals.schema, wanted)
+    return graph.states_from_parts(parts)
+
+
+def incremental_states(spark: SparkSession, folder: str) -> DataFrame:
+    """Inventory positions with the demand picture, from states kept up to date by parts."""
+    silver = _updated_states(spark, folder)
+    return serving.planner_explainability(silver[INVENTORY], silver[DEMAND])
+
+
+def incremental_dispatch(spark: SparkSession, folder: str) -> DataFrame:
+    return _updated_states(spark, folder)[DISPATCH]
 
 
 def raw_signals_by_source(spark: SparkSession, folder: str) -> DataFrame:
@@ -115,6 +158,11 @@ def dispatch_context(spark: SparkSession, folder: str) -> DataFrame:
     return states.dispatch_context(_bronze(spark, folder))
 
 
+def dispatch_context_wide(spark: SparkSession, folder: str) -> DataFrame:
+    """Lanes of every supplier; their number grows with the data."""
+    return _states(spark, folder, DISPATCH, wide=True)[DISPATCH]
+
+
 # gold tables
 
 
@@ -139,8 +187,10 @@ def planner_explainability(spark: SparkSession, folder: str) -> DataFrame:
     return serving.planner_explainability(silver[INVENTORY], silver[DEMAND])
 
 
-def _decision_inputs(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    silver = _states(spark, folder)
+def _decision_inputs(
+    spark: SparkSession, folder: str, wide: bool = False
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    silver = _states(spark, folder, wide=wide)
     return (
         serving.planner_explainability(silver[INVENTORY], silver[DEMAND]),
         serving.demand_forecast(silver[DEMAND]),
@@ -167,10 +217,23 @@ def decision_summary(spark: SparkSession, folder: str) -> DataFrame:
     return reports.ranked_summary(counted)
 
 
+def decision_summary_wide(spark: SparkSession, folder: str) -> DataFrame:
+    """The summary where every supplier is a terminal: the pairs it counts grow with the
+    square of the suppliers, the work does not."""
+    counted = serving.decision_counts(*_decision_inputs(spark, folder, wide=True))
+    return reports.ranked_summary(counted)
+
+
 def gold_row_counts(spark: SparkSession, folder: str) -> DataFrame:
-    """Rows of each gold table; decisions are counted without building the pairs."""
-    gold = graph.gold_tables(_states(spark, folder))
-    single = reports.row_counts({name: gold[name] for name in GOLD if name != DECISIONS})
+    """Rows of each gold table, from the three states: a projection has the rows of its
+    state, and decisions are counted without building the pairs."""
+    silver = _states(spark, folder)
+    gold = graph.gold_tables(silver)
+    single = reports.row_counts({PLANNER: gold[PLANNER]})
+    for state, tables in ((INVENTORY, (VISIBILITY,)), (DEMAND, (FORECAST, SALES)), (DISPATCH, (EXPOSURE,))):
+        total = silver[state].agg(F.count("*").alias("row_count"))
+        names = F.explode(F.array(*map(F.lit, tables))).alias("table_name")
+        single = single.unionAll(total.select(names, "row_count"))
     counted = serving.decision_counts(gold[PLANNER], gold[FORECAST], gold[EXPOSURE])
     total = counted.agg(F.coalesce(F.sum("decision_count"), F.lit(0)).alias("row_count"))
     return single.unionAll(total.select(F.lit(DECISIONS).alias("table_name"), "row_count"))
@@ -197,6 +260,11 @@ def ask_inventory_by_terminal(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def ask_planner_reason(spark: SparkSession, folder: str) -> DataFrame:
+    """The question for one market and product; its filter reaches the signals."""
+    return reports.planner_reason(planner_explainability(spark, folder), *ASKED)
+
+
+def planner_reasons(spark: SparkSession, folder: str) -> DataFrame:
     return reports.planner_reason(planner_explainability(spark, folder))
 
 
@@ -211,16 +279,26 @@ def ask_route_risk(spark: SparkSession, folder: str) -> DataFrame:
 # publishing
 
 
-def _reconciled(spark: SparkSession, folder: str) -> DataFrame:
-    gold = graph.gold_tables(_states(spark, folder), as_of=_clock(), store=working_store(spark))
+def _reconciled(
+    spark: SparkSession, folder: str, shown: Callable[[DataFrame], DataFrame] = lambda frame: frame
+) -> DataFrame:
+    """Both sides of every gold table. Each is stored once, published once, and counted by
+    reading the stored and the published table. ``shown`` changes what is published."""
+    gold = graph.gold_tables(_stored_states(spark, folder), as_of=_clock(), store=working_store(spark))
     target = publish.FolderTarget(working_store(spark))
     rows = []
     for name in GOLD:
-        target.replace(name, publish.serving_columns(gold[name]))
+        target.replace(name, publish.serving_columns(shown(gold[name])))
         rows.append(publish.reconcile(name, gold[name], target, KEYS[name]))
     return reduce(DataFrame.unionAll, rows)
 
 
+def _stored_states(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+    work = working_store(spark)
+    plans = graph.planned_states(work.write(BRONZE[0], _bronze(spark, folder)), work)
+    return {name: work.write(name, plans[name]) for name in SILVER}
+
+
 def reconcile_counts(spark: SparkSession, folder: str) -> DataFrame:
     return _reconciled(spark, folder).select("table_name", "source_rows", "target_rows")
 
@@ -229,6 +307,11 @@ def reconcile_keys(spark: SparkSession, folder: str) -> DataFrame:
     return _reconciled(spark, folder).select("table_name", "source_keys", "target_keys", "ok")
 
 
+def reconcile_drift(spark: SparkSession, folder: str) -> DataFrame:
+    """Reconciliation with a copy that lost a market, which every table must show."""
+    return _reconciled(spark, folder, lambda frame: frame.where(F.col("market_key") != DRIFTED))
+
+
 QUERIES: dict[str, Query] = {
     query.__name__: query
     for query in (
@@ -238,11 +321,14 @@ QUERIES: dict[str, Query] = {
         bronze_signals,
         expectation_metrics,
         stream_ingest,
+        incremental_states,
+        incremental_dispatch,
         raw_signals_by_source,
         signals_by_source,
         inventory_state,
         demand_drivers,
         dispatch_context,
+        dispatch_context_wide,
         inventory_visibility,
         planner_explainability,
         demand_forecast,
@@ -251,6 +337,7 @@ QUERIES: dict[str, Query] = {
         decisions,
         materialized_decisions,
         decision_summary,
+        decision_summary_wide,
         gold_row_counts,
         report_inventory_health,
         report_forecast_trend,
@@ -258,9 +345,11 @@ QUERIES: dict[str, Query] = {
         top_forecasts,
         ask_inventory_by_terminal,
         ask_planner_reason,
+        planner_reasons,
         ask_top_markets,
         ask_route_risk,
         reconcile_counts,
         reconcile_keys,
+        reconcile_drift,
     )
 }

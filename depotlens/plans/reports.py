@@ -20,8 +20,9 @@ def _top(frame: DataFrame, measure: str, key: tuple[str, ...], rows: int) -> Dat
 
 
 def _exact_sum(column: str, digits: int) -> Column:
-    """Sum in decimals, so that the order in which tasks finish cannot change it."""
-    return F.sum(F.col(column).cast(f"decimal(18,{digits})")).cast("double")
+    """Sum of values rounded to ``digits``, in decimals, so that the order in which tasks
+    finish cannot change it. Values need fewer than 22 digits before the point."""
+    return F.sum(F.col(column).cast(f"decimal(28,{digits})")).cast("double")
 
 
 def inventory_health(visibility: DataFrame, rows: int = REPORT_ROWS) -> DataFrame:

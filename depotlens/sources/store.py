@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -88,29 +90,52 @@ Store = FolderStore | CatalogStore
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors can reach, as set by the cluster. Only a local
-    session may go without the setting; it gets a temporary folder."""
+    """The folder all executors can reach: ``spark.checkpoint.dir``, or a folder in the
+    warehouse where the session does not set it."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-        folder = _local_folder(spark)
-    return folder
+    return folder or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_working"
 
 
-def working_store(spark: SparkSession) -> FolderStore:
-    """A fresh folder in the shared folder, dropped when the driver ends."""
-    root = f"{shared_folder(spark).rstrip('/')}/depotlens-{uuid.uuid4().hex}"
-    path = spark._jvm.org.apache.hadoop.fs.Path(root)
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(path)
-    return FolderStore(spark, root)
-
+_SCOPE: ContextVar[list[FolderStore] | None] = ContextVar("working_stores", default=None)
 
-_LOCAL_FOLDERS: dict[str, str] = {}
 
-
-def _local_folder(spark: SparkSession) -> str:
-    app = spark.sparkContext.applicationId
-    if app not in _LOCAL_FOLDERS:
-        _LOCAL_FOLDERS[app] = tempfile.mkdtemp(prefix="depotlens-")
-    return _LOCAL_FOLDERS[app]
+def working_store(spark: SparkSession) -> FolderStore:
+    """A fresh folder in the shared folder. It is dropped at the end of the enclosing
+    :func:`working_scope`, or when the driver ends."""
+    store = FolderStore(spark, f"{shared_folder(spark).rstrip('/')}/depotlens-{uuid.uuid4().hex}")
+    scope = _SCOPE.get()
+    if scope is None:
+        system, path = _located(store)
+        system.deleteOnExit(path)
+    else:
+        scope.append(store)
+    return store
+
+
+@contextmanager
+def working_scope() -> Iterator[None]:
+    """Drops the working stores made inside. Frames that read them must be used up by then."""
+    outer = _SCOPE.set([])
+    try:
+        yield
+    finally:
+        for store in _SCOPE.get():
+            drop(store)
+        _SCOPE.reset(outer)
+
+
+@contextmanager
+def scoped_store(spark: SparkSession) -> Iterator[FolderStore]:
+    """A working store that is dropped at the end of the block."""
+    with working_scope():
+        yield working_store(spark)
+
+
+def drop(store: FolderStore) -> None:
+    system, path = _located(store)
+    system.delete(path, True)
+
+
+def _located(store: FolderStore):
+    path = store.spark._jvm.org.apache.hadoop.fs.Path(store.root)
+    return path.getFileSystem(store.spark._jsc.hadoopConfiguration()), path

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
@@ -57,6 +57,26 @@ def ingest(
     return _follow(store.start(BRONZE[0], writer))
 
 
+def follow_table(
+    store: Store,
+    name: str,
+    checkpoint: str,
+    schema: StructType,
+    keep: Callable[[DataFrame, int], None],
+    max_bytes_per_batch: int | None = None,
+) -> IngestReport:
+    """Hand what a table got since the last run to ``keep``, batch by batch. A batch may
+    come again after a failure, with the same number and the same rows."""
+    options = {"maxBytesPerTrigger": max_bytes_per_batch} if max_bytes_per_batch else {}
+    writer = (
+        store.read_stream(name, schema, **options)
+        .writeStream.foreachBatch(keep)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+    )
+    return _follow(writer.start())
+
+
 def _follow(query: StreamingQuery) -> IngestReport:
     """Wait for the end, adding up progress on the way: only the latest reports are kept."""
     batches: dict[int, tuple[int, dict[str, int]]] = {}

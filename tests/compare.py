@@ -20,9 +20,17 @@ def connect(folder: str) -> duckdb.DuckDBPyConnection:
 
 def canonical(frame: pd.DataFrame) -> list[tuple]:
     """Rows as sorted tuples, columns by name, doubles by their exact text."""
+    return sorted(in_order(frame))
+
+
+def in_order(frame: pd.DataFrame) -> list[tuple]:
     frame = frame[sorted(frame.columns)]
     texts = [[_text(v) for v in frame[c].tolist()] for c in frame.columns]
-    return sorted(zip(*texts, strict=True))
+    return list(zip(*texts, strict=True))
+
+
+def assert_same_order(result: DataFrame, expected: pd.DataFrame) -> None:
+    assert in_order(result.toPandas()) == in_order(expected)
 
 
 def _text(value: object) -> str:

@@ -11,10 +11,13 @@ from pyspark.sql import types as T
 from rows import as_set, signals
 
 from depotlens.operators.quality import expect_or_drop
-from depotlens.plans.graph import build_all, update
+from depotlens.operators.measures import families, rollup
+from depotlens.operators.states import STATES
+from depotlens.plans.graph import build_all, parts_name, states_from_parts, update, update_states
+from depotlens.plans.registry import QUERIES
 from depotlens.schema import BRONZE, GOLD, SIGNALS, SILVER, SOURCE, signal_schema
 from depotlens.sources.signals import append_batch, conform_signals, signals_from, stamp_batch
-from depotlens.sources.store import CatalogStore, FolderStore, shared_folder, working_store
+from depotlens.sources.store import CatalogStore, FolderStore, shared_folder, working_scope, working_store
 from depotlens.streaming.ingest import ingest
 
 
@@ -94,6 +97,45 @@ def test_update_builds_every_table(spark, data, tmp_path, kind):
         assert as_set(store.read(name)) == as_set(plan), name
 
 
+def test_states_are_updated_from_new_signals_only(spark, data, tmp_path):
+    store = FolderStore(spark, str(tmp_path / "tables"))
+    parts = FolderStore(spark, str(tmp_path / "parts"))
+    frame = signals_from(spark, data, wide=True)
+    as_of = F.lit("2024-01-01").cast("timestamp_ntz")
+    early = F.col("signal_timestamp") < "1996-01-01"
+    for part in (frame.where(early), frame.where(~early)):
+        append_batch(part, store)
+        landed, rolled, tables = update_states(store, str(tmp_path / "progress"), parts, frame.schema, as_of=as_of)
+        assert landed.input_rows == part.count()
+        # each family of states reads the new rows once
+        assert rolled.input_rows == len(families(STATES)) * expect_or_drop(part).count()
+    expected = build_all(frame, as_of=as_of)
+    for name in (*SILVER, *GOLD):
+        assert as_set(tables[name]) == as_set(expected[name]), name
+    again = update_states(store, str(tmp_path / "progress"), parts, frame.schema, as_of=as_of)
+    assert (again[0].input_rows, again[1].input_rows) == (0, 0)
+    assert not any(name.endswith("_parts") for name in os.listdir(tmp_path / "tables"))
+
+
+def test_a_repeated_batch_counts_once(spark, tmp_path):
+    parts = FolderStore(spark, str(tmp_path / "parts"))
+    batch = signals(spark, {"id": 1}, {"id": 2, "retail_location_id": "L2"})
+    for _ in range(2):
+        for family in families(STATES):
+            parts.write(f"{parts_name(family)}/batch=0", rollup(batch, family.values()))
+    row = states_from_parts(parts)[SILVER[2]].first()
+    assert (row.served_location_count, row.route_cost_exposure) == (2, 100.0)
+
+
+def test_working_folders_are_dropped(spark, data):
+    folder = shared_folder(spark)
+    before = set(os.listdir(folder)) if os.path.isdir(folder) else set()
+    with working_scope():
+        QUERIES["materialized_decisions"](spark, data).count()
+        assert set(os.listdir(folder)) > before
+    assert set(os.listdir(folder)) == before
+
+
 def test_conformed_signals_have_the_signal_schema(spark, data):
     found = signals_from(spark, data)
     kinds = signal_schema(T.TimestampNTZType())

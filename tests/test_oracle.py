@@ -3,11 +3,19 @@
 from __future__ import annotations
 
 import pytest
-from compare import assert_same, connect
+from compare import assert_same, assert_same_order, connect
 
 import __spark_entry__ as contract
 
-QUERIES, ORACLE = contract.queries(), contract.oracle_sql()
+from depotlens.plans.oracle import ORACLE
+from depotlens.plans.registry import QUERIES
+
+# queries whose rows come in a defined order
+ORDERED = (
+    "raw_signals_by_source", "signals_by_source", "decision_summary", "decision_summary_wide",
+    "report_inventory_health", "report_forecast_trend", "report_dispatch_risk", "top_forecasts",
+    "ask_top_markets", "ask_route_risk",
+)
 
 
 @pytest.fixture(scope="module")
@@ -16,8 +24,17 @@ def duck(data):
         yield connection
 
 
-def test_every_query_has_an_oracle():
+def test_every_query_has_an_oracle_and_is_registered():
     assert QUERIES.keys() == ORACLE.keys()
+    assert QUERIES.items() <= contract.queries().items()
+    assert ORACLE.items() <= contract.oracle_sql().items()
+
+
+@pytest.mark.parametrize("name", ORDERED)
+def test_rows_come_in_order(spark, duck, data, name):
+    assert "ORDER BY" in ORACLE[name]
+    expected = duck.execute(ORACLE[name]).df()
+    assert_same_order(QUERIES[name](spark, data), expected)
 
 
 @pytest.mark.parametrize("name", QUERIES)
@@ -38,7 +55,7 @@ TYPES = {
 }
 
 
-@pytest.mark.parametrize("name", [n for n in QUERIES if n not in ("reconcile_counts", "reconcile_keys")])
+@pytest.mark.parametrize("name", [n for n in QUERIES if not n.startswith("reconcile")])
 def test_query_has_the_types_of_its_oracle(spark, duck, data, name):
     expected = duck.sql(ORACLE[name])
     found = {column: TYPES[kind] for column, kind in QUERIES[name](spark, data).dtypes}

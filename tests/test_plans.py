@@ -43,6 +43,22 @@ def test_dispatch_reads_only_its_columns(stored):
     assert "PushedFilters: [IsNotNull(source_system)]" in text
 
 
+def test_registered_question_is_lazy_and_filters_the_tables(spark, data):
+    text = plan(QUERIES["ask_planner_reason"](spark, data))
+    assert "lineitem" in text and "depotlens-" not in text
+    product = re.findall(r"Condition *: .*PRD-02", text)
+    assert len(product) >= 2
+    assert all(text.index(p) > text.index("Join") for p in product)
+
+
+@pytest.mark.parametrize("name", ["decision_summary", "decisions", "gold_row_counts", "planner_explainability"])
+def test_registered_queries_start_no_job(spark, data, name):
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup(f"planning {name}", "")
+    QUERIES[name](spark, data)
+    assert not tracker.getJobIdsForGroup(f"planning {name}")
+
+
 def test_question_filter_reaches_the_scan(stored):
     planner = build_all(stored)[GOLD[1]]
     text = plan(reports.planner_reason(planner, "MKT-03", "PRD-02"))
