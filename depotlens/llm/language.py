@@ -190,9 +190,10 @@ def report(documents: DataFrame) -> DataFrame:
     return predict(rows, model).select("row.doc_id", "row.held_out", "lang_pred", "score", "lang_set")
 
 
-def main_language(documents: DataFrame, least: float = 0.5) -> DataFrame:
-    """Documents with a main language: those without letters, or in which no language
-    has a share of ``least``, go. A missing ``lang`` is filled in."""
+def main_language(documents: DataFrame, least: float = 0.0) -> DataFrame:
+    """Documents with a language: those without letters go, and with ``least`` those in
+    which no language has that share. By default texts of several languages stay. A missing
+    ``lang`` is filled in."""
     model = train(documents.where(~F.coalesce(held_out(), F.lit(False))))
     found = predict(documents, model).where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least))
     lang = F.coalesce("row.lang", "lang_pred")
