@@ -11,7 +11,7 @@ from depotlens.llm.storage import fresh_folder, stored
 
 
 def with_main_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with letters and a main language; a missing ``lang`` is filled in."""
+    """Documents with a language, that is with letters; a missing ``lang`` is filled in."""
     return language.main_language(docs)
 
 
