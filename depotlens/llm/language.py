@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from depotlens.llm.words import _table, coded, column_of, flat_bytes, slices, split_words, spread
+from depotlens.llm.words import byte_table, coded, column_of, flat_bytes, slices, split_words, spread
 
 BUCKETS = 1 << 15
 SMOOTHING = 0.5
@@ -30,7 +30,7 @@ PENALTY = 2.0
 UNKNOWN = "und"
 
 # words of letters: a-z and everything beyond ASCII
-LETTERS = _table([range(0x41), range(0x5B, 0x61), range(0x7B, 0x80)])
+LETTERS = byte_table([range(0x41), range(0x5B, 0x61), range(0x7B, 0x80)])
 
 
 @dataclass

@@ -112,7 +112,7 @@ def contained(template: Template, number: np.ndarray, starts: np.ndarray, ends:
     at_prefix = np.flatnonzero(np.isin(number, template.prefix))
     rows = np.searchsorted(ends, at_prefix, side="right")
     for row in np.unique(rows):
-        near = at_prefix[rows == row] if len(rows) < 10_000 else at_prefix[np.searchsorted(rows, row) : np.searchsorted(rows, row, side="right")]
+        near = at_prefix[np.searchsorted(rows, row) : np.searchsorted(rows, row, side="right")]
         text = number[starts[row] : ends[row]]
         places = np.flatnonzero(np.isin(text, template.words))
         if len(np.unique(text[places])) < template.need:

@@ -44,7 +44,11 @@ def put(uri: str, attempt: str, write) -> None:
     part = f"{path}.{attempt}.part"
     with system.open_output_stream(part) as sink:
         write(sink)
-    system.move(part, path)
+    try:
+        system.move(part, path)
+    except OSError:  # some file systems don't rename onto a file
+        system.delete_file(path)
+        system.move(part, path)
 
 
 def read_range(uri: str, start: int, length: int) -> bytes:

@@ -12,7 +12,7 @@ import xxhash
 SLICE_BYTES = 6_000_000
 
 
-def _table(separators: list[range]) -> np.ndarray:
+def byte_table(separators: list[range]) -> np.ndarray:
     """Byte table: separators become a space, A-Z lower case, all else stays."""
     table = np.arange(256, dtype=np.uint8)
     table[65:91] += 32
@@ -22,9 +22,9 @@ def _table(separators: list[range]) -> np.ndarray:
 
 
 # words are [^\x20\x09-\x0D]+
-SPACED = _table([range(0x09, 0x0E)])
+SPACED = byte_table([range(0x09, 0x0E)])
 # words are [^\x00-\x2F\x3A-\x60\x7B-\x7F]+ of lower-cased text
-LETTERED = _table([range(0x30), range(0x3A, 0x41), range(0x5B, 0x61), range(0x7B, 0x80)])
+LETTERED = byte_table([range(0x30), range(0x3A, 0x41), range(0x5B, 0x61), range(0x7B, 0x80)])
 
 
 def slices(batch: pa.RecordBatch, column: str = "text", most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
