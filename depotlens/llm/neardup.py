@@ -98,8 +98,8 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             flat = pa.array(signatures(sets, counts).ravel().astype(np.int32))
             lists = pa.ListArray.from_arrays(pa.array(np.arange(part.num_rows + 1, dtype=np.int32) * COORDINATES), flat)
             yield pa.RecordBatch.from_arrays(
-                [part.column("doc_id"), pa.array(counts), pa.array(one), pa.array(two), lists],
-                names=["doc_id", "n_shingles", "key1", "key2", "signature"],
+                [part.column("doc_id"), part.column("text_hash"), pa.array(counts), pa.array(one), pa.array(two), lists],
+                names=["doc_id", "text_hash", "n_shingles", "key1", "key2", "signature"],
             )
 
 
@@ -234,10 +234,14 @@ def _clusters(classes: DataFrame, folder: str) -> DataFrame:
     return components(ties, folder, "ties").select(F.col("node").alias("rep"), F.col("root").alias("cluster"))
 
 
+def _texts(documents: DataFrame) -> DataFrame:
+    return documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text")
+
+
 def sketches(documents: DataFrame, folder: str) -> DataFrame:
-    """Stored rows ``doc_id``, ``row``, set size, set keys and signature."""
-    rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    made = rows.mapInArrow(_sketch, "doc_id bigint, n_shingles bigint, key1 bigint, key2 bigint, signature array<int>")
+    """Stored rows ``doc_id``, ``text_hash``, ``row``, set size, set keys and signature."""
+    schema = "doc_id bigint, text_hash bigint, n_shingles bigint, key1 bigint, key2 bigint, signature array<int>"
+    made = _texts(documents).mapInArrow(_sketch, schema)
     return stored(made.withColumn("row", F.monotonically_increasing_id()), folder, "sketches")
 
 
@@ -258,10 +262,11 @@ def near_groups(documents: DataFrame, classes: DataFrame, folder: str, block_cla
     every = F.when(F.col("rep") == F.col("cluster"), F.sequence(F.lit(0), F.col("blocks") - 1)).otherwise(F.array("block"))
     name = F.when(F.col("blocks") == 1, -1 - F.pmod(F.xxhash64("cluster"), F.lit(bins))).otherwise(F.col("cluster"))
     wanted = placed.select(
-        "doc_id", "rep", "low", "key1", "key2", "cluster", "blocks", "block", name.alias("bin"), F.explode(every).alias("at"), "signature"
+        "doc_id", "text_hash", "rep", "low", "key1", "key2", "cluster", "blocks", "block", name.alias("bin"), F.explode(every).alias("at"), "signature"
     )
-    texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    met = wanted.join(texts, "doc_id").groupBy("bin", "at").applyInArrow(_link_block, _GROUPS)
+    # a text that is repeated under its id is met once
+    texts = _texts(documents).dropDuplicates(["doc_id", "text_hash"])
+    met = wanted.join(texts, ["doc_id", "text_hash"]).groupBy("bin", "at").applyInArrow(_link_block, _GROUPS)
     groups = stored(met, folder, "groups")
     done = groups.where("not large").select("rep", F.col("low").alias("component"))
     if sizes.where("blocks > 1").isEmpty():
@@ -287,7 +292,7 @@ def _large_groups(large: DataFrame, texts: DataFrame, groups: DataFrame, folder:
     guests = outside.join(shares, "cluster").select(*held, others.alias("at"), share.alias("share"), F.lit(True).alias("guest"))
     numbers = F.explode(F.sequence(F.lit(0), F.col("shares") - 1))
     hosts = rooted.join(shares, "cluster").select(*held, F.col("block").alias("at"), numbers.alias("share"), F.lit(False).alias("guest"))
-    met = guests.unionAll(hosts).join(texts, "doc_id")
+    met = guests.unionAll(hosts).join(texts, ["doc_id", "text_hash"])
     more = stored(met.groupBy("cluster", "at", "share").applyInArrow(_link_guests, _LINKS), folder, "guests")
     final = components(joined.select(F.col("rep").alias("a"), F.col("root").alias("b")).unionAll(more), folder, "final")
     lows = rooted.select("rep", "low").join(final.withColumnRenamed("node", "rep"), "rep")
@@ -301,9 +306,9 @@ def report(documents: DataFrame, block_classes: int = BLOCK_CLASSES) -> DataFram
     rows = sketches(documents, folder)
     keys = ["n_shingles", "key1", "key2"]
     linkable = rows.where("n_shingles > 0 and doc_id is not null")
-    one = F.min_by(F.struct("row", "doc_id", "signature"), "row").alias("one")
+    one = F.min_by(F.struct("row", "doc_id", "text_hash", "signature"), "row").alias("one")
     found = linkable.groupBy(*keys).agg(one, F.min("doc_id").alias("low"))
-    found = found.select(*keys, F.col("one.row").alias("rep"), "one.doc_id", "one.signature", "low")
+    found = found.select(*keys, F.col("one.row").alias("rep"), "one.doc_id", "one.text_hash", "one.signature", "low")
     classes = stored(found, folder, "classes")
 
     groups = stored(near_groups(documents, classes, folder, block_classes), folder, "components")
