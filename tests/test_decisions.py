@@ -60,7 +60,7 @@ def single(spark, pressure, units, exposure, level):
 def test_first_matching_rule_wins(spark, pressure, units, exposure, level, action):
     row = single(spark, pressure, units, exposure, level)
     assert row.ai_query_action == action
-    reasons = dict(serving.ACTIONS.values())
+    reasons = {rule.action: rule.reason for rule in (*serving.RULES, serving.OTHERWISE)}
     assert row.ai_query_reason_code == reasons[action]
 
 

@@ -104,13 +104,11 @@ def test_gap_is_never_negative(spark, data):
 def test_families_nest(spark):
     names = [list(family) for family in families(states.STATES)]
     assert names == [["silver_dispatch_context"], ["silver_inventory_state", "silver_demand_drivers"]]
-    assert [set(f) for f in families(states.STATES, one_pass=True)] == [set(states.STATES)]
 
 
-@pytest.mark.parametrize("one_pass", [False, True])
-def test_planned_states_equal_direct_ones(spark, data, tmp_path, one_pass):
+def test_planned_states_equal_direct_ones(spark, data, tmp_path):
     frame = signals_from(spark, data)
-    plans = planned_states(frame, FolderStore(spark, str(tmp_path)), one_pass=one_pass)
+    plans = planned_states(frame, FolderStore(spark, str(tmp_path)))
     for name, state in states.STATES.items():
         direct = state.from_signals(frame)
         assert plans[name].dtypes == direct.dtypes
