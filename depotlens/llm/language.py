@@ -28,6 +28,7 @@ SMOOTHING = 0.5
 ROUNDS = 12
 PENALTY = 2.0
 UNKNOWN = "und"
+PREDICT_BYTES = 2_000_000  # text per run; each word holds a number per language
 
 # words of letters: a-z and everything beyond ASCII
 LETTERS = byte_table([range(0x41), range(0x5B, 0x61), range(0x7B, 0x80)])
@@ -161,7 +162,7 @@ def predict(documents: DataFrame, model: Model) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "row.text"):
+            for part in slices(batch, "row.text", PREDICT_BYTES):
                 shares = mixtures(column_of(part, "row.text"), sent.value)
                 shares[~part.column("letters").to_numpy(zero_copy_only=False)] = 0
                 known = shares.sum(axis=1) > 0
