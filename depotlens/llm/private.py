@@ -1,10 +1,10 @@
 """Personal data in texts, also behind simple disguises.
 
 Plain e-mail addresses, IP addresses, card and phone numbers are found in the text as it
-stands. Texts with signs of a disguise then pass a chain of transducers that map look-alike
-characters to ASCII, at/dot words to ``@`` and ``.``, and spelled digits to digits. Each
-output character keeps the span of its source, so identifiers found in the output are
-reported at their place in the source text.
+stands. Every text then passes a chain of transducers that map look-alike characters to
+ASCII, at/dot words to ``@`` and ``.``, and spelled digits to digits. Each output character
+keeps the span of its source, so identifiers found in the output are reported at their place
+in the source text. Only texts in which no transducer finds anything to change skip the chain.
 
 Case table: a null or empty text has no spans; offsets are code points of the source, end
 exclusive; spans of one start are in the order of ``KINDS``; a disguised span that overlaps
@@ -100,6 +100,7 @@ LOOKALIKES = _LOOKALIKES | _SPACES | _INVISIBLE | {chr(a + k): chr(ord(b) + k) f
 _DIGITS = {w: str(i) for i, w in enumerate("zero one two three four five six seven eight nine".split())} | {"oh": "0"}
 _SPELLED = rf"(?:{'|'.join(_DIGITS)})"
 _OPEN, _SHUT = r"[\(\[\{<]", r"[\)\]\}>]"
+_LEAD = r"(?:(?<!\s)\s+)?"  # like \s*, but a run of white space is tried once only
 _DOTS = rf"(?:\s*{_OPEN}\s*(?:dot|punto|punkt|point)\s*{_SHUT}\s*|\s+dot\s+)"
 _I = re.IGNORECASE
 
@@ -122,26 +123,34 @@ _TRANSDUCERS: list[Pass] = [
     (re.compile(rf"(?:(?<=[0-9] dot )|(?<=[0-9] point )){_SPELLED}(?![A-Za-z])", _I), _read_digits),
     (re.compile(r"(?<=[0-9])\s+(?:dot|point)\s+(?=[0-9])", _I), _becomes(".")),
     (re.compile(r"(?<![A-Za-z])plus\s+(?=[0-9])", _I), _becomes("+")),
-    (re.compile(rf"\s*{_OPEN}\s*(?:at|arroba|@)\s*{_SHUT}\s*", _I), _becomes("@")),
+    (re.compile(rf"{_LEAD}{_OPEN}\s*(?:at|arroba|@)\s*{_SHUT}\s*", _I), _becomes("@")),
     (re.compile(rf"(?<=[A-Za-z0-9_%+-])\s+at\s+(?=[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*{_DOTS}[A-Za-z0-9-]+)", _I), _becomes("@")),
-    (re.compile(rf"\s*{_OPEN}\s*(?:dot|punto|punkt|point|\.)\s*{_SHUT}\s*", _I), _becomes(".")),
+    (re.compile(rf"{_LEAD}{_OPEN}\s*(?:dot|punto|punkt|point|\.)\s*{_SHUT}\s*", _I), _becomes(".")),
     (re.compile(r"(?<=[A-Za-z0-9])\s+dot\s+(?=[A-Za-z0-9])", _I), _becomes(".")),
 ]
 
-# Signs of a disguise, for a linear search over whole batches.
-_RARE = "".join(c for c in LOOKALIKES if c not in _SPACES and c not in "–·")
-_SIGNS = (
-    rf"(?i){_OPEN}\s*(?:at|arroba|@|dot|punto|punkt|point|\.)\s*{_SHUT}|\sat\s+\S+\s+dot\s"
-    rf"|{_SPELLED}\s+(?:dot|point)\s+{_SPELLED}|{_SPELLED}(?:[\s,-]{{1,3}}{_SPELLED}){{3}}|[{re.escape(_RARE)}]"
+# Each transducer without its surroundings, for a linear search over whole batches: a text
+# without any of these passes all transducers unchanged, as each finds nothing in turn.
+_WHITE = "".join(c for c in map(chr, range(0x10000)) if c.isspace())
+_W = f"[{re.escape(_WHITE)}]"
+_CHANGED = (
+    rf"(?i)[{''.join(map(re.escape, LOOKALIKES))}]|{_OPEN}{_W}*(?:at|arroba|@|dot|punto|punkt|point|\.){_W}*{_SHUT}"
+    rf"|{_SPELLED}[{re.escape(_WHITE)},-]{{1,3}}{_SPELLED}|(?:{_SPELLED}|[0-9]){_W}+(?:dot|point){_W}"
+    rf"|{_W}dot{_W}|plus{_W}+[0-9]"
 )
 
 
-def normalised(text: str) -> tuple[str, list[int], list[int]]:
-    """The text after all transducers, with the source start and end of each character."""
-    starts, ends = list(range(len(text))), list(range(1, len(text) + 1))
-    for pattern, emit in _TRANSDUCERS:
+def normalised(text: str) -> tuple[str, list[int], list[int]] | None:
+    """The text after all transducers, with the source start and end of each character;
+    nothing if none applies."""
+    starts: list[int] | None = None
+    ends: list[int] = []
+    plain = text.isascii()  # no look-alike is ASCII
+    for pattern, emit in _TRANSDUCERS[plain:]:
         pieces, new_starts, new_ends, done = [], [], [], 0
         for found in pattern.finditer(text):
+            if starts is None:
+                starts, ends = list(range(len(text))), list(range(1, len(text) + 1))
             out = emit(found)
             pieces += [text[done : found.start()], *(c for c, _, _ in out)]
             new_starts += starts[done : found.start()] + [starts[s] for _, s, _ in out]
@@ -150,13 +159,15 @@ def normalised(text: str) -> tuple[str, list[int], list[int]]:
         if done:
             text = "".join([*pieces, text[done:]])
             starts, ends = new_starts + starts[done:], new_ends + ends[done:]
-    return text, starts, ends
+    return None if starts is None else (text, starts, ends)
 
 
 def disguised_spans(text: str, plain: list[Span]) -> list[Span]:
     """Identifiers of the normalised text whose source differs from their reading."""
-    shown, starts, ends = normalised(text)
-    added = []
+    changed, added = normalised(text), []
+    if changed is None:
+        return added
+    shown, starts, ends = changed
     for start, end, kind in plain_spans(shown):
         first, last = starts[start], ends[end - 1]
         if text[first:last] != shown[start:end] and not any(k == kind and s < last and first < e for s, e, k in plain):
@@ -167,10 +178,10 @@ def disguised_spans(text: str, plain: list[Span]) -> list[Span]:
 def all_spans(texts: pa.Array) -> Iterator[tuple[str, list[Span], list[Span]]]:
     """Each text (a null is empty) with its plain spans, and with all its spans."""
     filled = pc.fill_null(texts, "")
-    signs = pc.match_substring_regex(filled, _SIGNS).to_pylist()
-    for text, sign in zip(filled.to_pylist(), signs, strict=True):
+    changed = pc.match_substring_regex(filled, _CHANGED).to_pylist()
+    for text, change in zip(filled.to_pylist(), changed, strict=True):
         plain = plain_spans(text)
-        more = disguised_spans(text, plain) if sign else []
+        more = disguised_spans(text, plain) if change else []
         yield text, plain, ordered(plain + more) if more else plain
 
 

@@ -180,6 +180,35 @@ def test_disguised_identifiers_are_mapped_back(text, source, kind):
     assert [(text[s:e], k) for s, e, k in spans if text[s:e] == source] == [(source, kind)]
 
 
+@pytest.mark.parametrize(
+    ("text", "kind"),
+    [
+        *((f"+33{c}6{c}12{c}34{c}56{c}78", "phone") for c in "\u00a0\u2007\u2009\u202f"),
+        ("4111\u20131111\u20131111\u20131111", "card"),
+        ("192\u00b7168\u00b71\u00b71", "ip"),
+        ("192 dot 168 dot 1 dot 1", "ip"),
+        ("192\u3000point\u3000168 point 1 point 1", "ip"),
+        ("jane@example dot org", "email"),
+        ("plus 49 170 1234567", "phone"),
+        ("plus\u205f49 170 1234567", "phone"),
+    ],
+)
+def test_lone_disguises_are_found(text, kind):
+    ((_, _, spans),) = private.all_spans(pa.array([f"see {text} now"]))
+    assert spans == [(4, 4 + len(text), kind)]
+
+
+def test_skipping_texts_loses_no_disguise():
+    pick = random.Random(8)
+    parts = ["a", "at", "dot", "point", "plus", "one", "nine", "OH", "4", "19", "(", "]", "[", ".", "@", "+", "-", ",", "b.cd", "zeroſix"]
+    parts += [" ", "  ", "\u2003", "\x1f", "\u3000", *private.LOOKALIKES]
+    texts = ["".join(pick.choice(parts if pick.random() < 0.2 else parts[:25]) for _ in range(pick.randint(1, 12))) for _ in range(20000)]
+    for text, plain, spans in private.all_spans(pa.array(texts)):
+        assert spans == private.ordered(plain + private.disguised_spans(text, plain)), text
+    changed = [text for text in texts if private.normalised(text) is not None]
+    assert all(private.pc.match_substring_regex(pa.array(changed), private._CHANGED).to_pylist())
+
+
 @pytest.mark.parametrize("text", ["we met at noon dot", "one two at home", "look at www dot", "привет", "", "zero one"])
 def test_clean_texts_have_no_spans(text):
     assert [spans for _, _, spans in private.all_spans(pa.array([text, None]))] == [[], []]
