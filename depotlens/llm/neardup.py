@@ -3,8 +3,8 @@
 1. Each text becomes its set of hashed word shingles; equal sets form a class, and only one
    row of a class goes on. A class has a signature of ``COORDINATES`` minima.
 2. Classes are posted under every pair of coordinate and value. A pair of classes is a match if
-   at least ``MATCHES`` coordinates agree, so a value that no other class has can be skipped,
-   a class with fewer than ``MATCHES`` shared values has no match, and of the others only a
+   at least ``matches`` coordinates agree, so a value that no other class has can be skipped,
+   a class with fewer than ``matches`` shared values has no match, and of the others only a
    prefix of their rarest values has to be merged: any match shares a value of both prefixes.
 3. Each prefix posting ties its classes to its smallest one, never pair by pair. The connected
    components of these ties are clusters that hold every match.
@@ -14,8 +14,9 @@
    the cluster's largest group are compared with every other block, also in bounded shares,
    so no link is lost.
 
-Match and prefix are exact for the signatures. ``MATCHES`` lies five standard deviations below
-what two sets at the limit agree in; the links themselves are decided on the sets.
+Match and prefix are exact for the signatures. ``matches`` lies five standard deviations below
+what two sets at the limit agree in; the links themselves are decided on the sets. The limit is
+the least Jaccard similarity in percent, ``PERCENT`` unless stated.
 
 Case table: a null or word-free text has an empty set and is linked with nothing; fewer words
 than a shingle are one shingle; rows with a null id are never linked; rows of one id are
@@ -38,7 +39,6 @@ from depotlens.llm.words import SPACED, coded, hashes, mixed, slices, split_word
 SHINGLE = 5
 PERCENT = 85
 COORDINATES = 64
-MATCHES = 40
 BLOCK_CLASSES = 2000
 BLOCK_SHINGLES = 2_000_000
 
@@ -46,6 +46,12 @@ _PLACES = mixed(np.arange(1, SHINGLE + 2, dtype=np.uint64)) | np.uint64(1)
 _FACTORS = mixed(np.arange(101, 101 + COORDINATES, dtype=np.uint64)) | np.uint64(1)
 
 
+def matches(percent: int) -> int:
+    """Coordinates that must agree: five standard deviations below the mean at the limit."""
+    share = percent / 100
+    return max(1, int(COORDINATES * share - 5 * (COORDINATES * share * (1 - share)) ** 0.5))
+
+
 def shingle_sets(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Sorted distinct shingle hashes of every text end to end, and their numbers."""
     counts, values = split_words(texts, SPACED)
@@ -108,11 +114,13 @@ def _intersection(a: np.ndarray, b: np.ndarray) -> int:
     return int((b[place] == a).sum())
 
 
-def _near(common: np.ndarray | int, a: int, b: np.ndarray | int) -> np.ndarray | bool:
-    return 100 * common >= PERCENT * (a + b - common)
+def _near(common: np.ndarray | int, a: int, b: np.ndarray | int, percent: int) -> np.ndarray | bool:
+    return 100 * common >= percent * (a + b - common)
 
 
-def linked(sets: list[np.ndarray], signs: np.ndarray, group: np.ndarray, left: np.ndarray, right: np.ndarray) -> list[tuple[int, int]]:
+def linked(
+    sets: list[np.ndarray], signs: np.ndarray, group: np.ndarray, left: np.ndarray, right: np.ndarray, percent: int = PERCENT
+) -> list[tuple[int, int]]:
     """Confirmed links between rows of ``left`` and rows of ``right`` that join all groups
     that such links join. ``group`` numbers the groups known so far and is updated.
 
@@ -120,7 +128,7 @@ def linked(sets: list[np.ndarray], signs: np.ndarray, group: np.ndarray, left: n
     are tried from the best on, and those joined meanwhile are skipped. After a few misses
     the rest is counted at once over the sorted shingles of all right rows."""
     sizes = np.array([len(s) for s in sets], np.int64)
-    links, counted = [], None
+    links, counted, least = [], None, matches(percent)
 
     def join(i: int, j: int) -> None:
         links.append((i, j))
@@ -128,8 +136,8 @@ def linked(sets: list[np.ndarray], signs: np.ndarray, group: np.ndarray, left: n
 
     for i in left.tolist():
         agreeing = (signs[right] == signs[i]).sum(axis=1)
-        close = 100 * np.minimum(sizes[right], sizes[i]) >= PERCENT * np.maximum(sizes[right], sizes[i])
-        found = np.flatnonzero((agreeing >= MATCHES) & close & (group[right] != group[i]))
+        close = 100 * np.minimum(sizes[right], sizes[i]) >= percent * np.maximum(sizes[right], sizes[i])
+        found = np.flatnonzero((agreeing >= least) & close & (group[right] != group[i]))
         open_rows = right[found[np.argsort(-agreeing[found], kind="stable")]]
         misses = 0
         while len(open_rows):
@@ -137,12 +145,12 @@ def linked(sets: list[np.ndarray], signs: np.ndarray, group: np.ndarray, left: n
                 counted = counted or _Counter([sets[j] for j in right.tolist()])
                 common = np.zeros(len(sets), np.int64)
                 common[right] = counted.common(sets[i])
-                for j in open_rows[_near(common[open_rows], sizes[i], sizes[open_rows])].tolist():
+                for j in open_rows[_near(common[open_rows], sizes[i], sizes[open_rows], percent)].tolist():
                     if group[i] != group[j]:
                         join(i, j)
                 break
             j = int(open_rows[0])
-            if _near(_intersection(sets[i], sets[j]), int(sizes[i]), int(sizes[j])):
+            if _near(_intersection(sets[i], sets[j]), int(sizes[i]), int(sizes[j]), percent):
                 join(i, j)
                 open_rows = open_rows[group[open_rows] != group[i]]
             else:
@@ -191,43 +199,52 @@ _LINKS = "a bigint, b bigint"
 _GROUPS = "rep bigint, root bigint, low bigint, large boolean"
 
 
-def _link_block(table: pa.Table) -> pa.Table:
+def _link_block(percent: int):
     """Groups joined by the links within one block, cluster by cluster: each class with the
     smallest class of its group, and the smallest document id of the group."""
-    rows, sets, signs = _loaded(table)
-    reps, cluster = rows["rep"].to_numpy(), rows["cluster"].to_numpy()
-    group = np.arange(len(reps))
-    order = np.argsort(cluster, kind="stable")
-    for members in np.split(order, np.flatnonzero(np.diff(cluster[order])) + 1):
-        for k in range(1, len(members)):
-            linked(sets, signs, group, members[k : k + 1], members[:k])
-    _, number = np.unique(group, return_inverse=True)
-    root, low = (np.full(len(reps), np.iinfo(np.int64).max) for _ in range(2))
-    np.minimum.at(root, number, reps)
-    np.minimum.at(low, number, rows["low"].to_numpy())
-    large = pc.greater(rows["blocks"], 1).combine_chunks()
-    return pa.table({"rep": pa.array(reps), "root": pa.array(root[number]), "low": pa.array(low[number]), "large": large})
-
-
-def _link_guests(table: pa.Table) -> pa.Table:
+
+    def run(table: pa.Table) -> pa.Table:
+        rows, sets, signs = _loaded(table)
+        reps, cluster = rows["rep"].to_numpy(), rows["cluster"].to_numpy()
+        group = np.arange(len(reps))
+        order = np.argsort(cluster, kind="stable")
+        for members in np.split(order, np.flatnonzero(np.diff(cluster[order])) + 1):
+            for k in range(1, len(members)):
+                linked(sets, signs, group, members[k : k + 1], members[:k], percent)
+        _, number = np.unique(group, return_inverse=True)
+        root, low = (np.full(len(reps), np.iinfo(np.int64).max) for _ in range(2))
+        np.minimum.at(root, number, reps)
+        np.minimum.at(low, number, rows["low"].to_numpy())
+        large = pc.greater(rows["blocks"], 1).combine_chunks()
+        return pa.table({"rep": pa.array(reps), "root": pa.array(root[number]), "low": pa.array(low[number]), "large": large})
+
+    return run
+
+
+def _link_guests(percent: int):
     """Links between the guests and the classes at home in one block, over their groups."""
-    rows, sets, signs = _loaded(table)
-    reps, guest = rows["rep"].to_numpy(), rows["guest"].to_numpy(zero_copy_only=False)
-    group = np.unique(rows["root"].to_numpy(), return_inverse=True)[1]
-    links = linked(sets, signs, group, np.flatnonzero(guest), np.flatnonzero(~guest))
-    a, b = (np.array([pair[k] for pair in links], np.int64) for k in (0, 1))
-    return pa.table({"a": pa.array(reps[a], pa.int64()), "b": pa.array(reps[b], pa.int64())})
+
+    def run(table: pa.Table) -> pa.Table:
+        rows, sets, signs = _loaded(table)
+        reps, guest = rows["rep"].to_numpy(), rows["guest"].to_numpy(zero_copy_only=False)
+        group = np.unique(rows["root"].to_numpy(), return_inverse=True)[1]
+        links = linked(sets, signs, group, np.flatnonzero(guest), np.flatnonzero(~guest), percent)
+        a, b = (np.array([pair[k] for pair in links], np.int64) for k in (0, 1))
+        return pa.table({"a": pa.array(reps[a], pa.int64()), "b": pa.array(reps[b], pa.int64())})
+
+    return run
 
 
-def _clusters(classes: DataFrame, folder: str) -> DataFrame:
+def _clusters(classes: DataFrame, folder: str, percent: int) -> DataFrame:
     """Clusters of the classes that may have a match: ``rep`` and ``cluster``."""
+    least = matches(percent)
     token = F.transform("signature", lambda v, k: k.cast("long") * F.lit(1 << 32) + v)
     posts = classes.select("rep", F.explode(token).alias("token"))
     shared = posts.groupBy("token").agg(F.count("*").alias("n")).where("n > 1")
     posts = posts.join(shared, "token")
     mine = Window.partitionBy("rep")
-    prefix = F.row_number().over(mine.orderBy("n", "token")) <= F.lit(COORDINATES - MATCHES + 1) - (F.lit(COORDINATES) - F.col("many"))
-    posts = posts.withColumn("many", F.count("*").over(mine)).where(F.col("many") >= MATCHES)
+    prefix = F.row_number().over(mine.orderBy("n", "token")) <= F.lit(COORDINATES - least + 1) - (F.lit(COORDINATES) - F.col("many"))
+    posts = posts.withColumn("many", F.count("*").over(mine)).where(F.col("many") >= least)
     merged = stored(posts.withColumn("prefix", prefix).where("prefix").select("token", "rep"), folder, "prefixes")
     first = merged.groupBy("token").agg(F.min("rep").alias("b"))
     ties = merged.join(first, "token").where("rep <> b").select(F.col("rep").alias("a"), "b")
@@ -245,10 +262,10 @@ def sketches(documents: DataFrame, folder: str) -> DataFrame:
     return stored(made.withColumn("row", F.monotonically_increasing_id()), folder, "sketches")
 
 
-def near_groups(documents: DataFrame, classes: DataFrame, folder: str, block_classes: int = BLOCK_CLASSES) -> DataFrame:
+def near_groups(documents: DataFrame, classes: DataFrame, folder: str, block_classes: int = BLOCK_CLASSES, percent: int = PERCENT) -> DataFrame:
     """``rep`` and ``component``, the smallest document id of its component, for every
     class that has a cluster."""
-    members = _clusters(classes, folder).join(classes, "rep")
+    members = _clusters(classes, folder, percent).join(classes, "rep")
     members = stored(members, folder, "members")
     sizes = members.groupBy("cluster").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("size"))
     blocks = F.greatest(F.ceil(F.col("n") / block_classes), F.ceil(F.col("size") / BLOCK_SHINGLES)).cast("int")
@@ -266,15 +283,15 @@ def near_groups(documents: DataFrame, classes: DataFrame, folder: str, block_cla
     )
     # a text that is repeated under its id is met once
     texts = _texts(documents).dropDuplicates(["doc_id", "text_hash"])
-    met = wanted.join(texts, ["doc_id", "text_hash"]).groupBy("bin", "at").applyInArrow(_link_block, _GROUPS)
+    met = wanted.join(texts, ["doc_id", "text_hash"]).groupBy("bin", "at").applyInArrow(_link_block(percent), _GROUPS)
     groups = stored(met, folder, "groups")
     done = groups.where("not large").select("rep", F.col("low").alias("component"))
     if sizes.where("blocks > 1").isEmpty():
         return done
-    return done.unionAll(_large_groups(stored(wanted.where("blocks > 1"), folder, "large"), texts, groups, folder, block_classes))
+    return done.unionAll(_large_groups(stored(wanted.where("blocks > 1"), folder, "large"), texts, groups, folder, block_classes, percent))
 
 
-def _large_groups(large: DataFrame, texts: DataFrame, groups: DataFrame, folder: str, block_classes: int) -> DataFrame:
+def _large_groups(large: DataFrame, texts: DataFrame, groups: DataFrame, folder: str, block_classes: int, percent: int) -> DataFrame:
     """Components of the clusters of several blocks. Their blocks are tied by the first
     class of the cluster; what is then outside the cluster's largest group meets the other
     blocks as guests."""
@@ -293,14 +310,14 @@ def _large_groups(large: DataFrame, texts: DataFrame, groups: DataFrame, folder:
     numbers = F.explode(F.sequence(F.lit(0), F.col("shares") - 1))
     hosts = rooted.join(shares, "cluster").select(*held, F.col("block").alias("at"), numbers.alias("share"), F.lit(False).alias("guest"))
     met = guests.unionAll(hosts).join(texts, ["doc_id", "text_hash"])
-    more = stored(met.groupBy("cluster", "at", "share").applyInArrow(_link_guests, _LINKS), folder, "guests")
+    more = stored(met.groupBy("cluster", "at", "share").applyInArrow(_link_guests(percent), _LINKS), folder, "guests")
     final = components(joined.select(F.col("rep").alias("a"), F.col("root").alias("b")).unionAll(more), folder, "final")
     lows = rooted.select("rep", "low").join(final.withColumnRenamed("node", "rep"), "rep")
     lowest = lows.groupBy(F.col("root").alias("top")).agg(F.min("low").alias("component"))
     return lows.join(lowest, F.col("root") == F.col("top")).select("rep", "component")
 
 
-def report(documents: DataFrame, block_classes: int = BLOCK_CLASSES) -> DataFrame:
+def report(documents: DataFrame, block_classes: int = BLOCK_CLASSES, percent: int = PERCENT) -> DataFrame:
     """Per document its set size, the smallest id of its component, and whether it is kept."""
     folder = fresh_folder(documents.sparkSession, "neardup")
     rows = sketches(documents, folder)
@@ -311,7 +328,7 @@ def report(documents: DataFrame, block_classes: int = BLOCK_CLASSES) -> DataFram
     found = found.select(*keys, F.col("one.row").alias("rep"), "one.doc_id", "one.text_hash", "one.signature", "low")
     classes = stored(found, folder, "classes")
 
-    groups = stored(near_groups(documents, classes, folder, block_classes), folder, "components")
+    groups = stored(near_groups(documents, classes, folder, block_classes, percent), folder, "components")
     labels = classes.join(groups, "rep", "left").select(*keys, F.coalesce("component", "low").alias("component"))
     labelled = rows.select("doc_id", *keys).join(labels, keys, "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
@@ -320,10 +337,10 @@ def report(documents: DataFrame, block_classes: int = BLOCK_CLASSES) -> DataFram
     )
 
 
-def one_of_each(documents: DataFrame) -> DataFrame:
+def one_of_each(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
     """``documents`` without near-duplicates: of each component the row of smallest id
     stays. Equal rows are one; rows with a null id stay."""
-    gone = report(documents).where("not kept").select("doc_id").distinct()
+    gone = report(documents, percent=percent).where("not kept").select("doc_id").distinct()
     stay = documents.join(gone, "doc_id", "left_anti")
     text = unused("text_hash", documents.columns)
     hashed = stay.where("doc_id is not null").withColumn(text, F.xxhash64("text", F.length("text")))

@@ -109,6 +109,22 @@ def test_near_duplicates_match_all_pairs(spark, block_classes):
     assert all(r.kept == (r.doc_id is None or r.doc_id == r.component_id) for r in found)
 
 
+def test_pipeline_drops_near_copies_from_0_80_on(spark, data):
+    import corpus_pipeline
+
+    words = [f"w{k}" for k in range(200)]
+    near = words[:100] + ["x", "y"] + words[102:181] + ["z"] + words[182:]  # 11 of 196 shingles differ
+    at_82 = words[:40] + ["a"] + words[41:80] + ["b"] + words[81:120] + ["c"] + words[121:160] + ["d"] + words[161:]
+    apart = [w if k % 30 else f"v{k}" for k, w in enumerate(words)]
+    rows = [(1, " ".join(words)), (2, " ".join(near)), (3, " ".join(at_82)), (4, " ".join(apart))]
+    shared = [len(shingles(rows[0][1]) & shingles(t)) / len(shingles(rows[0][1]) | shingles(t)) for _, t in rows]
+    assert shared[1] > 0.85 > shared[2] > 0.8 > shared[3]
+    kept = corpus_pipeline.without_near_duplicates(spark, docs(spark, rows), data)
+    assert sorted(r.doc_id for r in kept.collect()) == [1, 4]
+    assert sorted(r.doc_id for r in neardup.one_of_each(docs(spark, rows)).collect()) == [1, 3, 4]
+    assert (neardup.matches(85), neardup.matches(80)) == (40, 35)
+
+
 def test_one_of_each_keeps_one_row_and_the_columns(spark):
     text = " ".join(f"w{k}" for k in range(60))
     frame = docs(spark, [(5, text), (2, text + " more"), (9, "other words"), (9, "other words"), (None, text), (7, None), (8, "")])
