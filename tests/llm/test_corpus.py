@@ -405,6 +405,37 @@ def test_a_score_depends_on_its_own_text_only():
     assert together[0] == together[3] > -8 * 25 * 30
 
 
+def test_every_context_keeps_counts_of_its_own(spark, monkeypatch):
+    """Words in pairs, more of them than any fixed table has room for, and few shards or many."""
+    counts = np.ones(mixing._FIRST_WORD, np.int64)
+    alphabet = mixing.Alphabet(pa.array([], pa.string()), *mixing.huffman(counts))
+    pick = random.Random(4)
+    texts = [" ".join(f"{pick.randrange(10**9):x}" for _ in range(300)) for _ in range(200)]
+    stream = mixing.symbol_stream(mixing.Words.of(pa.array(texts)), alphabet)
+    keys, times = mixing.pair_counts(stream, np.ones(len(texts), bool))
+    assert len(keys) > 400_000 and times.sum() == mixing.CONTEXTS * len(stream.places)
+    odds = mixing.path_odds(keys, times, alphabet)
+    plain: dict[tuple, list[int]] = {}
+    for key, n in zip(keys.tolist(), times.tolist(), strict=True):
+        at, size = alphabet.starts[key % 2**18], alphabet.lengths[key % 2**18]
+        for node, bit in zip(alphabet.nodes[at : at + size].tolist(), alphabet.bits[at : at + size].tolist(), strict=True):
+            plain.setdefault((key >> 18, node), [0, 0])[bit] += n
+    place = 0
+    for key in keys.tolist()[:20000]:
+        at, size = alphabet.starts[key % 2**18], alphabet.lengths[key % 2**18]
+        for node in alphabet.nodes[at : at + size].tolist():
+            zero, one = plain[key >> 18, node]
+            assert abs(odds[place] - np.clip(10 * np.log((one + 0.4) / (zero + 0.4)), -127, 127)) < 0.51
+            place += 1
+
+    rows = [(k, text) for k, text in enumerate(texts[:60])]
+    expected = sorted(mixing.score(docs(spark, rows)).collect())
+    monkeypatch.setattr(mixing, "SHARD_PAIRS", 3000)
+    found = sorted(mixing.score(docs(spark, rows).repartition(5)).collect())
+    assert [r.doc_id for r in found] == [r.doc_id for r in expected]
+    assert [r.score for r in found] == pytest.approx([r.score for r in expected])
+
+
 # pipeline and registration
 
 
