@@ -436,6 +436,23 @@ def test_every_context_keeps_counts_of_its_own(spark, monkeypatch):
     assert [r.score for r in found] == pytest.approx([r.score for r in expected])
 
 
+def test_short_texts_adapt_and_two_words_count():
+    """A text of fewer than 128 words moves its weights, and the word two before is a context."""
+    counts = np.ones(mixing._FIRST_WORD, np.int64)
+    alphabet = mixing.Alphabet(pa.array([], pa.string()), *mixing.huffman(counts))
+    stream = lambda text: mixing.symbol_stream(mixing.Words.of(pa.array([text])), alphabet)
+    two, other = stream("a b c"), stream("d b c")
+    differs = [(x[4:6] != y[4:6]).any() for x, y in zip(two.pairs, other.pairs, strict=True)]  # c and its end
+    assert differs == [False, False, True, False, False]
+
+    text = "r s t u v w x y z " * 6  # 109 symbols
+    again = stream(text)
+    tables = [np.zeros(1 << bits, np.int8) for bits in mixing.SLOT_BITS]
+    assert len(again.places) < 128
+    adapted = mixing.log2_scores(again, tables)[0]
+    assert adapted != pytest.approx(-float(again.spelling.bit_lengths[again.places].sum()), abs=0.5)
+
+
 # pipeline and registration
 
 
