@@ -8,7 +8,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from depotlens.llm import archive, decontaminate, frames, language, licenses, mixing, neardup, packing, private, topk
+from depotlens.llm import (
+    archive,
+    decontaminate,
+    frames,
+    language,
+    licenses,
+    mixing,
+    neardup,
+    negatives,
+    packing,
+    private,
+    topk,
+    toxicity,
+    turns,
+)
 from depotlens.llm.oracle import ORACLE  # noqa: F401
 from depotlens.llm.storage import fresh_folder, stored
 
@@ -67,6 +81,20 @@ def op10_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.report(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
+def op11_multiple_instance(spark: SparkSession, folder: str) -> DataFrame:
+    shared = fresh_folder(spark, "toxicity")
+    return toxicity.report(table(spark, folder, "documents"), table(spark, folder, "labels"), shared)
+
+
+def op12_turn_repair(spark: SparkSession, folder: str) -> DataFrame:
+    return turns.repaired(table(spark, folder, "conversations"), fresh_folder(spark, "turns"))
+
+
+def op13_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    rows = negatives.shifted_labels(table(spark, folder, "embeddings"))
+    return negatives.mine(rows, fresh_folder(spark, "negatives"), every=50)
+
+
 QUERIES: dict[str, Query] = {
     query.__name__: query
     for query in (
@@ -80,5 +108,8 @@ QUERIES: dict[str, Query] = {
         op8_private_data,
         op9_context_mixing,
         op10_decontamination,
+        op11_multiple_instance,
+        op12_turn_repair,
+        op13_hard_negatives,
     )
 }
