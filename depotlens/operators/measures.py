@@ -10,7 +10,7 @@ groups, see :func:`families`.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Mapping
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -37,6 +37,74 @@ class Mean:
     grain = ()
 
 
+# An exact sum keeps five integers of each double below 2^62:
+#   |x| = a 2^24 + b + c 2^-24 + d 2^-48 + e 2^-62,  b, c, d < 2^24 and e < 2^14,
+# each with the sign of x. What lies below 2^-62 is cut off, value by value.
+_WIDTH, _LAST = 24, 14
+_MASK = (1 << _WIDTH) - 1
+_LIMBS = ("a", "b", "c", "d", "e")
+_REACH = float(1 << 62)
+
+
+def exact_limbs(value: Column) -> dict[str, Column]:
+    """The five integers of a double below 2^62. Every step is exact: a rounding down, the
+    difference to it, and a product with a power of two."""
+    size = F.abs(value)
+    whole = F.floor(size)
+    limbs = [F.shiftright(whole, _WIDTH), whole.bitwiseAND(F.lit(_MASK))]
+    rest = size - whole.cast("double")
+    for bits in (_WIDTH, _WIDTH, _LAST):
+        rest = rest * F.lit(2.0**bits)
+        limbs.append(F.floor(rest))
+        rest = rest - F.floor(rest).cast("double")
+    return {k: F.when(value < 0, -limb).otherwise(limb) for k, limb in zip(_LIMBS, limbs, strict=True)}
+
+
+def exact_total(sums: dict[str, Column]) -> Column:
+    """The double next to the number that sums of the five integers stand for."""
+    a, b, c, d, e = (sums[k].cast("decimal(20,0)") for k in _LIMBS)
+
+    def shifted(value: Column, bits: int) -> Column:
+        return value * F.lit(1 << bits).cast(f"decimal({len(str(1 << bits))},0)")
+
+    # the decimal holds the whole number if the first sum is below 2^37, and is rounded
+    # once; beyond that the bits below one don't reach the double
+    whole = shifted(a, _WIDTH) + b
+    near = shifted(whole, 62) + shifted(c, _WIDTH + _LAST) + shifted(d, _LAST) + e
+    return F.when(F.abs(sums["a"]) < F.lit(1 << 37), near.cast("double") * F.lit(2.0**-62)).otherwise(whole.cast("double"))
+
+
+@dataclass(frozen=True)
+class ExactMean(Mean):
+    """Average that doesn't depend on the order of the rows, nor on how they were merged: the
+    sum is exact (to 2^-62 a value) and rounded once. Infinite values, NaN and values beyond
+    2^62 are summed as doubles.
+
+    The parts are sums of integers below 2^24 (the first: below 2^38), so a group holds 2^39
+    rows with values below 2^48; beyond that the sum fails rather than wraps."""
+
+    def _split(self) -> dict[str, Column]:
+        value = F.col(self.column).cast("double")
+        inside = F.abs(value) < F.lit(_REACH)
+        limbs = exact_limbs(F.when(inside, value))
+        return {**limbs, "other": F.when(~inside, value)}
+
+    def parts(self) -> dict[str, Column]:
+        sums = {f"{self.column}__{k}": F.sum(v) for k, v in self._split().items()}
+        return {**sums, f"{self.column}__known": F.count(self.column)}
+
+    def _mean(self, sums: dict[str, Column], known: Column) -> Column:
+        total = F.coalesce(exact_total(sums), F.lit(0.0))
+        return F.try_divide(F.when(sums["other"].isNull(), total).otherwise(total + sums["other"]), known)
+
+    def direct(self) -> Column:
+        return self._mean({k: F.sum(v) for k, v in self._split().items()}, F.count(self.column))
+
+    def merged(self) -> Column:
+        sums = {k: F.sum(f"{self.column}__{k}") for k in (*_LIMBS, "other")}
+        return self._mean(sums, F.sum(f"{self.column}__known"))
+
+
 @dataclass(frozen=True)
 class Peak:
     """Largest value; works for times as well as numbers."""
@@ -110,6 +178,11 @@ class State:
     def from_rollup(self, rolled: DataFrame) -> DataFrame:
         return self._group(rolled, {n: m.merged() for n, m in self.measures.items()})
 
+    def exactly(self) -> State:
+        """The same state with averages that no order of the rows changes."""
+        exact = {n: ExactMean(m.column) if isinstance(m, Mean) else m for n, m in self.measures.items()}
+        return replace(self, measures=exact)
+
     def _group(self, frame: DataFrame, columns: dict[str, Column]) -> DataFrame:
         grouped = frame.groupBy(*self.keys).agg(*[c.alias(n) for n, c in columns.items()])
         return grouped.withColumns({n: build() for n, build in self.derived.items()})
@@ -126,6 +199,18 @@ def rollup(signals: DataFrame, states: Iterable[State]) -> DataFrame:
     return signals.groupBy(*grain).agg(*[c.alias(n) for n, c in parts.items()])
 
 
+def merged_parts(rolled: DataFrame, states: Iterable[State]) -> DataFrame:
+    """Several rollups, one after another in ``rolled``, as one of the same columns."""
+    grain: dict[str, None] = {}
+    parts: dict[str, Column] = {}
+    for state in states:
+        grain.update(dict.fromkeys(state.grain()))
+        for measure in state.measures.values():
+            largest = isinstance(measure, Peak)
+            parts.update({n: F.max(n) if largest else F.sum(n) for n in measure.parts()})
+    return rolled.groupBy(*grain).agg(*[c.alias(n) for n, c in parts.items()])
+
+
 def families(states: Mapping[str, State]) -> list[dict[str, State]]:
     """States that share a rollup.
 

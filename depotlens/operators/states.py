@@ -68,6 +68,9 @@ STATES = {
     "silver_dispatch_context": DISPATCH,
 }
 
+# for stored tables: the same values from run to run, and from signals and from parts
+EXACT_STATES = {name: state.exactly() for name, state in STATES.items()}
+
 
 def inventory_state(signals: DataFrame) -> DataFrame:
     return INVENTORY.from_signals(signals)

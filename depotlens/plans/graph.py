@@ -9,11 +9,13 @@ from pyspark.sql.types import StructType
 
 from depotlens.functions.rules import DEFAULT, Limits
 from depotlens.operators import serving
-from depotlens.operators.measures import State, families, rollup
+from depotlens.operators.measures import State, families, merged_parts, rollup
 from depotlens.operators.quality import expect_or_drop
-from depotlens.operators.states import STATES
+from depotlens.operators.states import EXACT_STATES, STATES
 from depotlens.schema import BRONZE, GOLD, SIGNALS, SILVER
+from depotlens.sources.parts import FAN_IN, Parts
 from depotlens.sources.store import FolderStore, Store, scoped_store
+from depotlens.sources.versions import Refresh, VersionedTables
 from depotlens.streaming.ingest import IngestReport, follow_table, ingest
 
 
@@ -76,18 +78,30 @@ def parts_name(family: Mapping[str, State]) -> str:
 
 
 def materialize(
-    bronze: DataFrame, store: Store, limits: Limits = DEFAULT, as_of: Column | None = None
+    bronze: DataFrame, store: Store | Refresh, limits: Limits = DEFAULT, as_of: Column | None = None
 ) -> dict[str, DataFrame]:
     """Refresh all silver and gold tables of ``store`` from a stored bronze table.
 
     Only the states read bronze; everything later works on aggregates. Each table
-    is replaced as a whole, so a refresh can be repeated, also after a failed one."""
+    is replaced as a whole, so a refresh can be repeated, also after a failed one. The
+    averages are exact, so a repeated refresh gives the same bits."""
     with scoped_store(bronze.sparkSession) as work:
-        plans = planned_states(bronze, work)
+        plans = planned_states(bronze, work, EXACT_STATES)
         silver = {name: store.write(name, plans[name]) for name in SILVER}
     return {**silver, **gold_tables(silver, limits, as_of, store)}
 
 
+def refresh(
+    bronze: DataFrame, tables: VersionedTables, limits: Limits = DEFAULT, as_of: Column | None = None
+) -> dict[str, DataFrame]:
+    """Like :func:`materialize`, but readers see all nine tables change at once, after the
+    last is written. A failed refresh leaves them as they were."""
+    attempt = tables.begin()
+    materialize(bronze, attempt, limits, as_of)
+    tables.publish(attempt)
+    return {name: tables.read(name) for name in (*SILVER, *GOLD)}
+
+
 def update(
     store: Store,
     checkpoint: str,
@@ -114,12 +128,13 @@ def update_states(
     """Like :func:`update`, but only new signals are read.
 
     A second stream follows bronze and adds the rollup of each of its batches to
-    ``parts``; the states are merged from those. The reports are of both streams."""
+    ``parts``; the states are merged from those. The reports are of both streams. The
+    averages are exact, so they are those of :func:`update`."""
     landed = ingest(store, f"{checkpoint}/bronze", schema, max_bytes_per_batch=max_bytes_per_batch)
     rolled = roll_up_new(
-        store, f"{checkpoint}/parts", parts, schema, [*families(STATES)], max_bytes_per_batch
+        store, f"{checkpoint}/parts", parts, schema, families(EXACT_STATES), max_bytes_per_batch
     )
-    plans = states_from_parts(parts)
+    plans = states_from_parts(parts, EXACT_STATES)
     silver = {name: store.write(name, plans[name]) for name in SILVER}
     return landed, rolled, {**silver, **gold_tables(silver, limits, as_of, store)}
 
@@ -131,21 +146,26 @@ def roll_up_new(
     schema: StructType,
     wanted: Sequence[Mapping[str, State]],
     max_bytes_per_batch: int | None = None,
+    fan_in: int = FAN_IN,
 ) -> IngestReport:
-    """Rollups of the signals that reached bronze since the last run, one folder per
-    batch of the stream. A repeated batch replaces its folder, so it counts once."""
+    """Rollups of the signals that reached bronze since the last run, one part per batch of
+    the stream. A repeated batch replaces its part, so it counts once, and older parts are
+    merged, so few are left."""
 
     def keep(batch: DataFrame, number: int) -> None:
         for family in wanted:
-            rolled = rollup(batch, family.values())
-            parts.write(f"{parts_name(family)}/batch={number}", rolled)
+            family_parts(parts, family, fan_in).add(number, rollup(batch, family.values()))
 
     return follow_table(store, BRONZE[0], checkpoint, schema, keep, max_bytes_per_batch)
 
 
-def states_from_parts(parts: FolderStore) -> dict[str, DataFrame]:
+def family_parts(parts: FolderStore, family: Mapping[str, State], fan_in: int = FAN_IN) -> Parts:
+    return Parts(parts, parts_name(family), lambda rolled: merged_parts(rolled, family.values()), fan_in)
+
+
+def states_from_parts(parts: FolderStore, states: Mapping[str, State] = STATES) -> dict[str, DataFrame]:
     plans: dict[str, DataFrame] = {}
-    for family in families(STATES):
-        rolled = parts.read(parts_name(family)).drop("batch")
+    for family in families(states):
+        rolled = family_parts(parts, family).read()
         plans.update({name: state.from_rollup(rolled) for name, state in family.items()})
     return plans

@@ -6,6 +6,7 @@ bare ``0.35`` is a DECIMAL there."""
 
 from __future__ import annotations
 
+import re
 from datetime import timedelta
 
 from depotlens.functions.scalars import IDS_PER_MILLISECOND
@@ -31,7 +32,32 @@ def _padded(number: str, width: int) -> str:
     return f"CASE WHEN length({text}) >= {width} THEN {text} ELSE lpad({text}, {width}, '0') END"
 
 
-def _signals(terminal: str = "l_suppkey % 6", location: str = "o_custkey % 12") -> str:
+_MEASURES = {
+    "inventory_units": f"{_d('350 + (l_partkey % 8) * 60')} + l_quantity * 4",
+    "demand_units": f"{_d('120 + c_nationkey * 3')} + l_quantity",
+    "wholesale_cost": _d("150 + l_linenumber * 5"),
+    "retail_price": f"3 + {_d('l_suppkey % 32')} / {_d('64')}",
+    "weather_index": f"{_d('(c_nationkey % 5) * 12 + l_linenumber')} / {_d('64')}",
+    "freight_cost": f"""CASE WHEN l_orderkey % 5 = 4 THEN NULL
+         ELSE {_d('25 + (l_orderkey % 5) * 25')} + l_quantity / {_d('2')} END""",
+    "telematics_risk": f"{_d('(l_suppkey % 6) * 10 + l_linenumber')} / {_d('64')}",
+}
+_KEPT = f"l_extendedprice * ({_d('1')} - l_discount)"
+_PRICES = {
+    "inventory_units": "l_extendedprice * l_discount",
+    "demand_units": "l_extendedprice * l_tax",
+    "wholesale_cost": _KEPT,
+    "retail_price": f"{_KEPT} * ({_d('1')} + l_tax) / {_d('100')}",
+    "weather_index": f"l_discount * l_tax * {_d('99')}",
+    "freight_cost": "CASE WHEN l_orderkey % 5 <> 4 THEN l_extendedprice * l_discount * l_tax END",
+    "telematics_risk": f"l_discount / ({_d('1')} + l_tax)",
+}
+
+
+def _signals(
+    terminal: str = "l_suppkey % 6", location: str = "o_custkey % 12", measures: dict[str, str] = _MEASURES
+) -> str:
+    listed = "".join(f"    {text} AS {name},\n" for name, text in measures.items())
     return f"""signals AS (
   SELECT
     l_orderkey * 8 + l_linenumber AS id,
@@ -42,15 +68,7 @@ def _signals(terminal: str = "l_suppkey % 6", location: str = "o_custkey % 12")
     'PRD-' || {_padded('l_partkey % 8', 2)} AS product_id,
     'RTE-' || {_padded('l_orderkey % 5', 3)} AS route_id,
     'LOC-' || {_padded(location, 4)} AS retail_location_id,
-    {_d('350 + (l_partkey % 8) * 60')} + l_quantity * 4 AS inventory_units,
-    {_d('120 + c_nationkey * 3')} + l_quantity AS demand_units,
-    {_d('150 + l_linenumber * 5')} AS wholesale_cost,
-    3 + {_d('l_suppkey % 32')} / {_d('64')} AS retail_price,
-    {_d('(c_nationkey % 5) * 12 + l_linenumber')} / {_d('64')} AS weather_index,
-    CASE WHEN l_orderkey % 5 = 4 THEN NULL
-         ELSE {_d('25 + (l_orderkey % 5) * 25')} + l_quantity / {_d('2')} END AS freight_cost,
-    {_d('(l_suppkey % 6) * 10 + l_linenumber')} / {_d('64')} AS telematics_risk,
-    l_returnflag = 'R' AS planner_override_flag,
+{listed}    l_returnflag = 'R' AS planner_override_flag,
     'SRC-{BATCH_TAG}-' || CAST(l_orderkey * 8 + l_linenumber AS VARCHAR) AS source_record_id,
     'BATCH-{BATCH_TAG}' AS ingest_batch_id,
     CASE WHEN l_linenumber = 7 THEN 'warning' ELSE 'ok' END AS quality_flag,
@@ -199,6 +217,19 @@ def _per_gold_table(columns: str) -> str:
 
 
 _WIDE = _signals("l_suppkey", "o_custkey")
+_PRICED, _PRICED_WIDE = _signals(measures=_PRICES), _signals("l_suppkey", "o_custkey", _PRICES)
+
+# a sum of doubles as one of integers, which is exact, rounded once by way of its text
+_EXACT = (
+    r"CAST(CAST(SUM(CAST(trunc(\1 * pow(CAST(2 AS DOUBLE), 62)) AS HUGEINT)) AS VARCHAR) AS DOUBLE)"
+    r" / pow(CAST(2 AS DOUBLE), 62) / COUNT(\1)"
+)
+
+
+def _exactly(text: str) -> str:
+    return re.sub(r"AVG\((\w+)\)", _EXACT, text)
+
+
 _SUMMARY = """SELECT ai_query_action, ai_query_reason_code, COUNT(*) AS decision_count FROM decided
 GROUP BY ai_query_action, ai_query_reason_code
 ORDER BY decision_count DESC, ai_query_action, ai_query_reason_code"""
@@ -246,6 +277,11 @@ FROM signals"""
   COUNT(source_system) AS passed, COUNT(*) - COUNT(source_system) AS failed FROM signals"""
     ),
     "stream_ingest": _over("SELECT *, COUNT(*) OVER (PARTITION BY id % 2) AS passed_in_run FROM bronze"),
+    "stream_commits": _over("SELECT * REPLACE (ingest_batch_id || '-' || CAST(id % 2 AS VARCHAR) AS ingest_batch_id) FROM bronze"),
+    "stream_repeated_landing": _over(
+        "SELECT * REPLACE (ingest_batch_id || '-' || CAST(id % 2 AS VARCHAR) AS ingest_batch_id),"
+        " COUNT(*) OVER (PARTITION BY id % 2) AS rows_in_ledger FROM signals"
+    ),
     "incremental_states": _over("SELECT * FROM planner"),
     "incremental_dispatch": _over("SELECT * FROM dispatch"),
     "raw_signals_by_source": _over(_BY_SOURCE.format("signals")),
@@ -254,6 +290,8 @@ FROM signals"""
     "demand_drivers": _over("SELECT * FROM demand"),
     "dispatch_context": _over("SELECT * FROM dispatch"),
     "dispatch_context_wide": _over("SELECT * FROM dispatch", _WIDE),
+    "exact_planner": _exactly(_over("SELECT * FROM planner", _PRICED)),
+    "exact_dispatch": _exactly(_over("SELECT * FROM dispatch", _PRICED_WIDE)),
     "inventory_visibility": _over("SELECT * FROM visibility"),
     "planner_explainability": _over("SELECT * FROM planner"),
     "demand_forecast": _over("SELECT * FROM forecast"),
@@ -261,6 +299,7 @@ FROM signals"""
     "sales_context": _over("SELECT * FROM sales"),
     "decisions": _DECISIONS,
     "materialized_decisions": _DECISIONS,
+    "materialized_after_failure": _DECISIONS,
     "decision_summary": _over(_SUMMARY),
     "decision_summary_wide": _over(_WIDE_SUMMARY, _WIDE),
     "gold_row_counts": _per_gold_table("{rows} AS row_count"),

@@ -5,6 +5,7 @@ these write to a working store in the cluster's shared folder."""
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from datetime import datetime
 from functools import reduce
@@ -14,13 +15,15 @@ from pyspark.sql import functions as F
 
 from depotlens.functions.scalars import IDS_PER_MILLISECOND, source_name
 from depotlens.operators import serving, states
-from depotlens.operators.measures import families
+from depotlens.operators.measures import families, merged_parts, rollup
 from depotlens.operators.quality import expect_or_drop, expectation_counts
 from depotlens.plans import graph, publish, reports
 from depotlens.schema import BRONZE, GOLD, KEYS, SILVER
+from depotlens.sources.landing import LandingTable
 from depotlens.sources.signals import append_batch, read_table, signals_from, stamp_batch
 from depotlens.sources.store import FolderStore, working_store
-from depotlens.streaming.ingest import ingest
+from depotlens.sources.versions import VersionedTables
+from depotlens.streaming.ingest import ingest, ingest_commits
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -120,9 +123,9 @@ def _updated_states(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     for batch in _landings(signals):
         append_batch(batch, store)
         ingest(store, store.path("progress/bronze"), signals.schema)
-        wanted = [*families(states.STATES)]
+        wanted = families(states.EXACT_STATES)
         graph.roll_up_new(store, store.path("progress/parts"), parts, signals.schema, wanted)
-    return graph.states_from_parts(parts)
+    return graph.states_from_parts(parts, states.EXACT_STATES)
 
 
 def incremental_states(spark: SparkSession, folder: str) -> DataFrame:
@@ -135,6 +138,39 @@ def incremental_dispatch(spark: SparkSession, folder: str) -> DataFrame:
     return _updated_states(spark, folder)[DISPATCH]
 
 
+def _landed(spark: SparkSession, folder: str) -> tuple[LandingTable, list[DataFrame]]:
+    """An empty landing table, and the signals as two batches for it."""
+    signals = signals_from(spark, folder, BATCH_TAG)
+    landing = LandingTable(spark, working_store(spark).path("landing"), signals.schema)
+    named = F.concat("ingest_batch_id", F.lit("-"), F.pmod("id", F.lit(2)).cast("string"))
+    return landing, _landings(signals.withColumn("ingest_batch_id", named))
+
+
+def stream_commits(spark: SparkSession, folder: str) -> DataFrame:
+    """Bronze after two landings, each followed by a run of the stream, though the landed
+    files are rewritten into others before and between the runs, and the first ones go."""
+    landing, batches = _landed(spark, folder)
+    bronze = LandingTable(spark, landing.path("bronze"), landing.schema)
+    for batch in batches:
+        landing.land(batch)
+        landing.rewrite()
+        landing.drop_rewritten()
+        ingest_commits(landing, bronze, landing.path("progress"))
+        landing.rewrite()
+        ingest_commits(landing, bronze, landing.path("progress"))
+    return bronze.read()
+
+
+def stream_repeated_landing(spark: SparkSession, folder: str) -> DataFrame:
+    """The landing table after the first batch has landed twice, and again together with
+    the second: its rows are those of one landing of each."""
+    landing, (first, second) = _landed(spark, folder)
+    for batch in (first, first, first.unionAll(second), second):
+        landing.land(batch)
+    entries = landing.ledger().select(F.col("batch_id").alias("ingest_batch_id"), F.col("row_count").alias("rows_in_ledger"))
+    return landing.read().join(entries, "ingest_batch_id")
+
+
 def raw_signals_by_source(spark: SparkSession, folder: str) -> DataFrame:
     return reports.signals_by_source(signals_from(spark, folder, BATCH_TAG))
 
@@ -163,6 +199,31 @@ def dispatch_context_wide(spark: SparkSession, folder: str) -> DataFrame:
     return _states(spark, folder, DISPATCH, wide=True)[DISPATCH]
 
 
+def _priced_states(spark: SparkSession, folder: str, merged: bool = False, wide: bool = False) -> dict[str, DataFrame]:
+    """Exact states of signals that carry the lines' prices; ``merged`` from the rollups
+    of three parts of the signals, dealt by a hash."""
+    bronze = expect_or_drop(signals_from(spark, folder, BATCH_TAG, wide, priced=True))
+    plans: dict[str, DataFrame] = {}
+    for family in families(states.EXACT_STATES):
+        share = F.pmod(F.xxhash64("id", "signal_timestamp"), F.lit(3))
+        rolled = [rollup(bronze.where(share == k), family.values()) for k in range(3)] if merged else []
+        for name, state in family.items():
+            whole = reduce(DataFrame.unionAll, rolled) if merged else bronze
+            plans[name] = state.from_rollup(merged_parts(whole, family.values())) if merged else state.from_signals(whole)
+    return plans
+
+
+def exact_planner(spark: SparkSession, folder: str) -> DataFrame:
+    """Inventory positions with averages of prices, the same bits in any order of rows."""
+    silver = _priced_states(spark, folder)
+    return serving.planner_explainability(silver[INVENTORY], silver[DEMAND])
+
+
+def exact_dispatch(spark: SparkSession, folder: str) -> DataFrame:
+    """Lanes of every supplier from merged parts, with averages of prices."""
+    return _priced_states(spark, folder, merged=True, wide=True)[DISPATCH]
+
+
 # gold tables
 
 
@@ -209,6 +270,25 @@ def materialized_decisions(spark: SparkSession, folder: str) -> DataFrame:
     return graph.materialize(bronze, store, as_of=_clock())[DECISIONS]
 
 
+def materialized_after_failure(spark: SparkSession, folder: str) -> DataFrame:
+    """The decision table that readers see after a full refresh and a second one, over half
+    of the signals, that fails before its last table."""
+    store = working_store(spark)
+    tables = VersionedTables(spark, f"refresh_{uuid.uuid4().hex}", store.path("tables"))
+    bronze = store.write(BRONZE[0], _bronze(spark, folder))
+    graph.refresh(bronze, tables, as_of=_clock())
+    attempt = tables.begin()
+    graph.materialize(_landings(bronze)[0], attempt, as_of=_clock())
+    del attempt.written[DECISIONS]
+    try:
+        tables.publish(attempt)
+    except ValueError:
+        seen = tables.read(DECISIONS)
+    # the plan of the view is resolved by now; the names go, the files stay with the store
+    spark.sql(f"DROP DATABASE `{tables.namespace}` CASCADE")
+    return seen
+
+
 # reports
 
 
@@ -321,6 +401,8 @@ QUERIES: dict[str, Query] = {
         bronze_signals,
         expectation_metrics,
         stream_ingest,
+        stream_commits,
+        stream_repeated_landing,
         incremental_states,
         incremental_dispatch,
         raw_signals_by_source,
@@ -329,6 +411,8 @@ QUERIES: dict[str, Query] = {
         demand_drivers,
         dispatch_context,
         dispatch_context_wide,
+        exact_planner,
+        exact_dispatch,
         inventory_visibility,
         planner_explainability,
         demand_forecast,
@@ -336,6 +420,7 @@ QUERIES: dict[str, Query] = {
         sales_context,
         decisions,
         materialized_decisions,
+        materialized_after_failure,
         decision_summary,
         decision_summary_wide,
         gold_row_counts,

@@ -16,7 +16,8 @@ from depotlens.sources.store import Store
 ORDER_TABLES = {
     "lineitem": (
         "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int,"
-        " l_quantity double, l_returnflag string, l_shipdate timestamp_ntz"
+        " l_quantity double, l_extendedprice double, l_discount double, l_tax double,"
+        " l_returnflag string, l_shipdate timestamp_ntz"
     ),
     "orders": "o_orderkey bigint, o_custkey bigint, o_orderdate timestamp_ntz",
     "customer": "c_custkey bigint, c_nationkey int",
@@ -37,9 +38,11 @@ def conform_signals(
     customer: DataFrame,
     batch_tag: str = "orders",
     wide: bool = False,
+    priced: bool = False,
 ) -> DataFrame:
     """One signal per order line. With ``wide`` every supplier is a terminal and every
-    customer a location, so that the groups grow with the data.
+    customer a location, so that the groups grow with the data. With ``priced`` the
+    measures come from the lines' prices, whose sums are not exact in doubles.
 
     Orders meet customers first, as that side is narrow and has one row per order;
     the large line table is then shuffled once. Orders and lines grow together, so
@@ -78,14 +81,25 @@ def conform_signals(
         "quality_flag": F.when(line == 7, "warning").otherwise("ok"),
         "record_created_ts": F.col("o_orderdate"),
     }
+    if priced:
+        price, off, tax = (F.col(f"l_{c}") for c in ("extendedprice", "discount", "tax"))
+        columns |= {
+            "inventory_units": price * off,
+            "demand_units": price * tax,
+            "wholesale_cost": price * (F.lit(1.0) - off),
+            "retail_price": price * (F.lit(1.0) - off) * (F.lit(1.0) + tax) / F.lit(100.0),
+            "weather_index": off * tax * F.lit(99.0),
+            "freight_cost": F.when(route != 4, price * off * tax),
+            "telematics_risk": off / (F.lit(1.0) + tax),
+        }
     return lines.select(*[columns[field.name].alias(field.name) for field in SIGNALS])
 
 
 def signals_from(
-    spark: SparkSession, folder: str, batch_tag: str = "orders", wide: bool = False
+    spark: SparkSession, folder: str, batch_tag: str = "orders", wide: bool = False, priced: bool = False
 ) -> DataFrame:
     tables = (read_table(spark, folder, name) for name in ORDER_TABLES)
-    return conform_signals(*tables, batch_tag=batch_tag, wide=wide)
+    return conform_signals(*tables, batch_tag=batch_tag, wide=wide, priced=priced)
 
 
 def stamp_batch(

@@ -44,6 +44,16 @@ class FolderStore:
     def start(self, name: str, writer: DataStreamWriter) -> StreamingQuery:
         return writer.format(self.format).start(self.path(name))
 
+    def finished(self, name: str) -> list[str]:
+        """Names of the tables below folder ``name`` whose writing has ended."""
+        system, path = _located(self, name)
+        marks = system.globStatus(self.spark._jvm.org.apache.hadoop.fs.Path(path, "*/_SUCCESS"))
+        return sorted(mark.getPath().getParent().getName() for mark in marks or [])
+
+    def remove(self, name: str) -> None:
+        system, path = _located(self, name)
+        system.delete(path, True)
+
 
 @dataclass(frozen=True)
 class CatalogStore:
@@ -136,6 +146,6 @@ def drop(store: FolderStore) -> None:
     system.delete(path, True)
 
 
-def _located(store: FolderStore):
-    path = store.spark._jvm.org.apache.hadoop.fs.Path(store.root)
+def _located(store: FolderStore, name: str | None = None):
+    path = store.spark._jvm.org.apache.hadoop.fs.Path(store.path(name) if name else store.root)
     return path.getFileSystem(store.spark._jsc.hadoopConfiguration()), path

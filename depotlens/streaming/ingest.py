@@ -5,12 +5,14 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from depotlens.operators.quality import SIGNAL_EXPECTATIONS, expect_or_drop
 from depotlens.schema import BRONZE, SIGNALS, SOURCE
+from depotlens.sources.landing import APPEND, LandingTable
 from depotlens.sources.store import Store
 
 EXPECTATIONS = "expectations"
@@ -77,6 +79,46 @@ def follow_table(
     return _follow(writer.start())
 
 
+def ingest_commits(
+    landing: LandingTable,
+    bronze: LandingTable,
+    checkpoint: str,
+    expectations: Mapping[str, str] = SIGNAL_EXPECTATIONS,
+    max_commits_per_batch: int = 100,
+) -> IngestReport:
+    """Like :func:`ingest`, but following the commits of a landing table: a rewrite of
+    landed files is no new data, and landings may be rewritten before they are streamed.
+
+    Each landing reaches bronze once, whatever is repeated: bronze records which landings
+    its commits hold, in the commit itself. A lost checkpoint costs a look at the log."""
+    done: list[tuple[int, dict[str, int]]] = []
+    bronze.create()
+
+    def keep(commits: DataFrame, number: int) -> None:
+        appends = commits.where(F.col("operation") == APPEND).collect()  # at most max_commits_per_batch rows
+        known = bronze.landed_sources([c["landing"] for c in appends])
+        fresh = [c for c in appends if c["landing"] not in known]
+        if not fresh:
+            return
+        counted = Observation()
+        rows = expect_or_drop(landing.rows_of(fresh), expectations, counted)
+        bronze.land(rows, sources=[c["landing"] for c in fresh])
+        done.append((sum(c["row_count"] for c in fresh), dict(counted.get)))
+
+    writer = (
+        landing.create().commits(max_commits_per_batch)
+        .writeStream.foreachBatch(keep)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+    )
+    writer.start().awaitTermination()
+    totals: dict[str, int] = {}
+    for _, counters in done:
+        for name, value in counters.items():
+            totals[name] = totals.get(name, 0) + value
+    return IngestReport(len(done), sum(rows for rows, _ in done), totals)
+
+
 def _follow(query: StreamingQuery) -> IngestReport:
     """Wait for the end, adding up progress on the way: only the latest reports are kept."""
     batches: dict[int, tuple[int, dict[str, int]]] = {}
