@@ -55,6 +55,7 @@ BLOCK_BYTES = 8_000_000
 GROUP = 256
 CACHE_BYTES = 64_000_000
 STRIP = 512
+MOST_TASKS = 100_000  # beyond it a task takes several groups, one after another
 # the bound's relative and absolute slack for rounding in angles and norms
 SLACK = 1e-6
 
@@ -133,7 +134,7 @@ def load(uri: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 def _double(value: int) -> float:
     """The double next to an integer; the largest one beyond that."""
-    largest = np.finfo(float).max
+    largest = float(np.finfo(float).max)
     return float(value) if abs(value) < largest else largest if value > 0 else -largest
 
 
@@ -288,7 +289,7 @@ def fitted_pivots(units: np.ndarray, count: int) -> np.ndarray:
 
 def _vectors(lists: pa.Array, dim: int) -> np.ndarray:
     flat = lists.combine_chunks() if isinstance(lists, pa.ChunkedArray) else lists
-    return flat.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, dim)
+    return flat.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(flat), dim)
 
 
 def _dealt(vectors: DataFrame, folder: str) -> DataFrame:
@@ -305,7 +306,7 @@ def _dealt(vectors: DataFrame, folder: str) -> DataFrame:
     for dim, v, _ in sample.collect():  # at most SAMPLE rows
         by_length.setdefault(dim, []).append(v)
     wanted = min(PIVOTS, -(-count // SAMPLE))
-    fitted = {d: fitted_pivots(directions(integers(np.array(v, np.float64).reshape(-1, d))), wanted) for d, v in by_length.items()}
+    fitted = {d: fitted_pivots(directions(integers(np.array(v, np.float64).reshape(len(v), d))), wanted) for d, v in by_length.items()}
     sent = vectors.sparkSession.sparkContext.broadcast(fitted)  # at most PIVOTS directions a length, SAMPLE in all
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -405,8 +406,12 @@ def mine(vectors: DataFrame, folder: str, every: int) -> DataFrame:
         return pa.table([pa.array([nearest_long(v) for v in c], t) for c, t in zip(columns, types, strict=True)], names=names)
 
     cache = Cache(folder)
-    asked = anchors.select("id", "label", "v", "dim", "pivot", "part").groupBy("dim", "pivot", "part")
-    return asked.applyInArrow(run, schema)
+    keys = ("dim", "pivot", "part")
+    # groups are small and their work is not: a stated number of tasks keeps adaptive
+    # execution from merging them
+    groups = vectors.sparkSession.read.parquet(f"{folder}/group_counts").agg(F.sum("parts")).first()[0] or 1
+    asked = anchors.select("id", "label", "v", *keys).repartition(min(int(groups), MOST_TASKS), *keys)
+    return asked.groupBy(*keys).applyInArrow(run, schema)
 
 
 def shifted_labels(vectors: DataFrame) -> DataFrame:
