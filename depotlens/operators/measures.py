@@ -163,6 +163,33 @@ class Distinct:
         return (self.column,)
 
 
+@dataclass(frozen=True)
+class BitmapDistinct(Distinct):
+    """The same number from bitmaps of numbered values (``<column>__number``, see
+    ``sources.numbers``). A rollup has a row per group and range of 32,768 numbers instead of
+    one per group and value, so its size is bounded by the ranges. :func:`merged_parts`
+    must have made one row of each before the state is taken from it."""
+
+    def _number(self) -> Column:
+        return F.col(f"{self.column}__number")
+
+    def parts(self) -> dict[str, Column]:
+        return {f"{self.column}__bits": F.call_function("bitmap_construct_agg", F.call_function("bitmap_bit_position", self._number()))}
+
+    def merged(self) -> Column:
+        counted = F.call_function("bitmap_count", F.col(f"{self.column}__bits"))
+        in_range = F.col(f"{self.column}__range").isNotNull()
+        return F.coalesce(F.sum(F.when(in_range, counted)), F.lit(0))
+
+    @property
+    def grain(self) -> tuple[str, ...]:
+        return (f"{self.column}__range",)
+
+    def ranges(self) -> dict[str, Column]:
+        """The column of the rollup's key."""
+        return {f"{self.column}__range": F.call_function("bitmap_bucket_number", self._number())}
+
+
 @dataclass(frozen=True)
 class State:
     keys: tuple[str, ...]
@@ -183,6 +210,11 @@ class State:
         exact = {n: ExactMean(m.column) if isinstance(m, Mean) else m for n, m in self.measures.items()}
         return replace(self, measures=exact)
 
+    def by_bitmaps(self) -> State:
+        """The same state with distinct counts from bitmaps."""
+        found = {n: BitmapDistinct(m.column) if isinstance(m, Distinct) else m for n, m in self.measures.items()}
+        return replace(self, measures=found)
+
     def _group(self, frame: DataFrame, columns: dict[str, Column]) -> DataFrame:
         grouped = frame.groupBy(*self.keys).agg(*[c.alias(n) for n, c in columns.items()])
         return grouped.withColumns({n: build() for n, build in self.derived.items()})
@@ -196,6 +228,8 @@ def rollup(signals: DataFrame, states: Iterable[State]) -> DataFrame:
         grain.update(dict.fromkeys(state.grain()))
         for measure in state.measures.values():
             parts.update(measure.parts())
+            if isinstance(measure, BitmapDistinct):
+                signals = signals.withColumns(measure.ranges())
     return signals.groupBy(*grain).agg(*[c.alias(n) for n, c in parts.items()])
 
 
@@ -206,11 +240,16 @@ def merged_parts(rolled: DataFrame, states: Iterable[State]) -> DataFrame:
     for state in states:
         grain.update(dict.fromkeys(state.grain()))
         for measure in state.measures.values():
-            largest = isinstance(measure, Peak)
-            parts.update({n: F.max(n) if largest else F.sum(n) for n in measure.parts()})
+            parts.update({n: _merge(measure, n) for n in measure.parts()})
     return rolled.groupBy(*grain).agg(*[c.alias(n) for n, c in parts.items()])
 
 
+def _merge(measure: Mean | Peak | Hits | Distinct, part: str) -> Column:
+    if isinstance(measure, Peak):
+        return F.max(part)
+    return F.call_function("bitmap_or_agg", F.col(part)) if isinstance(measure, BitmapDistinct) else F.sum(part)
+
+
 def families(states: Mapping[str, State]) -> list[dict[str, State]]:
     """States that share a rollup.
 

@@ -148,7 +148,7 @@ def decisions(
 ) -> DataFrame:
     """One row per planner row and dispatch lane of its market, with the action to take.
     ``tasks`` is passed to the join, see :func:`decision_tasks`."""
-    positions = _forecast_positions(planner, forecast)
+    positions = forecast_positions(planner, forecast)
     paired = fan_out_join(
         positions,
         dispatch,
@@ -189,7 +189,7 @@ def decision_counts(
     of_position = [flags[name].alias(name) for name in POSITION_FLAGS]
     of_lane = [flag.alias(name) for name, flag in flags.items() if name not in POSITION_FLAGS]
     positions = (
-        _forecast_positions(planner, forecast)
+        forecast_positions(planner, forecast)
         .groupBy("market_key", *of_position)
         .agg(F.count("*").alias("positions"))
     )
@@ -208,7 +208,8 @@ def decision_counts(
     )
 
 
-def _forecast_positions(planner: DataFrame, forecast: DataFrame) -> DataFrame:
+def forecast_positions(planner: DataFrame, forecast: DataFrame) -> DataFrame:
+    """Planner rows with the forecast of their market and product."""
     outlook = forecast.select(*OFFER, "ai_forecast_units", "forecast_confidence")
     return planner.join(outlook, list(OFFER), "inner")
 

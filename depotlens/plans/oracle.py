@@ -10,7 +10,7 @@ import re
 from datetime import timedelta
 
 from depotlens.functions.scalars import IDS_PER_MILLISECOND
-from depotlens.plans.registry import AS_OF, ASKED, BATCH_TAG, DRIFTED, LANDING_GAP_MS
+from depotlens.plans.registry import AS_OF, ASKED, ASKED_TERMINAL, BATCH_TAG, DRIFTED, LANDING_GAP_MS, RENAMED
 from depotlens.schema import GOLD, KEYS, SOURCE_SYSTEMS
 
 
@@ -259,6 +259,26 @@ _LATER = (AS_OF + timedelta(milliseconds=LANDING_GAP_MS)).strftime("%Y%m%d%H%M%S
 _DECISIONS = _over("SELECT * FROM decided")
 _STAMP = AS_OF.strftime("%Y%m%d%H%M%S")
 
+
+
+def _difference(name: str, value: str) -> str:
+    """Rows of one side only, by key, of a table and its drifted copy."""
+    view, keys = _GOLD_VIEWS[name], ", ".join(KEYS[name])
+    copy = f"""SELECT * REPLACE (
+      CASE WHEN market_key = '{ASKED[0]}' THEN {value} + 1 ELSE {value} END AS {value},
+      CASE WHEN market_key = '{RENAMED[0]}' THEN '{RENAMED[1]}' ELSE market_key END AS market_key)
+    FROM {view} WHERE market_key <> '{DRIFTED}'"""
+    return f"""SELECT '{name}' AS table_name, concat_ws('/', {keys}) AS business_key,
+  CASE WHEN target_only = 0 THEN 'lost' WHEN source_only = 0 THEN 'added' ELSE 'changed' END AS difference, source_only, target_only
+FROM (SELECT {keys}, COUNT(*) FILTER (here) AS source_only, COUNT(*) FILTER (NOT here) AS target_only FROM (
+  SELECT *, TRUE AS here FROM (SELECT * FROM {view} EXCEPT ALL {copy})
+  UNION ALL SELECT *, FALSE FROM ({copy} EXCEPT ALL SELECT * FROM {view})) GROUP BY ALL)"""
+
+
+_DIFFERENCES = "\nUNION ALL\n".join(
+    _difference(GOLD[k], value) for k, value in ((0, "demand_units_avg"), (2, "ai_forecast_units"), (3, "freight_cost_peak"))
+)
+
 ORACLE: dict[str, str] = {
     "conform_signals": _over("SELECT * FROM signals"),
     "stamped_batch": _over(
@@ -284,6 +304,7 @@ FROM signals"""
     ),
     "incremental_states": _over("SELECT * FROM planner"),
     "incremental_dispatch": _over("SELECT * FROM dispatch"),
+    "incremental_dispatch_wide": _over("SELECT * FROM dispatch", _WIDE),
     "raw_signals_by_source": _over(_BY_SOURCE.format("signals")),
     "signals_by_source": _over(_BY_SOURCE.format("bronze")),
     "inventory_state": _over("SELECT * FROM inventory"),
@@ -300,6 +321,16 @@ FROM signals"""
     "decisions": _DECISIONS,
     "materialized_decisions": _DECISIONS,
     "materialized_after_failure": _DECISIONS,
+    "materialized_positions": _over(
+        "SELECT p.*, ai_forecast_units, forecast_confidence FROM planner p JOIN forecast USING (market_key, product_id)", _WIDE
+    ),
+    "materialized_reasons": _over(
+        "\nUNION ALL\n".join(
+            f"SELECT *, '{column}' AS asked_for FROM ({_REASONS}) WHERE {column} = '{value}'"
+            for column, value in (("market_key", ASKED[0]), ("product_id", ASKED[1]), ("terminal_id", ASKED_TERMINAL))
+        ),
+        _WIDE,
+    ),
     "decision_summary": _over(_SUMMARY),
     "decision_summary_wide": _over(_WIDE_SUMMARY, _WIDE),
     "gold_row_counts": _per_gold_table("{rows} AS row_count"),
@@ -351,4 +382,5 @@ FROM exposure GROUP BY route_id ORDER BY route_cost_exposure_peak DESC NULLS LAS
         "{rows} AS source_rows, {left_rows} AS target_rows, {keys} AS source_keys,"
         " {left_keys} AS target_keys, {rows} = {left_rows} AND {keys} = {left_keys} AS ok"
     ),
+    "reconcile_differences": _over(_DIFFERENCES),
 }

@@ -18,10 +18,13 @@ from depotlens.operators import serving, states
 from depotlens.operators.measures import families, merged_parts, rollup
 from depotlens.operators.quality import expect_or_drop, expectation_counts
 from depotlens.plans import graph, publish, reports
-from depotlens.schema import BRONZE, GOLD, KEYS, SILVER
+from depotlens.plans.differences import differences
+from depotlens.schema import BRONZE, GOLD, KEYS, OFFER, POSITION, SILVER
+from depotlens.sources.clustered import ClusteredTable
 from depotlens.sources.landing import LandingTable
+from depotlens.sources.numbers import Numbers
 from depotlens.sources.signals import append_batch, read_table, signals_from, stamp_batch
-from depotlens.sources.store import FolderStore, working_store
+from depotlens.sources.store import CatalogStore, FolderStore, working_store
 from depotlens.sources.versions import VersionedTables
 from depotlens.streaming.ingest import ingest, ingest_commits
 
@@ -35,6 +38,8 @@ LANDING_GAP_MS = 1000
 # drifted copy lacks.
 ASKED = ("MKT-03", "PRD-02")
 DRIFTED = "MKT-07"
+RENAMED = ("MKT-09", "MKT-x9")
+ASKED_TERMINAL = "TRM-004"
 INVENTORY, DEMAND, DISPATCH = SILVER
 VISIBILITY, PLANNER, FORECAST, EXPOSURE, SALES, DECISIONS = GOLD
 
@@ -171,6 +176,19 @@ def stream_repeated_landing(spark: SparkSession, folder: str) -> DataFrame:
     return landing.read().join(entries, "ingest_batch_id")
 
 
+def incremental_dispatch_wide(spark: SparkSession, folder: str) -> DataFrame:
+    """Lanes of every supplier after two batches, from parts that keep the locations served
+    as bitmaps of numbered locations."""
+    store = FolderStore(spark, working_store(spark).path("parts"))
+    dispatch = states.DISPATCH.exactly().by_bitmaps()
+    parts = graph.family_parts(store, {DISPATCH: dispatch})
+    locations = Numbers(store, "retail_location_id")
+    bronze = expect_or_drop(signals_from(spark, folder, BATCH_TAG, wide=True))
+    for number, batch in enumerate(_landings(bronze)):
+        parts.add(number, rollup(locations.numbered(number, batch), [dispatch]))
+    return dispatch.from_rollup(merged_parts(parts.read(), [dispatch]))
+
+
 def raw_signals_by_source(spark: SparkSession, folder: str) -> DataFrame:
     return reports.signals_by_source(signals_from(spark, folder, BATCH_TAG))
 
@@ -289,6 +307,34 @@ def materialized_after_failure(spark: SparkSession, folder: str) -> DataFrame:
     return seen
 
 
+def materialized_positions(spark: SparkSession, folder: str) -> DataFrame:
+    """Inventory positions with their forecast, from stored tables that are cut into the
+    same buckets by market and product, so that they are joined where they lie."""
+    store = CatalogStore(spark, f"offers_{uuid.uuid4().hex}")
+    planner, forecast, _ = _decision_inputs(spark, folder, wide=True)
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    for name, frame in ((PLANNER, planner), (FORECAST, forecast)):
+        store.write_bucketed(name, frame, OFFER, buckets)
+    found = serving.forecast_positions(store.read(PLANNER), store.read(FORECAST))
+    kept = working_store(spark).write("positions", found)
+    spark.sql(f"DROP DATABASE `{store.namespace}` CASCADE")
+    return kept
+
+
+def materialized_reasons(spark: SparkSession, folder: str) -> DataFrame:
+    """The question about planner decisions of one market, one terminal and one product,
+    each over the files of a stored wide table that may hold the answer."""
+    planner, _, _ = _decision_inputs(spark, folder, wide=True)
+    stored = working_store(spark)
+    table = ClusteredTable(spark, stored.path("clustered"), POSITION, files=32)
+    table.write(stored.write(PLANNER, planner))
+    asked = ({"market_key": ASKED[0]}, {"product_id": ASKED[1]}, {"terminal_id": ASKED_TERMINAL})
+    rows = [
+        reports.planner_reason(table.read(**one)).withColumn("asked_for", F.lit(next(iter(one)))) for one in asked
+    ]
+    return reduce(DataFrame.unionAll, rows)
+
+
 # reports
 
 
@@ -392,6 +438,27 @@ def reconcile_drift(spark: SparkSession, folder: str) -> DataFrame:
     return _reconciled(spark, folder, lambda frame: frame.where(F.col("market_key") != DRIFTED))
 
 
+def reconcile_differences(spark: SparkSession, folder: str) -> DataFrame:
+    """What differs in a copy that lost a market, renamed another and changed a value of a
+    product: the keys of each table, with as many rows and keys as before in the renamed."""
+    gold = graph.gold_tables(_stored_states(spark, folder), as_of=_clock(), store=working_store(spark))
+    target = publish.FolderTarget(working_store(spark))
+    market, found = F.col("market_key"), []
+    for name, value in ((VISIBILITY, "demand_units_avg"), (FORECAST, "ai_forecast_units"), (EXPOSURE, "freight_cost_peak")):
+        drifted = gold[name].where(market != DRIFTED).withColumns(
+            {
+                value: F.when(market == ASKED[0], F.col(value) + F.lit(1.0)).otherwise(F.col(value)),
+                "market_key": F.when(market == RENAMED[0], RENAMED[1]).otherwise(market),
+            }
+        )
+        target.replace(name, publish.serving_columns(drifted))
+        copy = target.store.read(name)
+        listed = differences(publish.serving_columns(gold[name]), copy, KEYS[name])
+        key = F.concat_ws("/", *KEYS[name]).alias("business_key")
+        found.append(listed.select(F.lit(name).alias("table_name"), key, "difference", "source_only", "target_only"))
+    return reduce(DataFrame.unionAll, found)
+
+
 QUERIES: dict[str, Query] = {
     query.__name__: query
     for query in (
@@ -405,6 +472,7 @@ QUERIES: dict[str, Query] = {
         stream_repeated_landing,
         incremental_states,
         incremental_dispatch,
+        incremental_dispatch_wide,
         raw_signals_by_source,
         signals_by_source,
         inventory_state,
@@ -421,6 +489,8 @@ QUERIES: dict[str, Query] = {
         decisions,
         materialized_decisions,
         materialized_after_failure,
+        materialized_positions,
+        materialized_reasons,
         decision_summary,
         decision_summary_wide,
         gold_row_counts,
@@ -436,5 +506,6 @@ QUERIES: dict[str, Query] = {
         reconcile_counts,
         reconcile_keys,
         reconcile_drift,
+        reconcile_differences,
     )
 }
