@@ -9,7 +9,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -39,8 +38,12 @@ def curve_position(cuts: dict[str, list], bits: int = BITS) -> Column:
     place = F.lit(0).cast("bigint")
     ranks = []
     for column, values in cuts.items():
-        reached = reduce(lambda n, v, c=column: n + F.when(F.col(c) >= F.lit(v), 1).otherwise(0), values, F.lit(0))
-        ranks.append(reached.cast("bigint"))
+        # few values are spread over all bits, so that the highest tell them apart
+        steps = [(k << bits) // (len(values) + 1) for k in range(len(values) + 1)]
+        rank = F.when(F.col(column).isNull(), 0)
+        for value, step in zip(values, steps, strict=False):
+            rank = rank.when(F.col(column) < F.lit(value), step)
+        ranks.append(rank.otherwise(steps[-1]).cast("bigint"))
     for bit in range(bits - 1, -1, -1):
         for rank in ranks:
             place = F.shiftleft(place, 1).bitwiseOR(F.shiftright(rank, bit).bitwiseAND(F.lit(1)))
@@ -49,7 +52,8 @@ def curve_position(cuts: dict[str, list], bits: int = BITS) -> Column:
 
 @dataclass(frozen=True)
 class ClusteredTable:
-    """A table below ``root``, in about ``files`` files, to be asked by any of ``columns``."""
+    """A table below ``root``, in ``files`` files or a few times that, to be asked by any of
+    ``columns``."""
 
     spark: SparkSession
     root: str
@@ -62,18 +66,40 @@ class ClusteredTable:
         return FolderStore(self.spark, self.root)
 
     def write(self, frame: DataFrame) -> None:
-        """Replace the table. ``frame`` is read once for the ranks and once for the rows, so
-        it should be stored. Rows of one place on the curve are told apart by a hash of
-        the columns' values, so a hot place is cut as well."""
+        """Replace the table. ``frame`` is read three times, for ranks, counts and rows, so
+        it should be stored."""
         cuts = bounds(frame, self.columns, self.bits)
-        placed = frame.withColumn("__place", curve_position(cuts, self.bits))
-        spread = F.xxhash64(*frame.columns)
-        ordered = placed.repartitionByRange(self.files, "__place", spread).sortWithinPartitions("__place", *self.columns)
-        rows = self.store.write("rows", ordered.drop("__place"))
+        depth = min(self.bits * len(self.columns), max(1, self.files.bit_length() + 2))
+        cell = F.shiftright("__place", self.bits * len(self.columns) - depth)
+        placed = frame.withColumn("__place", curve_position(cuts, self.bits)).withColumn("__cell", cell)
+        layout = self._layout(placed)
+        # at most 2^depth rows, eight for a file
+        cells = F.broadcast(self.spark.createDataFrame(layout, "__cell bigint, __first int, __shares int"))
+        share = F.pmod(F.xxhash64(*frame.columns, F.monotonically_increasing_id()), "__shares")
+        dealt = placed.join(cells, "__cell").withColumn("__file", (F.col("__first") + share).cast("int"))
+        number = max((first + shares for _, first, shares in layout), default=1)
+        ordered = dealt.repartitionById(number, "__file").sortWithinPartitions("__place", *self.columns)
+        rows = self.store.write("rows", ordered.select(*frame.columns))
         extents = [f(c).alias(f"{name}_{c}") for c in self.columns for f, name in ((F.min, "min"), (F.max, "max"))]
         blanks = [F.count_if(F.col(c).isNull()).alias(f"nulls_{c}") for c in self.columns]
         self.store.write("extents", rows.groupBy(F.input_file_name().alias("file")).agg(*extents, *blanks))
 
+    def _layout(self, placed: DataFrame) -> list[tuple[int, int, int]]:
+        """First file and number of files of every cell of the curve. Neighbours share a file
+        while they fit, within the box of their common start; a hot cell is cut."""
+        counts = sorted(tuple(row) for row in placed.groupBy("__cell").agg(F.count("*")).collect())
+        size = max(1, -(-sum(n for _, n in counts) // self.files))
+        layout, first, filled, box = [], 0, 0, None
+        for cell, n in counts:
+            if filled and (filled + n > size or cell >> len(self.columns) != box):
+                first, filled = first + 1, 0
+            layout.append((cell, first, max(1, -(-n // size))))
+            if n > size:
+                first, filled = first + layout[-1][2], 0
+            else:
+                filled, box = filled + n, cell >> len(self.columns)
+        return layout
+
     def files_with(self, **asked: object) -> list[str]:
         """Files that may hold rows with these values."""
         extents = self.store.read("extents")

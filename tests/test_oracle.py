@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import os
+import subprocess
+import sys
+
 import pytest
 from compare import assert_same, assert_same_order, connect
 
@@ -62,6 +66,21 @@ def test_query_has_the_types_of_its_oracle(spark, duck, data, name):
     assert found == dict(zip(expected.columns, map(str, expected.types), strict=True))
 
 
+@pytest.mark.parametrize("hidden", ["zstandard", "tokenizers", "depotlens.llm", "corpus_pipeline"])
+def test_queries_without_the_optional_packages(hidden):
+    """The other queries stay where a package of the training-data operators is absent."""
+    script = (
+        f"import sys; sys.modules[{hidden!r}] = None\n"
+        "import __spark_entry__ as entry; from depotlens.plans.registry import QUERIES\n"
+        "assert entry.queries().keys() == entry.oracle_sql().keys() == QUERIES.keys()"
+    )
+    root = os.path.dirname(os.path.abspath(contract.__file__))
+    done = subprocess.run([sys.executable, "-c", script], cwd=root, capture_output=True, text=True)
+    assert done.returncode == 0, done.stderr
+    if hidden in ("zstandard", "tokenizers"):
+        assert hidden in done.stderr
+
+
 def test_entry_runs(spark):
     frame = contract.entry(spark)
     assert len(frame.columns) == 28
