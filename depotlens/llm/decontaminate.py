@@ -6,42 +6,95 @@ blocks of two words (one word for strings of one). A scan looks at the block tha
 at its position and moves on by the block's shift; positions with shift 0 compare the
 strings of the block's suffix bucket word by word.
 
+Tables are built by tasks and kept as files in the shared folder, a block of about
+``BLOCK_WINDOWS`` strings in each; an item of more is cut into overlapping segments first. A
+string is a place in its item's words, so a block takes some hundred bytes a string, whatever
+the benchmark's size. Nothing of the benchmark passes through the driver.
+
 Case table: a null or word-free text has 0 words and no hit; an item without words
 matches nothing; repeated items or documents each count for themselves; extra columns
 pass through. Items with a null id are ignored. An empty benchmark hits nothing."""
 
 from __future__ import annotations
 
+import io
+import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from depotlens.llm.storage import fresh_folder, stored
-from depotlens.llm.words import LETTERED, coded, column_of, hashes, mixed, slices, split_words
+from depotlens.llm.storage import file_size, fresh_folder, put, read_range, stored
+from depotlens.llm.words import LETTERED, coded, column_of, flat_bytes, hashes, mixed, slices, split_words, spread, strings as as_strings
 
 WINDOW = 10
-BLOCK_BYTES = 16_000_000
+BLOCK_WINDOWS = 500_000
+SEGMENT_WINDOWS = 20_000
 SCANS = 4096
 
 
 @dataclass
 class StringSet:
-    """All test strings of one length: their words, items, and search tables."""
+    """The different test strings of one length: where each begins among the words of its
+    block, the items that have it, and the search tables."""
 
     length: int
-    words: np.ndarray
-    texts: list[bytes]
-    items: list[list[int]]
     block: int
+    first: np.ndarray
+    owners: np.ndarray  # items, string after string
+    owner_starts: np.ndarray
     keys: np.ndarray
     shifts: np.ndarray
     suffixes: np.ndarray
     buckets: np.ndarray
 
+    def items(self, string: int) -> list[int]:
+        return self.owners[self.owner_starts[string] : self.owner_starts[string + 1]].tolist()
+
+
+@dataclass
+class Strings:
+    """A block of test strings: the words of its items end to end, and the sets."""
+
+    text: pa.Array
+    words: np.ndarray
+    sets: list[StringSet]
+
+    @classmethod
+    def build(cls, items: np.ndarray, texts: pa.Array, window: int = WINDOW) -> Strings:
+        counts, values = split_words(texts, LETTERED)
+        codes, distinct = coded(values)
+        words = hashes(distinct)[codes] if len(distinct) else np.empty(0, np.uint64)
+        starts, lengths = np.cumsum(counts) - counts, np.minimum(window, counts)
+        sets = []
+        for length in np.unique(lengths[lengths > 0]).tolist():
+            rows = np.flatnonzero(lengths == length)
+            windows = counts[rows] - length + 1
+            sets.append(_tables(length, words, spread(starts[rows], windows), np.repeat(items[rows], windows)))
+        return cls(values, words, sets)
+
+    def save(self, uri: str) -> None:
+        data, bounds = flat_bytes(self.text) if len(self.text) else (np.empty(0, np.uint8), np.zeros(1, np.int64))
+        arrays = {"data": data, "bounds": bounds, "words": self.words}
+        for number, one in enumerate(self.sets):
+            arrays |= {f"{number}.{name}": np.asarray(value) for name, value in one.__dict__.items()}
+        buffer = io.BytesIO()
+        np.savez(buffer, sets=len(self.sets), **arrays)
+        put(uri, uuid.uuid4().hex, lambda sink: sink.write(buffer.getvalue()))
+
+    @classmethod
+    def load(cls, uri: str) -> Strings:
+        with np.load(io.BytesIO(read_range(uri, 0, file_size(uri)))) as found:
+            sets = []
+            for number in range(int(found["sets"])):
+                values = {name.partition(".")[2]: found[name] for name in found.files if name.startswith(f"{number}.")}
+                sets.append(StringSet(**values | {k: int(values[k]) for k in ("length", "block")}))
+            return cls(as_strings(found["data"], found["bounds"]), found["words"], sets)
+
 
 def _block_hash(words: np.ndarray, ends: np.ndarray, block: int) -> np.ndarray:
     if block == 1:
@@ -50,43 +103,30 @@ def _block_hash(words: np.ndarray, ends: np.ndarray, block: int) -> np.ndarray:
         return mixed(words[ends - 1] * np.uint64(3) + words[ends])
 
 
-def string_sets(items: list[tuple[int, str]], window: int = WINDOW) -> list[StringSet]:
-    """Shift and bucket tables of the windows of ``items``, by string length."""
-    counts, values = split_words(pa.array([text for _, text in items], pa.string()), LETTERED)
-    words = [w.encode() for w in values.to_pylist()]
-    strings: dict[int, dict[bytes, list[int]]] = {}
-    start = 0
-    for (item, _), count in zip(items, counts.tolist(), strict=True):
-        length = min(window, count)
-        for k in range(start, start + count - length + 1 if count else start):
-            owners = strings.setdefault(length, {}).setdefault(b" ".join(words[k : k + length]), [])
-            if not owners or owners[-1] != item:
-                owners.append(item)
-        start += count
-    return [_tables(length, found) for length, found in sorted(strings.items())]
-
-
-def _tables(length: int, found: dict[bytes, list[int]]) -> StringSet:
-    texts = sorted(found)
-    flat = hashes(pa.array([w for t in texts for w in t.split(b" ")], pa.binary()))
-    words = flat.reshape(len(texts), length)
+def _tables(length: int, words: np.ndarray, places: np.ndarray, items: np.ndarray) -> StringSet:
+    """Set of the strings of ``length`` words that begin at ``places``; equal ones are one."""
+    rows = np.ascontiguousarray(words[places[:, None] + np.arange(length)])
+    _, index, number = np.unique(rows.view(np.dtype((np.void, 8 * length))).ravel(), return_index=True, return_inverse=True)
+    first = places[index]
+    order = np.lexsort((items, number))
+    new = np.append(True, (np.diff(number[order]) != 0) | (np.diff(items[order]) != 0))
+    order = order[new]
+    owner_starts = np.searchsorted(number[order], np.arange(len(first) + 1))
     block = min(2, length)
-    keys, shifts = [], []
-    for end in range(block - 1, length):
-        keys.append(_block_hash(flat, np.arange(len(texts)) * length + end, block))
-        shifts.append(np.full(len(texts), length - 1 - end))
-    order = np.lexsort((np.concatenate(shifts), np.concatenate(keys)))
-    all_keys = np.concatenate(keys)[order]
-    smallest = np.concatenate([[True], all_keys[1:] != all_keys[:-1]])
-    suffix = keys[-1]
-    by_suffix = np.argsort(suffix, kind="stable")
+    ends = range(block - 1, length)
+    keys = [_block_hash(words, first + end, block) for end in ends]
+    shifts = np.repeat(np.array([length - 1 - end for end in ends], np.int16), len(first))
+    by_key = np.lexsort((shifts, np.concatenate(keys)))
+    all_keys = np.concatenate(keys)[by_key]
+    smallest = np.append(True, all_keys[1:] != all_keys[:-1])
+    by_suffix = np.argsort(keys[-1], kind="stable")
     return StringSet(
-        length, words, texts, [found[t] for t in texts], block,
-        all_keys[smallest], np.concatenate(shifts)[order][smallest], suffix[by_suffix], by_suffix,
+        length, block, first, items[order], owner_starts,
+        all_keys[smallest], shifts[by_key][smallest], keys[-1][by_suffix], by_suffix,
     )
 
 
-def occurrences(strings: StringSet, words: np.ndarray, starts: np.ndarray, ends: np.ndarray):
+def occurrences(strings: StringSet, of_items: np.ndarray, words: np.ndarray, starts: np.ndarray, ends: np.ndarray):
     """(end position, string number) of every occurrence in the runs ``words[start:end]``.
     Long runs are scanned in overlapping shares, all of them in step."""
     length, block = strings.length, strings.block
@@ -112,7 +152,7 @@ def occurrences(strings: StringSet, words: np.ndarray, starts: np.ndarray, ends:
             string = strings.buckets[entry]
             same = np.ones(len(position), bool)
             for k in range(length):
-                same &= words[position - length + 1 + k] == strings.words[string, k]
+                same &= words[position - length + 1 + k] == of_items[strings.first[string] + k]
             found_at.append(position[same])
             found_string.append(string[same])
         at = at + np.maximum(shift, 1)
@@ -123,7 +163,7 @@ def occurrences(strings: StringSet, words: np.ndarray, starts: np.ndarray, ends:
     return np.concatenate(found_at), np.concatenate(found_string)
 
 
-def _search(batch: pa.RecordBatch, sets: list[StringSet]) -> pa.RecordBatch:
+def _search(batch: pa.RecordBatch, asked: Strings) -> pa.RecordBatch:
     """``batch`` with ``hits`` (word numbers) and ``items`` extended."""
     counts, values = split_words(column_of(batch, "row.text"), LETTERED)
     codes, distinct = coded(values)
@@ -132,15 +172,16 @@ def _search(batch: pa.RecordBatch, sets: list[StringSet]) -> pa.RecordBatch:
     starts = ends - counts
     hit = [set(x or ()) for x in batch.column("hits").to_pylist()]
     items = [set(x or ()) for x in batch.column("items").to_pylist()]
-    for strings in sets:
-        positions, found = occurrences(strings, words, starts, ends)
+    for strings in asked.sets:
+        positions, found = occurrences(strings, asked.words, words, starts, ends)
         rows = np.searchsorted(ends, positions, side="right")
         for position, string, row in zip(positions.tolist(), found.tolist(), rows.tolist(), strict=True):
             first = position - strings.length + 1
-            if b" ".join(w.encode() for w in values[first : position + 1].to_pylist()) != strings.texts[string]:
+            at = int(strings.first[string])
+            if values[first : position + 1].to_pylist() != asked.text[at : at + strings.length].to_pylist():
                 continue
             hit[row].update(range(first - int(starts[row]), position + 1 - int(starts[row])))
-            items[row].update(strings.items[string])
+            items[row].update(strings.items(string))
     columns = {
         "row": batch.column("row"),
         "hits": pa.array([sorted(x) for x in hit], pa.list_(pa.int32())),
@@ -150,38 +191,83 @@ def _search(batch: pa.RecordBatch, sets: list[StringSet]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
 
 
+def _segments(window: int):
+    """Lower-cased words of each item, in segments that share ``window`` - 1 words, with
+    the number of strings of each."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch):
+                counts, values = split_words(part.column("text"), LETTERED)
+                windows = np.where(counts > 0, np.maximum(counts - window + 1, 1), 0)
+                cuts = -(-windows // SEGMENT_WINDOWS)
+                row = np.repeat(np.arange(len(counts)), cuts)
+                begin = spread(np.zeros(len(counts), np.int64), cuts) * SEGMENT_WINDOWS
+                n = np.minimum(windows[row] - begin, SEGMENT_WINDOWS)
+                size = np.minimum(counts[row] - begin, n + window - 1)
+                start = (np.cumsum(counts) - counts)[row] + begin
+                bounds = np.append(0, np.cumsum(size)).astype(np.int32)
+                lists = pa.ListArray.from_arrays(bounds, values.take(pa.array(spread(start, size))).cast(pa.string()))
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("item").take(pa.array(row)), pc.binary_join(lists, " "), pa.array(n, pa.int64())],
+                    names=["item", "text", "windows"],
+                )
+
+    return run
+
+
+def _stored_strings(benchmark: DataFrame, window: int, block_windows: int, folder: str) -> list[int]:
+    """Write the blocks of test strings; the numbers of those that are not empty."""
+    items = benchmark.select(F.col("item_id").cast("long").alias("item"), "text").where("item is not null")
+    # an item that is repeated counts once here: its strings have the same owner
+    segments = stored(items.mapInArrow(_segments(window), "item bigint, text string, windows bigint").distinct(), folder, "segments")
+    total = segments.agg(F.coalesce(F.sum("windows"), F.lit(0))).first()[0]
+    blocks = max(1, -(-total // block_windows))
+
+    def run(key: tuple, table: pa.Table) -> pa.Table:
+        number = key[0].as_py()
+        texts = table["text"].cast(pa.large_string()).combine_chunks()
+        Strings.build(table["item"].to_numpy(), texts, window).save(_uri(folder, number))
+        return pa.table({"block": pa.array([number], pa.int64())})
+
+    dealt = segments.withColumn("block", F.pmod(F.xxhash64("item", "text"), F.lit(blocks)))
+    built = stored(dealt.groupBy("block").applyInArrow(run, "block bigint"), folder, "built")
+    return sorted(row[0] for row in built.collect())
+
+
+def _uri(folder: str, block: int) -> str:
+    return f"{folder}/strings-{block}.npz"
+
+
 def search(
-    documents: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_BYTES
+    documents: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_windows: int = BLOCK_WINDOWS
 ) -> DataFrame:
     """``row`` (a struct of the columns of ``documents``), ``hits`` (numbers of hit words),
     ``items`` (ids of occurring items) and ``n_words``.
 
-    The test strings are sent to the executors in blocks of items of about
-    ``block_bytes`` of text, so their size is bounded whatever the benchmark's size;
-    documents pass once per block, each pass but the last written to shared storage."""
-    spark = documents.sparkSession
-    items = benchmark.select(F.col("item_id").cast("long").alias("item"), "text").where("item is not null")
-    total = items.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
-    blocks = max(1, -(-total // block_bytes))
-    folder = fresh_folder(spark, "strings") if blocks > 1 else ""
+    Documents pass once per block of about ``block_windows`` test strings, each pass but
+    the last written to shared storage; a worker holds one block."""
+    folder = fresh_folder(documents.sparkSession, "strings")
+    blocks = _stored_strings(benchmark, window, block_windows, folder) or [None]
     found = documents.select(
         F.struct("*").alias("row"),
         F.lit(None).cast("array<int>").alias("hits"),
         F.lit(None).cast("array<bigint>").alias("items"),
         F.lit(None).cast("bigint").alias("n_words"),
     )
-    for block in range(blocks):
-        rows = items.where(F.pmod(F.xxhash64("item"), F.lit(blocks)) == block).orderBy("item").collect()
-        sets = spark.sparkContext.broadcast(string_sets([(r[0], r[1] or "") for r in rows], window))
+    for number, block in enumerate(blocks):
 
-        def run(batches: Iterator[pa.RecordBatch], sets=sets) -> Iterator[pa.RecordBatch]:
+        def run(batches: Iterator[pa.RecordBatch], block=block) -> Iterator[pa.RecordBatch]:
+            asked = None
             for batch in batches:
                 for part in slices(batch, "row.text"):
-                    yield _search(part, sets.value)
+                    if asked is None:
+                        asked = Strings.load(_uri(folder, block)) if block is not None else Strings(pa.array([], pa.string()), np.empty(0, np.uint64), [])
+                    yield _search(part, asked)
 
         found = found.mapInArrow(run, found.schema)
-        if block < blocks - 1:
-            found = stored(found, folder, f"pass{block}")
+        if number < len(blocks) - 1:
+            found = stored(found, folder, f"pass{number}")
     return found
 
 

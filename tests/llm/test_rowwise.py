@@ -7,6 +7,7 @@ import random
 import re
 import zlib
 
+import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
@@ -51,21 +52,33 @@ def plain_report(text, items):
     return len(words), len(hit), len(found), hashlib.sha256(ids.encode()).hexdigest(), bool(hit)
 
 
-@pytest.mark.parametrize("block_bytes", [16_000_000, 40])
-def test_decontamination_matches_plain_search(spark, block_bytes):
+@pytest.mark.parametrize(("block_windows", "segment"), [(500_000, 20_000), (6, 2)])
+def test_decontamination_matches_plain_search(spark, monkeypatch, block_windows, segment):
+    monkeypatch.setattr(decontaminate, "SEGMENT_WINDOWS", segment)
     pick = random.Random(5)
     word = lambda: pick.choice(["a", "b", "c", "Dé", "x1"])
     line = lambda n: pick.choice([" ", ". ", "\n"]).join(word() for _ in range(n))
     items = [(k, line(pick.randint(1, 14))) for k in range(12)] + [(12, None), (13, "..."), (3, "a b c")]
     texts = [line(pick.randint(0, 60)) for _ in range(60)] + [None, "", "!!", items[0][1], line(9000)]
     benchmark = spark.createDataFrame(items, "item_id bigint, text string")
-    found = decontaminate.search(docs(spark, texts), benchmark, block_bytes=block_bytes)
+    found = decontaminate.search(docs(spark, texts), benchmark, block_windows=block_windows)
     rows = {r.row.doc_id: r for r in found.collect()}
     for k, text in enumerate(texts):
         n_words, n_hit, n_items, _, _ = plain_report(text, items)
         assert (rows[k].n_words, len(rows[k].hits), len(rows[k]["items"])) == (n_words, n_hit, n_items)
 
 
+def test_a_block_of_strings_takes_little():
+    """A bound in bytes follows from a bound in strings, also where each string differs."""
+    pick = random.Random(6)
+    texts = [" ".join(f"{pick.randrange(10**6):x}" for _ in range(500)) for _ in range(100)] * 2
+    strings = decontaminate.Strings.build(np.arange(200), pa.array(texts))
+    only = strings.sets[0]
+    assert len(only.first) == 100 * 491 and only.items(0) in [[k, k + 100] for k in range(100)]
+    size = strings.words.nbytes + strings.text.nbytes + sum(v.nbytes for v in only.__dict__.values() if isinstance(v, np.ndarray))
+    assert size < 250 * len(only.first)
+
+
 def test_decontaminated_keeps_clean_rows_and_columns(spark):
     benchmark = spark.createDataFrame([(1, "one two three four five six seven eight nine ten")], "item_id bigint, text string")
     frame = docs(spark, ["x One two, three four five six seven eight nine TEN y", "clean text", None, ""])
