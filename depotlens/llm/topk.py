@@ -15,15 +15,16 @@ Case table: vectors that are null, hold null or non-finite components, or have a
 no part; vectors of another length than the query's are no candidates; rows of the query's id
 are its own; repeated queries are answered each (``query_row`` tells them apart), repeated
 candidates count each; ties go to the smaller id; fewer than k candidates give all; an empty
-table gives no row; extra columns are ignored. Components must stay below 2^24 after scaling,
-so that scores of up to 2^14 components fit a long; larger ones raise an error."""
+table gives no row; extra columns are ignored. Every component that is finite after scaling is
+taken exactly: blocks and queries with one beyond 2^24 are computed in Python's integers, by the
+same slices. Scores beyond a long are returned as the nearest long, after ranking."""
 
 from __future__ import annotations
 
 import io
 import uuid
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -35,6 +36,25 @@ from depotlens.llm.storage import file_size, put, read_range, stored
 SCALE = 256
 BLOCK_ROWS = 16_384
 SLICES = 6
+MOST_TASKS = 100_000
+LARGE = 1 << 24  # products of smaller integers, for up to 2^14 attributes, fit a long
+WIDE_BITS, FEW_WORDS = 64, 16  # a query of more bits is added to so many words of rows at a time
+
+
+def integers(values: np.ndarray) -> np.ndarray:
+    """Doubles that are whole numbers as longs, or as Python's integers if they are large."""
+    if np.abs(values).max(initial=0) < LARGE:
+        return values.astype(np.int64)
+    return np.array([[int(v) for v in row] for row in values.tolist()], dtype=object).reshape(values.shape)
+
+
+def _wide(values: np.ndarray) -> np.ndarray:
+    return values if values.dtype == object else values.astype(np.int64)
+
+
+def _exact_dot(values: np.ndarray, query: np.ndarray) -> np.ndarray:
+    values = _wide(values)
+    return (values.astype(object) if query.dtype == object else values) @ query
 
 
 @dataclass
@@ -58,17 +78,23 @@ class Block:
         padded = np.zeros((values.shape[1], words * 64), np.uint8)
         padded[:, : len(ids)] = coarse.T
         slices = np.stack([_bitmap(padded >> b & 1) for b in range(SLICES)], axis=1)
-        return cls(ids, rows, values.astype(np.int32), low, shift, slices)
+        kept = values if values.dtype == object else values.astype(np.int32)
+        return cls(ids, rows, kept, low, shift, slices)
 
     def save(self, uri: str) -> None:
+        """Large integers are kept as the doubles that they come from."""
         buffer = io.BytesIO()
-        np.savez(buffer, **self.__dict__)
+        np.savez(buffer, **{k: v.astype(float) if getattr(v, "dtype", None) == object else v for k, v in self.__dict__.items()})
         put(uri, uuid.uuid4().hex, lambda sink: sink.write(buffer.getvalue()))
 
     @classmethod
     def load(cls, uri: str) -> Block:
         with np.load(io.BytesIO(read_range(uri, 0, file_size(uri)))) as found:
-            return cls(**{name: found[name] for name in found.files} | {"shift": int(found["shift"])})
+            values = {name: found[name] for name in found.files} | {"shift": int(found["shift"])}
+        if values["values"].dtype == np.float64:
+            values["values"] = integers(values["values"])
+            values["low"] = integers(values["low"][None])[0].astype(object)
+        return cls(**values)
 
 
 def _bitmap(bits: np.ndarray) -> np.ndarray:
@@ -105,9 +131,14 @@ def weighted_sum(block: Block, query: np.ndarray) -> np.ndarray:
     """Slices of sum(|q| u) over the attributes; u is the coarse value, counted from the
     top where q is negative (its bitmaps are inverted), so every term is positive."""
     words, weight = block.slices.shape[2], np.abs(query)
+    bits = int(weight.max(initial=0)).bit_length()
+    if bits > WIDE_BITS and words > FEW_WORDS:
+        parts = [weighted_sum(replace(block, slices=block.slices[:, :, k : k + FEW_WORDS]), query) for k in range(0, words, FEW_WORDS)]
+        high = max(map(len, parts))
+        return np.concatenate([np.pad(part, ((0, high - len(part)), (0, 0))) for part in parts], axis=1)
     inverted = np.where(query < 0, ~np.uint64(0), np.uint64(0))
     levels: dict[int, list[np.ndarray]] = {}
-    for bit in range(int(weight.max(initial=0)).bit_length()):
+    for bit in range(bits):
         chosen = np.flatnonzero(weight >> bit & 1)
         for b in range(SLICES) if len(chosen) else ():
             levels.setdefault(bit + b, []).append(block.slices[chosen, b] ^ inverted[chosen, None])
@@ -155,13 +186,16 @@ def best(block: Block, query_id: int, query: np.ndarray, k: int) -> tuple[np.nda
     else:
         sums = weighted_sum(block, query)
         picked = _largest(sums, valid, k)
-        limit = int((block.values[picked].astype(np.int64) @ query).min())
+        limit = int(_exact_dot(block.values[picked], query).min())
         most, positive = (1 << SLICES) - 1, np.maximum(query, 0)
-        base = int(query @ block.low) - int((positive - query).sum() * most << block.shift)
+        base = int(_exact_dot(block.low[None], query)[0]) - int((positive - query).sum() * most << block.shift)
         slack = int(positive.sum()) * ((1 << block.shift) - 1)
         rows = _at_least(sums, valid, -(-(limit - base - slack) // (1 << block.shift)))
-    scores = block.values[rows].astype(np.int64) @ query
-    order = np.lexsort((block.ids[rows], -scores))[:k]
+    scores = _exact_dot(block.values[rows], query)
+    if scores.dtype == object:
+        order = np.array(sorted(range(len(rows)), key=lambda n: (-scores[n], block.ids[rows[n]]))[:k], np.int64)
+    else:
+        order = np.lexsort((block.ids[rows], -scores))[:k]
     return rows[order], scores[order]
 
 
@@ -169,8 +203,8 @@ def index(vectors: DataFrame, folder: str, id_column: str, vector_column: str, b
     """Block files of all vectors below ``folder``; returns the stored number of blocks
     by vector length. Rows are dealt to blocks by a hash, so that blocks stay bounded."""
     x = F.col(vector_column)
-    whole = x.isNotNull() & F.forall(x, lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf")))
-    scaled = F.transform(x, lambda v: F.floor(v.cast("double") * SCALE))
+    whole = x.isNotNull() & F.forall(x, lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v.cast("double") * SCALE) < float("inf")))
+    scaled = F.transform(x, lambda v: v.cast("double") * SCALE)
     rows = vectors.where(whole & F.col(id_column).isNotNull()).select(
         F.col(id_column).cast("long").alias("id"), F.monotonically_increasing_id().alias("row"),
         F.size(x).alias("dim"), scaled.alias("v"),
@@ -182,9 +216,7 @@ def index(vectors: DataFrame, folder: str, id_column: str, vector_column: str, b
     def run(key: tuple, table: pa.Table) -> pa.Table:
         dim, number = (k.as_py() for k in key)
         lists = table["v"].combine_chunks()
-        values = lists.flatten().to_numpy(zero_copy_only=False).reshape(-1, dim) if dim else np.zeros((table.num_rows, 0), np.int64)
-        if np.abs(values).max(initial=0) >= 1 << 24:
-            raise ValueError("a component of a vector is beyond 2^24 after scaling")
+        values = integers(np.floor(lists.flatten().to_numpy(zero_copy_only=False).reshape(table.num_rows, dim)))
         Block.build(table["id"].to_numpy(), table["row"].to_numpy(), values).save(_uri(folder, dim, number))
         return pa.table({"dim": pa.array([dim], pa.int32()), "block": pa.array([number], pa.int64())})
 
@@ -196,6 +228,22 @@ def _uri(folder: str, dim: int, block: int) -> str:
     return f"{folder}/block-{dim}-{block}.npz"
 
 
+_LONGS = -(2**63), 2**63 - 1
+
+
+def _nearest_long(score: int) -> int:
+    return max(_LONGS[0], min(_LONGS[1], score))
+
+
+def _beyond(score: int) -> bytes | None:
+    """What orders the scores that have the same nearest long, bytewise."""
+    if _LONGS[0] < score < _LONGS[1]:
+        return None
+    size = abs(score).to_bytes((abs(score).bit_length() + 7) // 8, "big")
+    key = len(size).to_bytes(4, "big") + size
+    return key if score > 0 else bytes(255 - b for b in key)
+
+
 def search(written: DataFrame, folder: str, k: int, every: int) -> DataFrame:
     """``k`` best rows for the indexed rows whose id is divisible by ``every``."""
     others = written.withColumnRenamed("block", "queries")
@@ -214,15 +262,18 @@ def search(written: DataFrame, folder: str, k: int, every: int) -> DataFrame:
                 block = held[1]
                 asked = block if queries == number else Block.load(_uri(folder, dim, queries))
                 for q in np.flatnonzero(asked.ids % every == 0):
-                    rows, scores = best(block, int(asked.ids[q]), asked.values[q].astype(np.int64), k)
+                    rows, scores = best(block, int(asked.ids[q]), _wide(asked.values[q]), k)
+                    scores = scores.tolist()
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(len(rows), v)) for v in (asked.ids[q], asked.rows[q])] + [pa.array(block.ids[rows]), pa.array(scores)],
-                        names=["query_id", "query_row", "vec_id", "score"],
+                        [pa.array(np.full(len(rows), v)) for v in (asked.ids[q], asked.rows[q])]
+                        + [pa.array(block.ids[rows]), pa.array(map(_nearest_long, scores), pa.int64()), pa.array(map(_beyond, scores), pa.binary())],
+                        names=["query_id", "query_row", "vec_id", "score", "beyond"],
                     )
 
-    tasks = int(written.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    session = written.sparkSession
+    tasks = max(int(session.conf.get("spark.sql.shuffle.partitions")), min(written.count(), MOST_TASKS))
     dealt = meetings.repartition(tasks).sortWithinPartitions("dim", "block")
-    found = dealt.mapInArrow(run, "query_id bigint, query_row bigint, vec_id bigint, score bigint")
-    order = Window.partitionBy("query_id", "query_row").orderBy(F.desc("score"), "vec_id")
+    found = dealt.mapInArrow(run, "query_id bigint, query_row bigint, vec_id bigint, score bigint, beyond binary")
+    order = Window.partitionBy("query_id", "query_row").orderBy(F.desc("score"), F.desc("beyond"), "vec_id")
     ranked = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score", "query_row")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import io
+import math
 import random
 import re
 import zlib
@@ -168,6 +169,29 @@ def test_search_over_many_blocks(spark):
     assert topk.search(topk.index(frame.limit(0), fresh_folder(spark, "v0"), "vec_id", "embedding"), folder, 5, 50).count() == 0
 
 
+@pytest.mark.parametrize("size", [1e6, 1e9, 1e16, 1e300])
+def test_large_components_are_exact(spark, size):
+    """Scores beyond 2^63 are ranked by what they are and returned as the nearest long."""
+    pick = np.random.default_rng(9)
+    rows = [(k, [float(x) * (size if k % 3 else 1) for x in pick.normal(size=4)]) for k in range(60)]
+    rows += [(60, [1e308, 1.0, 1.0, 1.0])]  # not finite after scaling
+    folder = fresh_folder(spark, "vectors")
+    written = topk.index(spark.createDataFrame(rows, "vec_id bigint, embedding array<double>"), folder, "vec_id", "embedding", block_rows=16)
+    found = {(r.query_id, r["rank"]): (r.vec_id, r.score) for r in topk.search(written, folder, k=5, every=10).collect()}
+    whole = {k: [math.floor(256 * x) for x in v] for k, v in rows[:60]}
+    for query in range(0, 60, 10):
+        best = sorted((-sum(a * b for a, b in zip(v, whole[query], strict=True)), k) for k, v in whole.items() if k != query)[:5]
+        for rank, (minus, k) in enumerate(best, 1):
+            assert found[query, rank] == (k, max(-(2**63), min(2**63 - 1, -minus)))
+    assert (60, 1) not in found and len(found) == 30
+
+
+def test_order_beyond_a_long():
+    scores = [-(2**200), -(2**100) - 1, -(2**100), -(2**63), -5, 0, 2**62, 2**63 - 1, 2**63, 2**64, 2**300]
+    keys = [(topk._nearest_long(s), topk._beyond(s) or b"") for s in scores]
+    assert keys == sorted(keys) and len(set(keys)) == len(scores)
+
+
 # tokens, frames, packing
 
 
