@@ -6,8 +6,10 @@
    at least ``matches`` coordinates agree, so a value that no other class has can be skipped,
    a class with fewer than ``matches`` shared values has no match, and of the others only a
    prefix of their rarest values has to be merged: any match shares a value of both prefixes.
-3. Each prefix posting ties its classes to its smallest one, never pair by pair. The connected
-   components of these ties are clusters that hold every match.
+3. Prefix postings of up to ``SHORT`` classes are merged pair by pair: the pairs that share any
+   are listed once each, their agreeing coordinates counted, and only matches are kept. A longer
+   posting ties its classes to its smallest one instead. The connected components of matches and
+   ties are clusters that hold every match; texts that share passages but don't match are in none.
 4. Within a cluster agreeing coordinates are counted, matches are confirmed on the full sets
    and joined; pairs whose classes are joined already are skipped. Clusters over a bounded size
    are cut into blocks that all hold the cluster's first class. Classes that are then outside
@@ -40,6 +42,8 @@ SHINGLE = 5
 PERCENT = 85
 COORDINATES = 64
 BLOCK_CLASSES = 2000
+SHORT = 16  # a longer posting is not merged pair by pair
+SALTS = 16
 BLOCK_SHINGLES = 2_000_000
 
 _PLACES = mixed(np.arange(1, SHINGLE + 2, dtype=np.uint64)) | np.uint64(1)
@@ -246,9 +250,30 @@ def _clusters(classes: DataFrame, folder: str, percent: int) -> DataFrame:
     prefix = F.row_number().over(mine.orderBy("n", "token")) <= F.lit(COORDINATES - least + 1) - (F.lit(COORDINATES) - F.col("many"))
     posts = posts.withColumn("many", F.count("*").over(mine)).where(F.col("many") >= least)
     merged = stored(posts.withColumn("prefix", prefix).where("prefix").select("token", "rep"), folder, "prefixes")
-    first = merged.groupBy("token").agg(F.min("rep").alias("b"))
-    ties = merged.join(first, "token").where("rep <> b").select(F.col("rep").alias("a"), "b")
-    return components(ties, folder, "ties").select(F.col("node").alias("rep"), F.col("root").alias("cluster"))
+    lists = merged.groupBy("token").agg(F.count("*").alias("n"), F.min("rep").alias("b"))
+    lists = stored(lists.where("n > 1"), folder, "postings")
+    ties = merged.join(lists.where(F.col("n") > SHORT), "token").where("rep <> b").select(F.col("rep").alias("a"), "b")
+    pairs = matching_pairs(merged.join(lists.where(F.col("n") <= SHORT), "token"), classes, least)
+    tied = components(ties.unionAll(pairs.select("a", "b")), folder, "ties")
+    return tied.select(F.col("node").alias("rep"), F.col("root").alias("cluster"))
+
+
+def candidate_pairs(postings: DataFrame) -> DataFrame:
+    """Pairs of classes that share a posting, each once, smaller first. A posting has at
+    most ``SHORT`` classes."""
+    listed = postings.groupBy("token").agg(F.sort_array(F.collect_list("rep")).alias("reps"))
+    later = lambda k: F.slice("reps", k + 2, SHORT)
+    pairs = F.flatten(F.transform("reps", lambda a, k: F.transform(later(k), lambda b: F.struct(a.alias("a"), b.alias("b")))))
+    return listed.select(F.explode(pairs).alias("pair")).select("pair.*").where("a <> b").distinct()
+
+
+def matching_pairs(postings: DataFrame, classes: DataFrame, least: int) -> DataFrame:
+    """Candidate pairs that agree in at least ``least`` coordinates: ``a``, ``b``, ``agreeing``."""
+    signs = classes.select("rep", "signature")
+    one, two = (signs.select(F.col("rep").alias(x), F.col("signature").alias(f"sign_{x}")) for x in "ab")
+    both = candidate_pairs(postings).join(one, "a").join(two, "b")
+    agreeing = F.size(F.filter(F.zip_with("sign_a", "sign_b", lambda x, y: x == y), lambda same: same))
+    return both.select("a", "b", agreeing.alias("agreeing")).where(F.col("agreeing") >= least)
 
 
 def _texts(documents: DataFrame) -> DataFrame:
@@ -300,7 +325,7 @@ def _large_groups(large: DataFrame, texts: DataFrame, groups: DataFrame, folder:
     rooted = large.where("at = block").join(joined, "rep")
     parts = rooted.groupBy("cluster", "root").agg(F.count("*").alias("n"))
     main = parts.groupBy("cluster").agg(F.max_by("root", F.struct("n", "root")).alias("main"))
-    rooted = stored(rooted.join(main, "cluster"), folder, "rooted")
+    rooted = stored(_salted(rooted, main, "cluster"), folder, "rooted")
     outside = rooted.where("root <> main")
     shares = outside.groupBy("cluster").agg(F.ceil(F.count("*") / block_classes).cast("int").alias("shares"))
     held = [c for c in rooted.columns if c not in ("at", "main")]
@@ -314,7 +339,16 @@ def _large_groups(large: DataFrame, texts: DataFrame, groups: DataFrame, folder:
     final = components(joined.select(F.col("rep").alias("a"), F.col("root").alias("b")).unionAll(more), folder, "final")
     lows = rooted.select("rep", "low").join(final.withColumnRenamed("node", "rep"), "rep")
     lowest = lows.groupBy(F.col("root").alias("top")).agg(F.min("low").alias("component"))
-    return lows.join(lowest, F.col("root") == F.col("top")).select("rep", "component")
+    lowest = lowest.withColumnRenamed("top", "root")
+    return _salted(lows, lowest, "root").select("rep", "component")
+
+
+def _salted(rows: DataFrame, one_each: DataFrame, key: str) -> DataFrame:
+    """``rows`` with the columns of the one row of their key. Rows of a hot key are dealt to
+    ``SALTS`` tasks, each of which gets that row."""
+    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
+    dealt = rows.withColumn("salt", F.pmod(F.xxhash64("rep", F.lit(2)), F.lit(SALTS)).cast("int"))
+    return dealt.join(one_each.withColumn("salt", salts), [key, "salt"]).drop("salt")
 
 
 def report(documents: DataFrame, block_classes: int = BLOCK_CLASSES, percent: int = PERCENT) -> DataFrame:

@@ -136,6 +136,38 @@ def test_one_of_each_keeps_one_row_and_the_columns(spark):
     assert neardup.one_of_each(frame.limit(0)).count() == 0
 
 
+def test_texts_that_share_passages_make_no_clusters(spark):
+    """Work follows the shared postings: pairs grow with the texts, not with their square."""
+    pick, found = random.Random(1), {}
+    passage = lambda: " ".join(f"{pick.randrange(5000):x}" for _ in range(30))
+    for n in (300, 1200):
+        pool = [passage() for _ in range(n // 2)]
+        texts = spark.createDataFrame([(k, " ".join(pick.sample(pool, 6))) for k in range(n)], "doc_id bigint, text string")
+        folder = fresh_folder(spark, "passages")
+        rows = neardup.sketches(texts, folder).withColumnRenamed("row", "rep")
+        classes = stored(rows, folder, "classes")
+        assert neardup._clusters(classes, folder, 85).count() == 0
+        postings = spark.read.parquet(f"{folder}/prefixes").join(spark.read.parquet(f"{folder}/postings"), "token")
+        assert postings.where(F.col("n") > neardup.SHORT).count() == 0
+        found[n] = neardup.candidate_pairs(postings).count()
+    assert 0 < found[1200] < 20 * 1200 and found[1200] < 6 * found[300]
+
+
+@pytest.mark.parametrize("short", [1, 2, 16])
+def test_short_and_long_postings_give_the_same_groups(spark, monkeypatch, short):
+    pick = random.Random(8)
+    texts = []
+    for size in (1, 2, 3, 9, 25):
+        base = [f"w{pick.randrange(400)}" for _ in range(300)]
+        for _ in range(size):
+            one = list(base)
+            one[pick.randrange(300)] = "changed"
+            texts.append(" ".join(one))
+    monkeypatch.setattr(neardup, "SHORT", short)
+    found = {r.doc_id: r.component_id for r in neardup.report(docs(spark, list(enumerate(texts)))).collect()}
+    assert sorted(Counter(found.values()).values()) == [1, 2, 3, 9, 25]
+
+
 # top-k
 
 
