@@ -4,12 +4,18 @@ Byte trigrams of padded words are counted per language over all training documen
 kept in hashed buckets, so that the model is a table of languages x buckets. A word has
 a likelihood under each language; expectation-maximisation estimates which shares of the
 languages explain the words of a document, and a penalty per language keeps the set of
-languages as small as the words allow. The prediction is the language of largest share.
+languages as small as the words allow. The prediction is the language of largest share. A text
+is foreign if a model that knows no language, in which all buckets are alike, explains its words
+better than its mixture does, by more than that penalty.
+
+The model is one table in every task. ``train`` refuses more than ``MOST_LANGUAGES`` languages
+before any of it is collected, and the text that a task holds at once shrinks with their number.
 
 Case table: a null text or one without letters is ``und`` with score 0, as is every text
 if there are no training rows; rows with a null ``lang`` are predicted but not learned
 from; equal shares go to the alphabetically first language; repeated rows are predicted
-each; extra columns pass through."""
+each; extra columns pass through; a null ``doc_id`` gives a null ``held_out`` and is learned
+from; a very long text is a run of its own."""
 
 from __future__ import annotations
 
@@ -28,7 +34,8 @@ SMOOTHING = 0.5
 ROUNDS = 12
 PENALTY = 2.0
 UNKNOWN = "und"
-PREDICT_BYTES = 2_000_000  # text per run; each word holds a number per language
+MOST_LANGUAGES = 1_000
+PREDICT_BYTES = 2_000_000  # text per run, for up to 16 languages: each word holds a number per language
 
 # words of letters: a-z and everything beyond ASCII
 LETTERS = byte_table([range(0x41), range(0x5B, 0x61), range(0x7B, 0x80)])
@@ -80,6 +87,9 @@ def train(labelled: DataFrame) -> Model:
     """Model of the rows with text and language. It has languages x ``BUCKETS`` numbers,
     whatever the number of documents."""
     rows = labelled.where("lang is not null and text is not null").select("text", "lang")
+    languages = rows.select("lang").distinct().limit(MOST_LANGUAGES + 1).count()
+    if languages > MOST_LANGUAGES:
+        raise ValueError(f"more than {MOST_LANGUAGES} languages in column lang")
     counted = rows.mapInArrow(_count, "lang string, bucket int, n bigint")
     found = counted.groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toPandas()
     languages = sorted(found["lang"].unique())
@@ -102,17 +112,34 @@ def _mixture(evidence: np.ndarray, starts: np.ndarray, counts: np.ndarray, share
 
 def mixtures(texts: pa.Array, model: Model) -> np.ndarray:
     """Shares of the languages in each text; a text without words has none."""
+    return explained(texts, model)[0]
+
+
+def explained(texts: pa.Array, model: Model) -> tuple[np.ndarray, np.ndarray]:
+    """Shares of the languages in each text, and whether it is foreign to all of them."""
     counts, values = split_words(texts, LETTERS)
-    shares = np.zeros((len(texts), len(model.languages)))
+    shares, foreign = np.zeros((len(texts), len(model.languages))), np.zeros(len(texts), bool)
     codes, distinct = coded(values)
     if not len(distinct) or not model.languages:
-        return shares
+        return shares, foreign
     buckets, bounds = grams(distinct)
     of_word = np.add.reduceat(model.log_likelihood[buckets], bounds[:-1], axis=0)
-    evidence = np.exp(of_word - of_word.max(axis=1, keepdims=True)) + np.float32(1e-9)
+    best = of_word.max(axis=1)
+    evidence = np.exp(of_word - best[:, None]) + np.float32(1e-9)
+    # how much better the model without language explains a word than the best language
+    unknown = -np.log(BUCKETS) * np.diff(bounds) - best
     rows = np.flatnonzero(counts)
-    shares[rows] = _selected(evidence[codes], counts[rows])
-    return shares
+    evidence = evidence[codes]
+    shares[rows] = _selected(evidence, counts[rows])
+    starts = np.cumsum(counts[rows]) - counts[rows]
+    mixed = np.log((evidence * np.repeat(shares[rows], counts[rows], axis=0)).sum(axis=1, dtype=np.float64))
+    gain = np.add.reduceat(unknown[codes] - mixed, starts)
+    foreign[rows] = gain > _penalty(counts[rows])
+    return shares, foreign
+
+
+def _penalty(counts: np.ndarray) -> np.ndarray:
+    return PENALTY * np.log(counts + 1.0) + PENALTY
 
 
 def _selected(evidence: np.ndarray, counts: np.ndarray) -> np.ndarray:
@@ -131,7 +158,7 @@ def _selected(evidence: np.ndarray, counts: np.ndarray) -> np.ndarray:
         return chosen
     uniform = np.full((len(counts), languages), 1 / languages, np.float32)
     full, most = _mixture(evidence, starts, counts, uniform)
-    penalty = PENALTY * np.log(counts + 1.0) + PENALTY
+    penalty = _penalty(counts)
     reached = single.max(axis=1)
     open_rows = np.flatnonzero(most - reached > penalty)
     order = np.argsort(-full, axis=1, kind="stable")
@@ -154,16 +181,17 @@ def _selected(evidence: np.ndarray, counts: np.ndarray) -> np.ndarray:
 
 def predict(documents: DataFrame, model: Model) -> DataFrame:
     """``row`` (a struct of the columns of ``documents``), ``lang_pred``, ``score`` (its
-    share) and ``lang_set``."""
+    share), ``lang_set`` and ``foreign``."""
     sent = documents.sparkSession.sparkContext.broadcast(model)
     names = [*model.languages, UNKNOWN]
+    most = PREDICT_BYTES * 16 // max(16, len(model.languages))
     letters = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
     rows = documents.select(F.struct("*").alias("row"), letters.alias("letters"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "row.text", PREDICT_BYTES):
-                shares = mixtures(column_of(part, "row.text"), sent.value)
+            for part in slices(batch, "row.text", most):
+                shares, foreign = explained(column_of(part, "row.text"), sent.value)
                 shares[~part.column("letters").to_numpy(zero_copy_only=False)] = 0
                 known = shares.sum(axis=1) > 0
                 best = np.where(known, shares.argmax(axis=1) if shares.shape[1] else 0, len(names) - 1)
@@ -173,11 +201,12 @@ def predict(documents: DataFrame, model: Model) -> DataFrame:
                     "lang_pred": pa.array([names[i] for i in best], pa.string()),
                     "score": pa.array(np.minimum(score, 1.0), pa.float64()),
                     "lang_set": pa.array([[names[i] for i in np.flatnonzero(s)] for s in shares], pa.list_(pa.string())),
+                    "foreign": pa.array(foreign),
                 }
                 yield pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
 
     kept = rows.schema["row"].dataType.simpleString()
-    return rows.mapInArrow(run, f"row {kept}, lang_pred string, score double, lang_set array<string>")
+    return rows.mapInArrow(run, f"row {kept}, lang_pred string, score double, lang_set array<string>, foreign boolean")
 
 
 def held_out(parts: int = 5) -> Column:
@@ -192,10 +221,11 @@ def report(documents: DataFrame) -> DataFrame:
 
 
 def main_language(documents: DataFrame, least: float = 0.0) -> DataFrame:
-    """Documents with a language: those without letters go, and with ``least`` those in
-    which no language has that share. By default texts of several languages stay. A missing
-    ``lang`` is filled in."""
+    """Documents in languages that the labelled ones know. Those without letters go, those
+    that are foreign to every language, and with ``least`` those in which no language has
+    that share; texts of several known languages stay. A missing ``lang`` is filled in."""
     model = train(documents.where(~F.coalesce(held_out(), F.lit(False))))
-    found = predict(documents, model).where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least))
+    known = (F.col("lang_pred") != UNKNOWN) & ~F.col("foreign") & (F.col("score") >= least)
+    found = predict(documents, model).where(known)
     lang = F.coalesce("row.lang", "lang_pred")
     return found.select(*(lang.alias(c) if c == "lang" else F.col("row")[c].alias(c) for c in documents.columns))

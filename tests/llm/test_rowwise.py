@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import hashlib
+import itertools
+import math
 import random
 import re
 import zlib
@@ -131,6 +133,87 @@ def test_language_held_out_accuracy(spark, data):
     assert right > 0.95
 
 
+def plain_fit(evidence, chosen):
+    """Expectation-maximisation over some languages, word by word: shares and likelihood."""
+    shares = {k: 1 / len(chosen) for k in chosen}
+    for _ in range(language.ROUNDS):
+        joint = [{k: e[k] * shares[k] for k in chosen} for e in evidence]
+        shares = {k: sum(j[k] / sum(j.values()) for j in joint) / len(evidence) for k in chosen}
+    return shares, sum(math.log(sum(e[k] * shares[k] for k in chosen)) for e in evidence)
+
+
+def plain_choice(evidence):
+    """The language set of the best penalised likelihood among all sets."""
+    languages, penalty = range(len(evidence[0])), language.PENALTY * math.log(len(evidence) + 1) + language.PENALTY
+    sets = [c for n in range(1, len(languages) + 1) for c in itertools.combinations(languages, n)]
+    fits = {c: plain_fit(evidence, c) for c in sets}
+    best = max(sets, key=lambda c: fits[c][1] - (len(c) - 1) * penalty)
+    return best, fits[best][0]
+
+
+def test_mixtures_equal_the_best_of_all_sets():
+    """Texts of one to three of four languages, whose words tell little to much."""
+    pick = np.random.default_rng(3)
+    texts = []
+    for n in range(60):
+        mine = pick.choice(4, size=1 + n % 3, replace=False)
+        words = 1 + int(pick.integers(0, 40)) if n % 5 == 0 else 40 + int(pick.integers(0, 60))
+        of_word = np.sort(pick.choice(mine, size=words))
+        evidence = pick.uniform(0.01, 0.3, (words, 4))
+        evidence[np.arange(words), of_word] = 1
+        texts.append(evidence.astype(np.float32))
+    counts = np.array([len(t) for t in texts])
+    found = language._selected(np.concatenate(texts), counts)
+    for shares, evidence in zip(found, texts, strict=True):
+        chosen, plain = plain_choice(evidence.tolist())
+        assert np.flatnonzero(shares).tolist() == list(chosen)
+        assert shares[list(chosen)] == pytest.approx([plain[k] for k in chosen], abs=1e-4)
+
+
+def test_foreign_texts_by_likelihood(spark):
+    rows = [(k, t, lang) for lang, ts in corpus().items() for k, t in enumerate(ts * 400)]
+    model = language.train(spark.createDataFrame(rows, "doc_id bigint, text string, lang string"))
+    texts = [corpus()["en"][0], corpus()["en"][0] + " " + corpus()["fr"][1], "быстрая коричневая лиса прыгает через ленивую собаку " * 3, "weather", None, "?"]
+    shares, foreign = language.explained(pa.array(texts), model)
+    assert foreign.tolist() == [False, False, True, False, False, False]
+    for text, share, far in zip(texts[:4], shares, foreign, strict=False):
+        buckets, _ = language.grams(pa.array(text.split(), pa.large_string()))
+        words = [language.grams(pa.array([w], pa.large_string()))[0] for w in text.split()]
+        odds = [model.log_likelihood[w].sum(axis=0).astype(float) for w in words]
+        known = sum(math.log((np.exp(o - o.max()) * share).sum() + 1e-9) + o.max() for o in odds)
+        gain = -math.log(language.BUCKETS) * len(buckets) - known
+        assert (gain > language._penalty(np.array([len(words)]))[0]) == far
+    frame = spark.createDataFrame([(k, t, "en") for k, t in enumerate(texts)], "doc_id bigint, text string, lang string")
+    found = language.predict(frame, model)
+    assert [r.foreign for r in found.orderBy("row.doc_id").collect()] == foreign.tolist()
+
+
+def test_the_language_stage_rejects_foreign_texts(spark):
+    rows = [(k, t, lang) for lang, ts in corpus().items() for k, t in enumerate(ts * 400)]
+    rows += [(90_000, "быстрая коричневая лиса прыгает через ленивую собаку " * 3, None), (90_001, corpus()["fr"][0], None)]
+    # the foreign text must not be one to learn from: its language is not known
+    kept = language.main_language(spark.createDataFrame(rows, "doc_id bigint, text string, lang string"))
+    assert [(r.doc_id, r.lang) for r in kept.where("doc_id >= 90000").collect()] == [(90_001, "fr")]
+    assert kept.count() == len(rows) - 1
+
+
+def test_too_many_languages_are_refused(spark):
+    frame = spark.range(5000).selectExpr("id AS doc_id", "'a b' AS text", "CAST(id AS string) AS lang")
+    with pytest.raises(ValueError, match="more than 1000 languages"):
+        language.train(frame)
+
+
+def test_language_report_of_odd_rows(spark):
+    rows = [(k, t, lang, "x") for lang, ts in corpus().items() for k, t in enumerate(ts * 10)]
+    rows += [(None, corpus()["de"][0], None, "x"), (7, corpus()["en"][0] * 5000, None, "x"), (8, None, "en", "x")]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, letters string")
+    found = language.report(frame).collect()
+    assert len(found) == len(rows)
+    assert [(r.lang_pred, r.held_out) for r in found if r.doc_id is None] == [("de", None)]
+    assert sum(r.lang_pred == "und" and r.score == 0 for r in found) == 1
+    assert language.report(frame.limit(0)).collect() == []
+
+
 def test_held_out_follows_crc32(spark):
     found = docs(spark, ["x"] * 50).select("doc_id", language.held_out().alias("h")).collect()
     assert all(r.h == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0) for r in found)
