@@ -6,7 +6,9 @@ of the template's words. Template words are ordered by how often they occur in a
 documents, rarest first: a block that misses every word of the prefix (the rarest words,
 all but required - 1) can't meet the template, so only texts with a prefix word go on. Of
 those, texts with too few distinct template words are dropped (length), and each prefix
-place bounds the run of words looked at (position). The rest is counted exactly.
+place bounds the run of words looked at (position). The rest is counted exactly. Every block
+that meets a template is found; blocks that overlap are reported as one, from its first to its
+last template word, with the best containment of them.
 
 Case table: a null or empty text has 0 words, no labels and score 0; repeated rows are
 scanned each; a text may have several labels; extra columns are ignored."""
@@ -45,6 +47,9 @@ TEMPLATES: tuple[tuple[str, str], ...] = (
 )
 
 
+_BLOCKS = pa.list_(pa.struct([("label", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("containment", pa.float64())]))
+
+
 @dataclass
 class Template:
     label: str
@@ -89,10 +94,12 @@ def ordered_templates(templates: tuple[tuple[str, str], ...], counts: dict[str,
     return result
 
 
-def best_overlap(places: np.ndarray, words: np.ndarray, width: int) -> int:
-    """Most distinct words within a run of ``width`` words; ``places`` ascend."""
+def meeting_blocks(places: np.ndarray, words: np.ndarray, width: int, need: int) -> list[tuple[int, int, int]]:
+    """Start, end and most distinct words of the runs of ``width`` words with at least
+    ``need`` distinct ones, overlapping runs as one; ``places`` ascend."""
     inside: dict[int, int] = {}
-    most, first = 0, 0
+    found: list[tuple[int, int, int]] = []
+    first = 0
     for place, word in zip(places.tolist(), words.tolist(), strict=True):
         inside[word] = inside.get(word, 0) + 1
         while places[first] <= place - width:
@@ -101,13 +108,18 @@ def best_overlap(places: np.ndarray, words: np.ndarray, width: int) -> int:
             if not inside[gone]:
                 del inside[gone]
             first += 1
-        most = max(most, len(inside))
-    return most
-
-
-def contained(template: Template, number: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> Iterator[tuple[int, float]]:
-    """(text, containment) of the texts with a block that meets the template. ``number``
-    has the template word number of every word, or -1."""
+        if len(inside) >= need:
+            start, most = int(places[first]), len(inside)
+            if found and start < found[-1][1]:
+                before = found.pop()
+                start, most = min(start, before[0]), max(most, before[2])
+            found.append((start, place + 1, most))
+    return found
+
+
+def contained(template: Template, number: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> Iterator[tuple[int, int, int, float]]:
+    """Text, start, end (in words) and containment of every block that meets the template.
+    ``number`` has the template word number of every word, or -1."""
     size, width = len(template.words), 2 * len(template.words)
     at_prefix = np.flatnonzero(np.isin(number, template.prefix))
     rows = np.searchsorted(ends, at_prefix, side="right")
@@ -121,9 +133,8 @@ def contained(template: Template, number: np.ndarray, starts: np.ndarray, ends:
         np.add.at(close, np.maximum(near - starts[row] - width + 1, 0), 1)
         np.add.at(close, np.minimum(near - starts[row] + width, len(text)), -1)
         places = places[np.cumsum(close)[places] > 0]
-        found = best_overlap(places, text[places], width)
-        if found >= template.need:
-            yield int(row), found / size
+        for start, end, most in meeting_blocks(places, text[places], width, template.need):
+            yield int(row), start, end, most / size
 
 
 def phrase_places(codes: np.ndarray, distinct: pa.Array, starts: np.ndarray, ends: np.ndarray, phrase: str) -> np.ndarray:
@@ -146,7 +157,7 @@ def _scan(part: pa.RecordBatch, templates: list[Template], words: list[str]) ->
     codes, distinct = coded(values)
     ends = np.cumsum(counts)
     starts, rows = ends - counts, part.num_rows
-    base, labels, score = [set() for _ in range(rows)], [set() for _ in range(rows)], np.zeros(rows)
+    base, blocks = [set() for _ in range(rows)], [{} for _ in range(rows)]
     n_base, first, last = np.zeros(rows, np.int64), np.full(rows, np.iinfo(np.int64).max), np.full(rows, -1)
     if len(distinct):
         for phrase, label in PHRASES.items():
@@ -160,10 +171,13 @@ def _scan(part: pa.RecordBatch, templates: list[Template], words: list[str]) ->
         number = pc.index_in(distinct, value_set=pa.array(words, distinct.type))
         number = pc.fill_null(number, -1).to_numpy(zero_copy_only=False)[codes]
         for template in templates:
-            for row, share in contained(template, number, starts, ends):
-                labels[row].add(template.label)
-                score[row] = max(score[row], share)
+            for row, *block, share in contained(template, number, starts, ends):
+                key = (*block, template.label)
+                blocks[row][key] = max(blocks[row].get(key, 0.0), share)
+    labels = [{label for _, _, label in found} for found in blocks]
+    score = np.array([max(found.values(), default=0.0) for found in blocks])
     score[n_base > 0] = 1.0
+    listed = [[{"label": k[2], "start": k[0], "end": k[1], "containment": share} for k, share in sorted(found.items())] for found in blocks]
     none = n_base == 0
     return pa.RecordBatch.from_arrays(
         [
@@ -174,9 +188,10 @@ def _scan(part: pa.RecordBatch, templates: list[Template], words: list[str]) ->
             pa.array(last, pa.int64(), mask=none),
             pa.array([",".join(sorted(b)) for b in base], pa.string()),
             pa.array([",".join(sorted(b | more)) for b, more in zip(base, labels, strict=True)], pa.string()),
-            pa.array(score),
+            pa.array(score, pa.float64()),
+            pa.array(listed, _BLOCKS),
         ],
-        names=["doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score"],
+        names=["doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score", "blocks"],
     )
 
 
@@ -196,5 +211,6 @@ def scan(
     return documents.select("doc_id", "text").mapInArrow(
         run,
         "doc_id bigint, n_words bigint, n_base bigint, first_word bigint, last_word bigint,"
-        " base_labels string, labels string, score double",
+        " base_labels string, labels string, score double,"
+        " blocks array<struct<label: string, start: bigint, end: bigint, containment: double>>",
     )

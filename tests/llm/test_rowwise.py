@@ -344,6 +344,43 @@ def plain_licenses(text):
     return len(words), len(places), min(starts, default=None), max(starts, default=None), ",".join(sorted(base)), ",".join(sorted(base | labels)), 1.0 if places else score
 
 
+def plain_blocks(text):
+    """Every run of words tried against every template; runs that overlap are one block."""
+    words, found = re.findall(WORDS, lowered(text)), {}
+    for label, template in licenses.TEMPLATES:
+        wanted = set(re.findall(WORDS, lowered(template)))
+        width, need = 2 * len(wanted), math.ceil(licenses.CONTAINMENT * len(wanted) - 1e-9)
+        runs = []
+        for k in range(len(words)):
+            places = [p for p in range(k, min(k + width, len(words))) if words[p] in wanted]
+            most = len({words[p] for p in places})
+            if most >= need:
+                runs.append((places[0], places[-1] + 1, most / len(wanted)))
+        merged = []
+        for start, end, share in sorted(runs):
+            if merged and start < merged[-1][1]:
+                before = merged.pop()
+                start, end, share = before[0], max(end, before[1]), max(share, before[2])
+            merged.append((start, end, share))
+        for start, end, share in merged:
+            found[start, end, label] = max(found.get((start, end, label), 0), share)
+    return sorted((*key, share) for key, share in found.items())
+
+
+def test_every_license_block_is_reported(spark):
+    pick = random.Random(12)
+    filler = lambda n: " ".join(pick.choice(["lorem", "the", "license", "of", "use", "x1", "may"]) for _ in range(n))
+    notice = lambda: " ".join(w for w in pick.choice(licenses.TEMPLATES)[1].split() if pick.random() < 0.97)
+    texts = [" ".join(pick.choice((filler(pick.randrange(60)), notice(), notice())) for _ in range(pick.randrange(1, 6))) for _ in range(60)]
+    texts += [licenses.TEMPLATES[0][1] + " " + filler(200) + " " + licenses.TEMPLATES[0][1], None, ""]
+    found = {r.doc_id: [(b.start, b.end, b.label, b.containment) for b in r.blocks] for r in licenses.scan(docs(spark, texts)).collect()}
+    assert max(map(len, found.values())) > 3
+    for k, text in enumerate(texts):
+        assert found[k] == plain_blocks(text or ""), text
+    twice = found[len(texts) - 3]
+    assert [b[3] for b in twice if b[2] == "mit"].count(1.0) == 2
+
+
 def test_license_scan_matches_plain_search(spark):
     pick = random.Random(11)
     pool = sorted({w for _, t in licenses.TEMPLATES for w in re.findall(WORDS, lowered(t))}) + ["w%d" % k for k in range(40)]
