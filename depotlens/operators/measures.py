@@ -12,10 +12,18 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass, field, replace
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+# how a part is combined, given its name and the aggregate that merges it
+Combine = Callable[[str, Callable[[str], Column]], Column]
+
+
+def grouped(name: str, merge: Callable[[str], Column]) -> Column:
+    return merge(name)
+
+
 @dataclass(frozen=True)
 class Mean:
     """Average of the non-null values, NULL if there are none."""
@@ -31,8 +39,8 @@ class Mean:
             f"{self.column}__known": F.count(self.column),
         }
 
-    def merged(self) -> Column:
-        return F.try_divide(F.sum(f"{self.column}__sum"), F.sum(f"{self.column}__known"))
+    def merged(self, combine: Combine = grouped) -> Column:
+        return F.try_divide(combine(f"{self.column}__sum", F.sum), combine(f"{self.column}__known", F.sum))
 
     grain = ()
 
@@ -100,9 +108,9 @@ class ExactMean(Mean):
     def direct(self) -> Column:
         return self._mean({k: F.sum(v) for k, v in self._split().items()}, F.count(self.column))
 
-    def merged(self) -> Column:
-        sums = {k: F.sum(f"{self.column}__{k}") for k in (*_LIMBS, "other")}
-        return self._mean(sums, F.sum(f"{self.column}__known"))
+    def merged(self, combine: Combine = grouped) -> Column:
+        sums = {k: combine(f"{self.column}__{k}", F.sum) for k in (*_LIMBS, "other")}
+        return self._mean(sums, combine(f"{self.column}__known", F.sum))
 
 
 @dataclass(frozen=True)
@@ -117,8 +125,8 @@ class Peak:
     def parts(self) -> dict[str, Column]:
         return {f"{self.column}__max": F.max(self.column)}
 
-    def merged(self) -> Column:
-        return F.max(f"{self.column}__max")
+    def merged(self, combine: Combine = grouped) -> Column:
+        return combine(f"{self.column}__max", F.max)
 
     grain = ()
 
@@ -136,8 +144,8 @@ class Hits:
     def parts(self) -> dict[str, Column]:
         return {f"{self.label}__hits": F.count_if(self.condition())}
 
-    def merged(self) -> Column:
-        return F.sum(f"{self.label}__hits")
+    def merged(self, combine: Combine = grouped) -> Column:
+        return combine(f"{self.label}__hits", F.sum)
 
     grain = ()
 
@@ -205,6 +213,16 @@ class State:
     def from_rollup(self, rolled: DataFrame) -> DataFrame:
         return self._group(rolled, {n: m.merged() for n, m in self.measures.items()})
 
+    def beside(self) -> dict[str, Column]:
+        """The measures as window values over a rollup of finer groups, so that each of its
+        rows has those of its group of this state without a join."""
+        group = Window.partitionBy(*self.keys)
+        return {n: m.merged(lambda name, merge: merge(name).over(group)) for n, m in self.measures.items()}
+
+    def of_row(self) -> dict[str, Column]:
+        """The measures over a rollup to exactly this state's groups, row by row."""
+        return {n: m.merged(lambda name, _: F.col(name)) for n, m in self.measures.items()}
+
     def exactly(self) -> State:
         """The same state with averages that no order of the rows changes."""
         exact = {n: ExactMean(m.column) if isinstance(m, Mean) else m for n, m in self.measures.items()}

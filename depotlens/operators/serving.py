@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from depotlens.functions.rules import DEFAULT, Limits
 from depotlens.functions.scalars import first_match
 from depotlens.operators.fanout import PAIRS_PER_BLOCK, block_tasks, fan_out_join
+from depotlens.operators.measures import State
 from depotlens.schema import OFFER
 
 
@@ -59,7 +60,25 @@ def planner_explainability(
     drivers = demand.select(
         *OFFER, "baseline_demand_units", "weather_index_avg", "price_spread", "planner_override_count"
     )
-    joined = inventory.drop("weather_index_avg").join(drivers, list(OFFER), "inner")
+    return _explained(inventory.drop("weather_index_avg").join(drivers, list(OFFER), "inner"), limits)
+
+
+def positions_from_rollup(rolled: DataFrame, inventory: State, demand: State, limits: Limits = DEFAULT) -> DataFrame:
+    """Planner rows with their forecast, as :func:`planner_explainability` and
+    :func:`forecast_positions` give them, from one rollup to the positions. The demand
+    picture of an offer is a window over its positions, so the signals are read once and
+    nothing is joined."""
+    known = rolled.where(" AND ".join(f"{key} IS NOT NULL" for key in OFFER))
+    drivers = known.withColumns(demand.beside()).withColumns({n: build() for n, build in demand.derived.items()})
+    shared = ("baseline_demand_units", "weather_index_avg", "price_spread", "planner_override_count")
+    values = {n: c for n, c in inventory.of_row().items() if n not in shared}
+    joined = drivers.select(*inventory.keys, *shared, *(c.alias(n) for n, c in values.items()))
+    planner = _explained(joined.withColumns({n: build() for n, build in inventory.derived.items()}), limits)
+    # the forecast needs nothing but the demand picture that the planner row carries
+    return demand_forecast(planner, limits).select(*planner.columns, "ai_forecast_units", "forecast_confidence")
+
+
+def _explained(joined: DataFrame, limits: Limits) -> DataFrame:
     gap_share = F.try_divide(F.col("inventory_gap_units"), F.col("inventory_units_avg"))
     scored = joined.select(
         *OFFER,
@@ -148,7 +167,18 @@ def decisions(
 ) -> DataFrame:
     """One row per planner row and dispatch lane of its market, with the action to take.
     ``tasks`` is passed to the join, see :func:`decision_tasks`."""
-    positions = forecast_positions(planner, forecast)
+    return decided(forecast_positions(planner, forecast), dispatch, limits, as_of, pairs_per_block, tasks)
+
+
+def decided(
+    positions: DataFrame,
+    dispatch: DataFrame,
+    limits: Limits = DEFAULT,
+    as_of: Column | None = None,
+    pairs_per_block: int = PAIRS_PER_BLOCK,
+    tasks: int | None = None,
+) -> DataFrame:
+    """:func:`decisions` of planner rows that have their forecast."""
     paired = fan_out_join(
         positions,
         dispatch,
@@ -162,10 +192,8 @@ def decisions(
     )
     flags = _flags(limits)
     flagged = paired.withColumns(_lane_defaults()).withColumns(flags)
-    decided = flagged.withColumns(
-        {**_outcome(), "decision_timestamp": F.current_timestamp() if as_of is None else as_of}
-    )
-    return decided.drop("high_risk")
+    clock = F.current_timestamp() if as_of is None else as_of
+    return flagged.withColumns({**_outcome(), "decision_timestamp": clock}).drop("high_risk")
 
 
 def decision_tasks(planner: DataFrame, dispatch: DataFrame) -> int:
@@ -185,11 +213,16 @@ def decision_counts(
     A decision depends on flags of the planner row and flags of the lane only. So each
     side shrinks to one row per market and combination of its flags before they meet,
     and the number of pairs is the product of the two counts."""
+    return decided_counts(forecast_positions(planner, forecast), dispatch, limits)
+
+
+def decided_counts(positions: DataFrame, dispatch: DataFrame, limits: Limits = DEFAULT) -> DataFrame:
+    """:func:`decision_counts` of planner rows that have their forecast."""
     flags = _flags(limits)
     of_position = [flags[name].alias(name) for name in POSITION_FLAGS]
     of_lane = [flag.alias(name) for name, flag in flags.items() if name not in POSITION_FLAGS]
     positions = (
-        forecast_positions(planner, forecast)
+        positions
         .groupBy("market_key", *of_position)
         .agg(F.count("*").alias("positions"))
     )

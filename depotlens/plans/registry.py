@@ -19,7 +19,7 @@ from depotlens.operators.measures import families, merged_parts, rollup
 from depotlens.operators.quality import expect_or_drop, expectation_counts
 from depotlens.plans import graph, publish, reports
 from depotlens.plans.differences import differences
-from depotlens.schema import BRONZE, GOLD, KEYS, OFFER, POSITION, SILVER
+from depotlens.schema import BRONZE, GOLD, KEYS, LANE, OFFER, POSITION, SILVER
 from depotlens.sources.clustered import ClusteredTable
 from depotlens.sources.landing import LandingTable
 from depotlens.sources.numbers import Numbers
@@ -277,8 +277,17 @@ def _decision_inputs(
     )
 
 
+def _positions(spark: SparkSession, folder: str, wide: bool = False) -> tuple[DataFrame, DataFrame]:
+    """Planner rows with their forecast and lanes with their risk, each from one pass over
+    the signals."""
+    bronze = expect_or_drop(signals_from(spark, folder, BATCH_TAG, wide))
+    rolled = rollup(bronze, [states.INVENTORY, states.DEMAND])
+    positions = serving.positions_from_rollup(rolled, states.INVENTORY, states.DEMAND)
+    return positions, serving.dispatch_exposure(states.dispatch_context(bronze))
+
+
 def decisions(spark: SparkSession, folder: str) -> DataFrame:
-    return serving.decisions(*_decision_inputs(spark, folder), as_of=_clock())
+    return serving.decided(*_positions(spark, folder), as_of=_clock())
 
 
 def materialized_decisions(spark: SparkSession, folder: str) -> DataFrame:
@@ -339,30 +348,38 @@ def materialized_reasons(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def decision_summary(spark: SparkSession, folder: str) -> DataFrame:
-    counted = serving.decision_counts(*_decision_inputs(spark, folder))
-    return reports.ranked_summary(counted)
+    return reports.ranked_summary(serving.decided_counts(*_positions(spark, folder)))
 
 
 def decision_summary_wide(spark: SparkSession, folder: str) -> DataFrame:
     """The summary where every supplier is a terminal: the pairs it counts grow with the
     square of the suppliers, the work does not."""
-    counted = serving.decision_counts(*_decision_inputs(spark, folder, wide=True))
-    return reports.ranked_summary(counted)
+    return reports.ranked_summary(serving.decided_counts(*_positions(spark, folder, wide=True)))
 
 
 def gold_row_counts(spark: SparkSession, folder: str) -> DataFrame:
-    """Rows of each gold table, from the three states: a projection has the rows of its
-    state, and decisions are counted without building the pairs."""
-    silver = _states(spark, folder)
-    gold = graph.gold_tables(silver)
-    single = reports.row_counts({PLANNER: gold[PLANNER]})
-    for state, tables in ((INVENTORY, (VISIBILITY,)), (DEMAND, (FORECAST, SALES)), (DISPATCH, (EXPOSURE,))):
-        total = silver[state].agg(F.count("*").alias("row_count"))
-        names = F.explode(F.array(*map(F.lit, tables))).alias("table_name")
-        single = single.unionAll(total.select(names, "row_count"))
-    counted = serving.decision_counts(gold[PLANNER], gold[FORECAST], gold[EXPOSURE])
-    total = counted.agg(F.coalesce(F.sum("decision_count"), F.lit(0)).alias("row_count"))
-    return single.unionAll(total.select(F.lit(DECISIONS).alias("table_name"), "row_count"))
+    """Rows of each gold table, from one rollup and the lanes: a projection has the rows of
+    its state, and decisions are counted without building the pairs."""
+    bronze = _bronze(spark, folder)
+    rolled = bronze.select(*POSITION).distinct()
+    lanes = bronze.select(*LANE).distinct()
+    offer = F.struct(*OFFER)
+    known = F.col("market_key").isNotNull() & F.col("product_id").isNotNull()
+    counted = rolled.agg(
+        F.count("*").alias(VISIBILITY), F.count_if(known).alias(PLANNER),
+        F.count_distinct(offer).alias(FORECAST), F.count_distinct(offer).alias(SALES),
+    )
+    # every position has as many decisions as its market has lanes, and one without any
+    positions = rolled.where(known).groupBy("market_key").agg(F.count("*").alias("positions"))
+    routes = lanes.groupBy("market_key").agg(F.count("*").alias("lanes"))
+    pairs = F.sum(F.col("positions") * F.coalesce("lanes", F.lit(1)))
+    made = positions.join(routes, "market_key", "left").agg(F.coalesce(pairs, F.lit(0)).alias(DECISIONS))
+    found = [counted, lanes.agg(F.count("*").alias(EXPOSURE)), made]
+    rows = [
+        frame.select(F.inline(F.array(*(F.struct(F.lit(c).alias("table_name"), F.col(c).alias("row_count")) for c in frame.columns))))
+        for frame in found
+    ]
+    return reduce(DataFrame.unionAll, rows)
 
 
 def report_inventory_health(spark: SparkSession, folder: str) -> DataFrame:

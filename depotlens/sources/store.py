@@ -109,10 +109,16 @@ class CatalogStore:
 Store = FolderStore | CatalogStore
 
 
+def on_one_machine(master: str) -> bool:
+    return master == "local" or master.startswith("local[")
+
+
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors can reach: ``spark.checkpoint.dir``, or a folder in the
-    warehouse where the session does not set it."""
+    """The folder all executors can reach: ``spark.checkpoint.dir``. Where one machine is the
+    cluster, a folder in its warehouse will do."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder and not on_one_machine(spark.sparkContext.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors reach")
     return folder or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_working"
 
 

@@ -17,7 +17,7 @@ from depotlens.plans.graph import build_all, parts_name, states_from_parts, upda
 from depotlens.plans.registry import QUERIES
 from depotlens.schema import BRONZE, GOLD, SIGNALS, SILVER, SOURCE, signal_schema
 from depotlens.sources.signals import append_batch, conform_signals, signals_from, stamp_batch
-from depotlens.sources.store import CatalogStore, FolderStore, shared_folder, working_scope, working_store
+from depotlens.sources.store import CatalogStore, FolderStore, on_one_machine, shared_folder, working_scope, working_store
 from depotlens.streaming.ingest import ingest
 
 
@@ -200,6 +200,17 @@ def test_catalog_store_uses_the_session_namespace(spark):
     assert spark.table("other_ops.numbers").count() == 2
 
 
+def test_a_cluster_needs_a_shared_folder(spark):
+    assert [on_one_machine(m) for m in ("local", "local[8]", "local-cluster[3,2,1000]", "yarn", "k8s://x")] == [True, True, False, False, False]
+
+    class Cluster:
+        sparkContext = type("Context", (), {"master": "yarn"})  # noqa: N815
+        conf = type("Conf", (), {"get": staticmethod(lambda key, default=None: default)})
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_folder(Cluster())
+
+
 def test_working_store_lies_in_the_shared_folder(spark):
     folder = shared_folder(spark)
     assert folder == spark.conf.get("spark.checkpoint.dir")
