@@ -1,26 +1,53 @@
 """Shared storage of the operators: written tables that cut lineage, and binary files.
 
-All folders lie below ``spark.checkpoint.dir``, which every executor reaches. A session
-without that setting (tests) uses a folder in its warehouse, which is shared as well."""
+All folders lie below ``spark.checkpoint.dir``, which every executor reaches. Where one machine
+is the cluster and that setting is absent (tests), a folder in the warehouse is used; elsewhere
+it has to be set."""
 
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 
+from depotlens.sources.store import shared_folder
+
+_MADE: ContextVar[list[str] | None] = ContextVar("working_folders", default=None)
+
 
 def fresh_folder(spark: SparkSession, name: str) -> str:
-    """URI of a new shared folder; it is dropped when the driver ends."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_working"
-    path = spark._jvm.org.apache.hadoop.fs.Path(f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}")
+    """URI of a new shared folder; it is dropped at the end of the enclosing
+    :func:`working_folders`, or when the driver ends."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}")
     system = path.getFileSystem(spark._jsc.hadoopConfiguration())
     system.mkdirs(path)
-    system.deleteOnExit(path)
-    return path.makeQualified(system.getUri(), system.getWorkingDirectory()).toString()
+    found = path.makeQualified(system.getUri(), system.getWorkingDirectory()).toString()
+    if _MADE.get() is None:
+        system.deleteOnExit(path)
+    else:
+        _MADE.get().append(found)
+    return found
+
+
+@contextmanager
+def working_folders(spark: SparkSession) -> Iterator[None]:
+    """Drops the folders made inside. Frames that read them must be used up by then."""
+    before = _MADE.set([])
+    try:
+        yield
+    finally:
+        for folder in _MADE.get():
+            drop(spark, folder)
+        _MADE.reset(before)
+
+
+def drop(spark: SparkSession, uri: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(uri)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def stored(frame: DataFrame, folder: str, name: str) -> DataFrame:
@@ -30,11 +57,16 @@ def stored(frame: DataFrame, folder: str, name: str) -> DataFrame:
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
+_SCHEMES = {"s3a": "s3", "s3n": "s3"}
+
+
 def filesystem(uri: str) -> tuple[fs.FileSystem, str]:
-    """File system and path of a URI, from any executor."""
-    if uri.startswith("file:"):
-        return fs.LocalFileSystem(), "/" + uri.removeprefix("file:").lstrip("/")
-    return fs.FileSystem.from_uri(uri)
+    """File system and path of a URI, from any executor. Hadoop's names of object stores
+    are Arrow's own ones; other stores need a file system that Arrow knows."""
+    scheme, _, rest = uri.partition(":")
+    if scheme == "file":
+        return fs.LocalFileSystem(), "/" + rest.lstrip("/")
+    return fs.FileSystem.from_uri(f"{_SCHEMES.get(scheme, scheme)}:{rest}")
 
 
 def put(uri: str, attempt: str, write) -> None:

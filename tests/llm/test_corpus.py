@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import io
 import math
+import os
 import random
 import re
 import zlib
@@ -16,11 +17,11 @@ import tokenizers
 from pyspark.sql import functions as F
 
 from compare import assert_same, connect
-from depotlens.llm import archive, frames, mixing, neardup, packing, tokens, topk
+from depotlens.llm import archive, frames, mixing, neardup, packing, storage, tokens, topk
 from depotlens.llm.components import components
 from depotlens.llm.oracle import ORACLE
 from depotlens.llm.queries import QUERIES, TOKENIZER
-from depotlens.llm.storage import fresh_folder, stored
+from depotlens.llm.storage import fresh_folder, stored, working_folders
 
 SCHEMA = "doc_id bigint, text string, ids string, `key` string, row string, slice string, start string"
 
@@ -530,6 +531,23 @@ def test_pipeline_packs_what_its_stages_keep(spark, data, whole):
     assert all(r.ids_crc32 == zlib.crc32(bytes(r["ids"])) for r in packed)
 
 
+def test_working_folders_are_dropped(spark):
+    with working_folders(spark):
+        folder = fresh_folder(spark, "scope")
+        stored(spark.range(3), folder, "t")
+        with working_folders(spark):
+            inner = fresh_folder(spark, "inner")
+        assert not os.path.exists(inner.removeprefix("file:")) and os.path.exists(folder.removeprefix("file:"))
+    assert not os.path.exists(folder.removeprefix("file:"))
+
+
+def test_uris_of_object_stores():
+    for uri, path in (("file:/a/b", "/a/b"), ("file:///a/b", "/a/b")):
+        assert storage.filesystem(uri)[1] == path
+    system, path = storage.filesystem("s3a://bucket/key?region=eu-west-1")
+    assert system.type_name == "s3" and path == "bucket/key"
+
+
 def test_everything_is_registered():
     import __spark_entry__ as contract
 
