@@ -7,11 +7,12 @@ from pyspark.sql import functions as F
 
 from depotlens.llm import decontaminate, language, neardup, packing, private
 from depotlens.llm.queries import TOKENIZER, table
-from depotlens.llm.storage import fresh_folder, stored
+from depotlens.llm.storage import drop, fresh_folder, stored, working_folders
 
 
 def with_main_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a language, that is with letters; a missing ``lang`` is filled in."""
+    """Documents in a language that the labelled ones know: texts without letters go, and
+    texts that no known language explains. A missing ``lang`` is filled in."""
     return language.main_language(docs)
 
 
@@ -49,9 +50,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``, each written as Parquet and reread by the next."""
+    """All stages over ``documents``, each written as Parquet and reread by the next. What a
+    stage wrote for itself goes at its end, and its result once the next has used it."""
     folder = fresh_folder(spark, "pipeline")
     docs = table(spark, sf_dir, "documents")
     for number, (_, stage) in enumerate(STAGES):
-        docs = stored(stage(spark, docs, sf_dir), folder, f"stage{number}")
+        with working_folders(spark):
+            docs = stored(stage(spark, docs, sf_dir), folder, f"stage{number}")
+        if number:
+            drop(spark, f"{folder}/stage{number - 1}")
     return docs
