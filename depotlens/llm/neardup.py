@@ -249,11 +249,12 @@ def _clusters(classes: DataFrame, folder: str, percent: int) -> DataFrame:
     mine = Window.partitionBy("rep")
     prefix = F.row_number().over(mine.orderBy("n", "token")) <= F.lit(COORDINATES - least + 1) - (F.lit(COORDINATES) - F.col("many"))
     posts = posts.withColumn("many", F.count("*").over(mine)).where(F.col("many") >= least)
-    merged = stored(posts.withColumn("prefix", prefix).where("prefix").select("token", "rep"), folder, "prefixes")
-    lists = merged.groupBy("token").agg(F.count("*").alias("n"), F.min("rep").alias("b"))
-    lists = stored(lists.where("n > 1"), folder, "postings")
-    ties = merged.join(lists.where(F.col("n") > SHORT), "token").where("rep <> b").select(F.col("rep").alias("a"), "b")
-    pairs = matching_pairs(merged.join(lists.where(F.col("n") <= SHORT), "token"), classes, least)
+    # n counts all classes of a value, so a posting of prefixes is no longer than that
+    merged = stored(posts.withColumn("prefix", prefix).where("prefix").select("token", "rep", "n"), folder, "prefixes")
+    long = merged.where(F.col("n") > SHORT)
+    first = long.groupBy("token").agg(F.min("rep").alias("b"))
+    ties = long.join(first, "token").where("rep <> b").select(F.col("rep").alias("a"), "b")
+    pairs = matching_pairs(merged.where(F.col("n") <= SHORT), classes, least)
     tied = components(ties.unionAll(pairs.select("a", "b")), folder, "ties")
     return tied.select(F.col("node").alias("rep"), F.col("root").alias("cluster"))
 
@@ -264,7 +265,9 @@ def candidate_pairs(postings: DataFrame) -> DataFrame:
     listed = postings.groupBy("token").agg(F.sort_array(F.collect_list("rep")).alias("reps"))
     later = lambda k: F.slice("reps", k + 2, SHORT)
     pairs = F.flatten(F.transform("reps", lambda a, k: F.transform(later(k), lambda b: F.struct(a.alias("a"), b.alias("b")))))
-    return listed.select(F.explode(pairs).alias("pair")).select("pair.*").where("a <> b").distinct()
+    found = listed.select(F.explode(pairs).alias("pair")).select("pair.*")
+    # dealt by the smaller one, as the join that follows wants them
+    return found.repartition("a").distinct()
 
 
 def matching_pairs(postings: DataFrame, classes: DataFrame, least: int) -> DataFrame:
