@@ -10,7 +10,7 @@ import re
 from datetime import timedelta
 
 from depotlens.functions.scalars import IDS_PER_MILLISECOND
-from depotlens.plans.registry import AS_OF, ASKED, ASKED_TERMINAL, BATCH_TAG, DRIFTED, LANDING_GAP_MS, RENAMED
+from depotlens.plans.registry import AS_OF, ASKED, ASKED_TERMINAL, BATCH_TAG, DRIFTED, LANDING_GAP_MS, RENAMED, REPLAY_HOURS
 from depotlens.schema import GOLD, KEYS, SOURCE_SYSTEMS
 
 
@@ -287,6 +287,10 @@ ORACLE: dict[str, str] = {
   'BATCH-{BATCH_TAG}-' || CASE WHEN id % 2 = 0 THEN '{_STAMP}' ELSE '{_LATER}' END AS ingest_batch_id,
   TIMESTAMP '{AS_OF}' + to_milliseconds((id % 2) * {LANDING_GAP_MS}) AS record_created_ts
 FROM signals"""
+    ),
+    "replayed_batch": _over(
+        f"""SELECT market_key, TIMESTAMP '{AS_OF}' - to_hours(id % {REPLAY_HOURS}) AS signal_timestamp, COUNT(*) AS row_count
+FROM signals GROUP BY ALL"""
     ),
     "source_lookup": (
         f"SELECT o_orderkey, {_source_case('o_orderkey % 17 - 2')} AS source_system FROM orders"

@@ -23,7 +23,7 @@ from depotlens.schema import BRONZE, GOLD, KEYS, LANE, OFFER, POSITION, SILVER
 from depotlens.sources.clustered import ClusteredTable
 from depotlens.sources.landing import LandingTable
 from depotlens.sources.numbers import Numbers
-from depotlens.sources.signals import append_batch, read_table, signals_from, stamp_batch
+from depotlens.sources.signals import append_batch, read_table, replay_batch, signals_from, stamp_batch
 from depotlens.sources.store import CatalogStore, FolderStore, working_store
 from depotlens.sources.versions import VersionedTables
 from depotlens.streaming.ingest import ingest, ingest_commits
@@ -34,6 +34,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 AS_OF = datetime(2001, 2, 3, 4, 5, 6)
 BATCH_TAG = "orders"
 LANDING_GAP_MS = 1000
+REPLAY_HOURS = 72
 # Market and product of the question about planner decisions, and the market that the
 # drifted copy lacks.
 ASKED = ("MKT-03", "PRD-02")
@@ -86,6 +87,12 @@ def stamped_batch(spark: SparkSession, folder: str) -> DataFrame:
     return halves[0].unionAll(halves[1])
 
 
+def replayed_batch(spark: SparkSession, folder: str) -> DataFrame:
+    """Signals of every market and hour in a batch that is replayed over three days."""
+    replayed = replay_batch(signals_from(spark, folder, BATCH_TAG), _clock(), REPLAY_HOURS)
+    return replayed.groupBy("market_key", "signal_timestamp").agg(F.count("*").alias("row_count"))
+
+
 def source_lookup(spark: SparkSession, folder: str) -> DataFrame:
     """Source system of every order, with indexes beyond both ends of the list."""
     index = F.col("o_orderkey") % 17 - 2
@@ -481,6 +488,7 @@ QUERIES: dict[str, Query] = {
     for query in (
         conform_signals,
         stamped_batch,
+        replayed_batch,
         source_lookup,
         bronze_signals,
         expectation_metrics,

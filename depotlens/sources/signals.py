@@ -124,6 +124,17 @@ def stamp_batch(
     )
 
 
+def replay_batch(signals: DataFrame, until: datetime | Column, hours: int) -> DataFrame:
+    """The signals as if they had come within the last ``hours`` hours before ``until``, one
+    hour after another by their id."""
+    if hours < 1:
+        raise ValueError("hours must be at least 1")
+    moment = until if isinstance(until, Column) else F.lit(until)
+    clock = signals.schema["signal_timestamp"].dataType
+    back = -F.pmod(F.col("id"), F.lit(hours)).cast("int")
+    return signals.withColumn("signal_timestamp", F.timestamp_add("HOUR", back, moment.cast(clock)))
+
+
 def append_batch(signals: DataFrame, store: Store, even_files: bool = True) -> None:
     """Add a batch to the source table. Its files must never be rewritten: a
     stream would take them for new ones and read the same signals again.

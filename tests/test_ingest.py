@@ -16,7 +16,7 @@ from depotlens.operators.states import STATES
 from depotlens.plans.graph import build_all, parts_name, states_from_parts, update, update_states
 from depotlens.plans.registry import QUERIES
 from depotlens.schema import BRONZE, GOLD, SIGNALS, SILVER, SOURCE, signal_schema
-from depotlens.sources.signals import append_batch, conform_signals, signals_from, stamp_batch
+from depotlens.sources.signals import append_batch, conform_signals, replay_batch, signals_from, stamp_batch
 from depotlens.sources.store import CatalogStore, FolderStore, on_one_machine, shared_folder, working_scope, working_store
 from depotlens.streaming.ingest import ingest
 
@@ -157,6 +157,14 @@ def test_stamped_batch(spark):
     assert row.id % 100_000 == 42
 
 
+def test_replayed_batch(spark):
+    moment = datetime(2024, 5, 1, 3, 4, 5)
+    rows = replay_batch(signals(spark, {"id": 0}, {"id": 5}, {"id": 24}, {"id": None}), moment, 24).collect()
+    assert {r.id: r.signal_timestamp for r in rows} == {0: moment, 5: datetime(2024, 4, 30, 22, 4, 5), 24: moment, None: None}
+    with pytest.raises(ValueError, match="hours"):
+        replay_batch(signals(spark, {}), moment, 0)
+
+
 @pytest.mark.parametrize("tag", ["", "  "])
 def test_blank_batch_tag_is_refused(spark, data, tag):
     with pytest.raises(ValueError, match="batch_tag"):
