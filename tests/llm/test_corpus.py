@@ -552,5 +552,5 @@ def test_everything_is_registered():
     import __spark_entry__ as contract
 
     names = contract.queries()
-    assert "pipeline" in names and [n for n in range(1, 11) if not any(q.startswith(f"op{n}_") for q in names)] == []
+    assert "pipeline" in names and [n for n in range(1, 14) if not any(q.startswith(f"op{n}_") for q in names)] == []
     assert set(ORACLE) <= set(contract.oracle_sql()) and set(QUERIES) <= set(names)
