@@ -6,7 +6,7 @@ a likelihood under each language; expectation-maximisation estimates which share
 languages explain the words of a document, and a penalty per language keeps the set of
 languages as small as the words allow. The prediction is the language of largest share. A text
 is foreign if a model that knows no language, in which all buckets are alike, explains its words
-better than its mixture does, by more than that penalty.
+better than its mixture does, by more than that penalty; one word counts for so much at most.
 
 The model is one table in every task. ``train`` refuses more than ``MOST_LANGUAGES`` languages
 before any of it is collected, and the text that a task holds at once shrinks with their number.
@@ -34,6 +34,7 @@ SMOOTHING = 0.5
 ROUNDS = 12
 PENALTY = 2.0
 UNKNOWN = "und"
+FOREIGN_WORD = 4.0  # a single word, such as a long key, speaks no louder against all languages
 MOST_LANGUAGES = 1_000
 PREDICT_BYTES = 2_000_000  # text per run, for up to 16 languages: each word holds a number per language
 
@@ -133,7 +134,7 @@ def explained(texts: pa.Array, model: Model) -> tuple[np.ndarray, np.ndarray]:
     shares[rows] = _selected(evidence, counts[rows])
     starts = np.cumsum(counts[rows]) - counts[rows]
     mixed = np.log((evidence * np.repeat(shares[rows], counts[rows], axis=0)).sum(axis=1, dtype=np.float64))
-    gain = np.add.reduceat(unknown[codes] - mixed, starts)
+    gain = np.add.reduceat(np.minimum(unknown[codes] - mixed, FOREIGN_WORD), starts)
     foreign[rows] = gain > _penalty(counts[rows])
     return shares, foreign
 
