@@ -15,6 +15,7 @@ from dataclasses import dataclass, field, replace
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from depotlens.operators.spread import dealt
 
 # how a part is combined, given its name and the aggregate that merges it
 Combine = Callable[[str, Callable[[str], Column]], Column]
@@ -170,6 +171,41 @@ class Distinct:
     def grain(self) -> tuple[str, ...]:
         return (self.column,)
 
+    @property
+    def dealt_by(self) -> tuple[str, ...]:
+        """Columns that spread a group's rollup over tasks."""
+        return self.grain
+
+    def derived(self) -> dict[str, Column]:
+        """Columns of the rollup's key that signals don't have."""
+        return {}
+
+
+# what a group's values are dealt to
+SHARES = 64
+
+
+@dataclass(frozen=True)
+class SharedDistinct(Distinct):
+    """The same number where groups are as many as rows, or nearly: the values of a group are
+    dealt to shares by their hash, and the counts of the shares add up. A hot group is spread
+    over its shares, and nothing but their counts meets. The rollup must have one row for each
+    group and value, as :func:`rollup` and :func:`merged_parts` make it."""
+
+    @property
+    def grain(self) -> tuple[str, ...]:
+        return (*self.dealt_by, self.column)
+
+    @property
+    def dealt_by(self) -> tuple[str, ...]:
+        return (f"{self.column}__share",)
+
+    def derived(self) -> dict[str, Column]:
+        return {f"{self.column}__share": F.pmod(F.xxhash64(self.column), F.lit(SHARES))}
+
+    def merged(self) -> Column:
+        return F.count(self.column)
+
 
 @dataclass(frozen=True)
 class BitmapDistinct(Distinct):
@@ -193,8 +229,7 @@ class BitmapDistinct(Distinct):
     def grain(self) -> tuple[str, ...]:
         return (f"{self.column}__range",)
 
-    def ranges(self) -> dict[str, Column]:
-        """The column of the rollup's key."""
+    def derived(self) -> dict[str, Column]:
         return {f"{self.column}__range": F.call_function("bitmap_bucket_number", self._number())}
 
 
@@ -213,6 +248,22 @@ class State:
     def from_rollup(self, rolled: DataFrame) -> DataFrame:
         return self._group(rolled, {n: m.merged() for n, m in self.measures.items()})
 
+    def dealt_by(self) -> tuple[str, ...]:
+        """Columns that spread a rollup over tasks so that each group of it is in one."""
+        return self.keys + tuple(c for m in self.measures.values() if isinstance(m, Distinct) for c in m.dealt_by)
+
+    def from_shares(self, rolled: DataFrame, tasks: int) -> DataFrame:
+        """:meth:`from_rollup` of a rollup that is dealt by :meth:`dealt_by`, for groups that grow
+        with the data: each share of a group becomes a row where it is, and ``tasks`` tasks
+        merge those rows."""
+        counts = {n: m for n, m in self.measures.items() if isinstance(m, Distinct)}
+        others = {n: m for n, m in self.measures.items() if n not in counts}
+        parts = {part: _merge(m, part) for m in others.values() for part in m.parts()}
+        parts |= {f"{n}__counted": m.merged() for n, m in counts.items()}
+        shares = rolled.groupBy(*self.dealt_by()).agg(*[c.alias(n) for n, c in parts.items()])
+        whole = {n: F.sum(f"{n}__counted") if n in counts else m.merged() for n, m in self.measures.items()}
+        return self._group(dealt(shares, tasks, *self.keys), whole)
+
     def beside(self) -> dict[str, Column]:
         """The measures as window values over a rollup of finer groups, so that each of its
         rows has those of its group of this state without a join."""
@@ -233,33 +284,47 @@ class State:
         found = {n: BitmapDistinct(m.column) if isinstance(m, Distinct) else m for n, m in self.measures.items()}
         return replace(self, measures=found)
 
+    def by_shares(self) -> State:
+        """The same state with distinct counts from shares, for :meth:`from_shares`."""
+        found = {n: SharedDistinct(m.column) if isinstance(m, Distinct) else m for n, m in self.measures.items()}
+        return replace(self, measures=found)
+
     def _group(self, frame: DataFrame, columns: dict[str, Column]) -> DataFrame:
         grouped = frame.groupBy(*self.keys).agg(*[c.alias(n) for n, c in columns.items()])
         return grouped.withColumns({n: build() for n, build in self.derived.items()})
 
 
-def rollup(signals: DataFrame, states: Iterable[State]) -> DataFrame:
-    """One row per finest group with the parts that ``states`` can be merged from."""
+def rollup(signals: DataFrame, states: Iterable[State], tasks: int = 0) -> DataFrame:
+    """One row per finest group with the parts that ``states`` can be merged from.
+
+    Where groups are as many as rows, or nearly, map-side aggregation is of no use: ``tasks``
+    deals the rows to so many tasks first, see :func:`spread.dealt`."""
     grain: dict[str, None] = {}
+    keys: dict[str, None] = {}
     parts: dict[str, Column] = {}
     for state in states:
         grain.update(dict.fromkeys(state.grain()))
+        keys.update(dict.fromkeys(state.dealt_by()))
         for measure in state.measures.values():
             parts.update(measure.parts())
-            if isinstance(measure, BitmapDistinct):
-                signals = signals.withColumns(measure.ranges())
+            if isinstance(measure, Distinct):
+                signals = signals.withColumns(measure.derived())
+    signals = dealt(signals, tasks, *keys)
     return signals.groupBy(*grain).agg(*[c.alias(n) for n, c in parts.items()])
 
 
-def merged_parts(rolled: DataFrame, states: Iterable[State]) -> DataFrame:
-    """Several rollups, one after another in ``rolled``, as one of the same columns."""
+def merged_parts(rolled: DataFrame, states: Iterable[State], tasks: int = 0) -> DataFrame:
+    """Several rollups, one after another in ``rolled``, as one of the same columns. ``tasks``
+    is that of :func:`rollup`; rollups that are dealt alike stay where they are without it."""
     grain: dict[str, None] = {}
+    keys: dict[str, None] = {}
     parts: dict[str, Column] = {}
     for state in states:
         grain.update(dict.fromkeys(state.grain()))
+        keys.update(dict.fromkeys(state.dealt_by()))
         for measure in state.measures.values():
             parts.update({n: _merge(measure, n) for n in measure.parts()})
-    return rolled.groupBy(*grain).agg(*[c.alias(n) for n, c in parts.items()])
+    return dealt(rolled, tasks, *keys).groupBy(*grain).agg(*[c.alias(n) for n, c in parts.items()])
 
 
 def _merge(measure: Mean | Peak | Hits | Distinct, part: str) -> Column:

@@ -23,7 +23,7 @@ from depotlens.schema import BRONZE, GOLD, KEYS, LANE, OFFER, POSITION, SILVER
 from depotlens.sources.clustered import ClusteredTable
 from depotlens.sources.landing import LandingTable
 from depotlens.sources.numbers import Numbers
-from depotlens.sources.signals import append_batch, read_table, replay_batch, signals_from, stamp_batch
+from depotlens.sources.signals import append_batch, line_tasks, read_table, replay_batch, signals_from, stamp_batch
 from depotlens.sources.store import CatalogStore, FolderStore, working_store
 from depotlens.sources.versions import VersionedTables
 from depotlens.streaming.ingest import ingest, ingest_commits
@@ -224,29 +224,26 @@ def dispatch_context_wide(spark: SparkSession, folder: str) -> DataFrame:
     return _states(spark, folder, DISPATCH, wide=True)[DISPATCH]
 
 
-def _priced_states(spark: SparkSession, folder: str, merged: bool = False, wide: bool = False) -> dict[str, DataFrame]:
-    """Exact states of signals that carry the lines' prices; ``merged`` from the rollups
-    of three parts of the signals, dealt by a hash."""
-    bronze = expect_or_drop(signals_from(spark, folder, BATCH_TAG, wide, priced=True))
-    plans: dict[str, DataFrame] = {}
-    for family in families(states.EXACT_STATES):
-        share = F.pmod(F.xxhash64("id", "signal_timestamp"), F.lit(3))
-        rolled = [rollup(bronze.where(share == k), family.values()) for k in range(3)] if merged else []
-        for name, state in family.items():
-            whole = reduce(DataFrame.unionAll, rolled) if merged else bronze
-            plans[name] = state.from_rollup(merged_parts(whole, family.values())) if merged else state.from_signals(whole)
-    return plans
+def _priced(spark: SparkSession, folder: str, wide: bool = False) -> DataFrame:
+    return expect_or_drop(signals_from(spark, folder, BATCH_TAG, wide, priced=True))
 
 
 def exact_planner(spark: SparkSession, folder: str) -> DataFrame:
     """Inventory positions with averages of prices, the same bits in any order of rows."""
-    silver = _priced_states(spark, folder)
+    bronze = _priced(spark, folder)
+    silver = {name: states.EXACT_STATES[name].from_signals(bronze) for name in (INVENTORY, DEMAND)}
     return serving.planner_explainability(silver[INVENTORY], silver[DEMAND])
 
 
 def exact_dispatch(spark: SparkSession, folder: str) -> DataFrame:
-    """Lanes of every supplier from merged parts, with averages of prices."""
-    return _priced_states(spark, folder, merged=True, wide=True)[DISPATCH]
+    """Lanes of every supplier from merged parts, with averages of prices: the rollups of
+    three parts of the signals, dealt by a hash."""
+    bronze, tasks = _priced(spark, folder, wide=True), line_tasks(spark, folder)
+    dispatch = states.EXACT_STATES[DISPATCH].by_shares()
+    part = F.pmod(F.xxhash64("id", "signal_timestamp"), F.lit(3))
+    rolled = [rollup(bronze.where(part == k), [dispatch], tasks) for k in range(3)]
+    merged = merged_parts(reduce(DataFrame.unionAll, rolled), [dispatch])
+    return dispatch.from_shares(merged, tasks)
 
 
 # gold tables

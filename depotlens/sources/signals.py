@@ -8,8 +8,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from depotlens.functions.scalars import padded_code, source_name, time_ordered_id, time_stamp
+from depotlens.operators.spread import dealt
 from depotlens.schema import SIGNALS, SOURCE
-from depotlens.sources.store import Store
+from depotlens.sources.store import Store, stored_bytes
 
 
 # Columns of the order tables that signals are made of; a typed read needs no look at the files.
@@ -28,6 +29,15 @@ def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.schema(ORDER_TABLES[name]).parquet(f"{folder}/{name}.parquet")
 
 
+# Of the stored lines, for each task that works on rows in proportion to them.
+BYTES_PER_TASK = 4 << 20
+
+
+def line_tasks(spark: SparkSession, folder: str) -> int:
+    """Tasks that keep each at some 300,000 order lines, from the size of their files."""
+    return -(-stored_bytes(spark, f"{folder}/lineitem.parquet") // BYTES_PER_TASK)
+
+
 # Batches land at least a minute apart, which leaves a batch room for 6 billion ids.
 BATCH_SPAN_MS = 60_000
 
@@ -39,6 +49,7 @@ def conform_signals(
     batch_tag: str = "orders",
     wide: bool = False,
     priced: bool = False,
+    tasks: int = 0,
 ) -> DataFrame:
     """One signal per order line. With ``wide`` every supplier is a terminal and every
     customer a location, so that the groups grow with the data. With ``priced`` the
@@ -46,11 +57,14 @@ def conform_signals(
 
     Orders meet customers first, as that side is narrow and has one row per order;
     the large line table is then shuffled once. Orders and lines grow together, so
-    neither is worth a broadcast: the merge join spills, and its skew is split."""
+    neither is worth a broadcast: the merge join spills, and its skew is split. Where
+    ``tasks`` are more than a shuffle of the session has, both sides are dealt to so many
+    tasks, so that what a task sorts doesn't grow with the data; an order is then one task's."""
     tag = _checked_tag(batch_tag)
     buyers = customer.select(F.col("c_custkey").alias("o_custkey"), "c_nationkey")
     placed = orders.select("o_orderkey", "o_custkey", "o_orderdate").join(buyers, "o_custkey")
-    lines = lineitem.join(placed.hint("merge"), F.col("l_orderkey") == F.col("o_orderkey"))
+    placed = dealt(placed, tasks, "o_orderkey")
+    lines = dealt(lineitem, tasks, "l_orderkey").join(placed.hint("merge"), F.col("l_orderkey") == F.col("o_orderkey"))
 
     order, line = F.col("l_orderkey"), F.col("l_linenumber")
     part, supplier, nation = F.col("l_partkey"), F.col("l_suppkey"), F.col("c_nationkey")
@@ -99,7 +113,7 @@ def signals_from(
     spark: SparkSession, folder: str, batch_tag: str = "orders", wide: bool = False, priced: bool = False
 ) -> DataFrame:
     tables = (read_table(spark, folder, name) for name in ORDER_TABLES)
-    return conform_signals(*tables, batch_tag=batch_tag, wide=wide, priced=priced)
+    return conform_signals(*tables, batch_tag=batch_tag, wide=wide, priced=priced, tasks=line_tasks(spark, folder))
 
 
 def stamp_batch(
