@@ -15,7 +15,7 @@ from dataclasses import dataclass, field, replace
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from depotlens.operators.spread import dealt
+from depotlens.operators.spread import dealt, exceeds
 
 # how a part is combined, given its name and the aggregate that merges it
 Combine = Callable[[str, Callable[[str], Column]], Column]
@@ -245,6 +245,13 @@ class State:
     def from_signals(self, signals: DataFrame) -> DataFrame:
         return self._group(signals, {n: m.direct() for n, m in self.measures.items()})
 
+    def from_many(self, signals: DataFrame, tasks: int) -> DataFrame:
+        """:meth:`from_signals` for groups that grow with the data, in ``tasks`` tasks."""
+        shared = self.by_shares()
+        if shared == self:
+            return self.from_signals(dealt(signals, tasks, *self.keys))
+        return shared.from_shares(rollup(signals, [shared], tasks), tasks)
+
     def from_rollup(self, rolled: DataFrame) -> DataFrame:
         return self._group(rolled, {n: m.merged() for n, m in self.measures.items()})
 
@@ -257,6 +264,8 @@ class State:
         with the data: each share of a group becomes a row where it is, and ``tasks`` tasks
         merge those rows."""
         counts = {n: m for n, m in self.measures.items() if isinstance(m, Distinct)}
+        if not counts or not exceeds(rolled, tasks):
+            return self.from_rollup(rolled)
         others = {n: m for n, m in self.measures.items() if n not in counts}
         parts = {part: _merge(m, part) for m in others.values() for part in m.parts()}
         parts |= {f"{n}__counted": m.merged() for n, m in counts.items()}

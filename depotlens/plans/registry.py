@@ -55,7 +55,15 @@ def _bronze(spark: SparkSession, folder: str) -> DataFrame:
 
 def _states(spark: SparkSession, folder: str, *names: str, wide: bool = False) -> dict[str, DataFrame]:
     bronze = expect_or_drop(signals_from(spark, folder, BATCH_TAG, wide))
-    return {name: states.STATES[name].from_signals(bronze) for name in names or SILVER}
+    found = {name: states.STATES[name] for name in names or SILVER}
+    if not wide:
+        return {name: state.from_signals(bronze) for name, state in found.items()}
+    tasks = line_tasks(spark, folder)
+    # lanes and positions are as many as the suppliers allow, offers are not
+    return {
+        name: state.from_many(bronze, tasks) if "terminal_id" in state.keys else state.from_signals(bronze)
+        for name, state in found.items()
+    }
 
 
 # sources and quality

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from rows import as_set, signals
 
 from depotlens.operators.measures import merged_parts, rollup
+from depotlens.operators.quality import expect_or_drop
 from depotlens.operators.states import DISPATCH, EXACT_STATES
 from depotlens.plans.registry import QUERIES, _priced
 from depotlens.sources import signals as module
@@ -61,3 +62,10 @@ def test_shares_count_hot_lanes_nulls_and_repeats(spark, tasks):
     if tasks:  # the values of a hot lane are spread
         sizes = [r["count"] for r in rolled.groupBy(F.spark_partition_id()).count().collect()]
         assert len(sizes) == tasks and max(sizes) < 250
+
+
+def test_lanes_of_dispatch_context_wide(spark, data, many_tasks):
+    found = QUERIES["dispatch_context_wide"](spark, data)
+    assert dealt_to(found) == {"REPARTITION_BY_NUM": {many_tasks}, "ENSURE_REQUIREMENTS": set()}
+    bronze = expect_or_drop(module.signals_from(spark, data, wide=True))
+    assert as_set(found) == as_set(DISPATCH.from_signals(bronze))
