@@ -13,6 +13,7 @@ from depotlens.functions.rules import DEFAULT, Limits
 from depotlens.functions.scalars import first_match
 from depotlens.operators.fanout import PAIRS_PER_BLOCK, block_tasks, fan_out_join
 from depotlens.operators.measures import State
+from depotlens.operators.spread import dealt
 from depotlens.schema import OFFER
 
 
@@ -63,12 +64,15 @@ def planner_explainability(
     return _explained(inventory.drop("weather_index_avg").join(drivers, list(OFFER), "inner"), limits)
 
 
-def positions_from_rollup(rolled: DataFrame, inventory: State, demand: State, limits: Limits = DEFAULT) -> DataFrame:
+def positions_from_rollup(
+    rolled: DataFrame, inventory: State, demand: State, limits: Limits = DEFAULT, tasks: int = 0
+) -> DataFrame:
     """Planner rows with their forecast, as :func:`planner_explainability` and
     :func:`forecast_positions` give them, from one rollup to the positions. The demand
     picture of an offer is a window over its positions, so the signals are read once and
-    nothing is joined."""
-    known = rolled.where(" AND ".join(f"{key} IS NOT NULL" for key in OFFER))
+    nothing is joined. Where positions grow with the data, their offers are dealt to ``tasks``
+    tasks; an offer is one task's."""
+    known = dealt(rolled.where(" AND ".join(f"{key} IS NOT NULL" for key in OFFER)), tasks, *OFFER)
     drivers = known.withColumns(demand.beside()).withColumns({n: build() for n, build in demand.derived.items()})
     shared = ("baseline_demand_units", "weather_index_avg", "price_spread", "planner_override_count")
     values = {n: c for n, c in inventory.of_row().items() if n not in shared}

@@ -293,9 +293,11 @@ def _positions(spark: SparkSession, folder: str, wide: bool = False) -> tuple[Da
     """Planner rows with their forecast and lanes with their risk, each from one pass over
     the signals."""
     bronze = expect_or_drop(signals_from(spark, folder, BATCH_TAG, wide))
-    rolled = rollup(bronze, [states.INVENTORY, states.DEMAND])
-    positions = serving.positions_from_rollup(rolled, states.INVENTORY, states.DEMAND)
-    return positions, serving.dispatch_exposure(states.dispatch_context(bronze))
+    tasks = line_tasks(spark, folder) if wide else 0  # few groups are aggregated before they are shuffled
+    rolled = rollup(bronze, [states.INVENTORY, states.DEMAND], tasks)
+    positions = serving.positions_from_rollup(rolled, states.INVENTORY, states.DEMAND, tasks=tasks)
+    lanes = states.DISPATCH.from_many(bronze, tasks) if wide else states.dispatch_context(bronze)
+    return positions, serving.dispatch_exposure(lanes)
 
 
 def decisions(spark: SparkSession, folder: str) -> DataFrame:

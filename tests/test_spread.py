@@ -12,7 +12,9 @@ from rows import as_set, signals
 from depotlens.operators.measures import merged_parts, rollup
 from depotlens.operators.quality import expect_or_drop
 from depotlens.operators.states import DISPATCH, EXACT_STATES
-from depotlens.plans.registry import QUERIES, _priced
+from depotlens.operators.serving import decision_counts
+from depotlens.plans.registry import QUERIES, _decision_inputs, _priced
+from depotlens.plans.reports import ranked_summary
 from depotlens.sources import signals as module
 
 
@@ -69,3 +71,22 @@ def test_lanes_of_dispatch_context_wide(spark, data, many_tasks):
     assert dealt_to(found) == {"REPARTITION_BY_NUM": {many_tasks}, "ENSURE_REQUIREMENTS": set()}
     bronze = expect_or_drop(module.signals_from(spark, data, wide=True))
     assert as_set(found) == as_set(DISPATCH.from_signals(bronze))
+
+
+def test_positions_and_lanes_of_decision_summary_wide(spark, data, many_tasks):
+    found = QUERIES["decision_summary_wide"](spark, data)
+    numbers = dealt_to(found)
+    # what is left to the session are counts by market and flags
+    assert numbers["REPARTITION_BY_NUM"] == {many_tasks} and numbers["ENSURE_REQUIREMENTS"] <= {4}
+    text = found._jdf.queryExecution().executedPlan().toString()
+    left = re.findall(r"hashpartitioning\(([^\n]*), \d+\), ENSURE", text)
+    assert not any(key in keys for keys in left for key in ("l_orderkey", "terminal_id", "product_id", "route_id"))
+    counts = {tuple(r) for r in found.collect()}
+    inputs = _decision_inputs(spark, data, wide=True)
+    assert counts == {tuple(r) for r in ranked_summary(decision_counts(*inputs)).collect()}
+
+
+def test_narrow_groups_are_aggregated_before_they_are_shuffled(spark, data, many_tasks):
+    """Hot groups stay spread: only the lines and their orders are dealt by number."""
+    text = QUERIES["decision_summary"](spark, data)._jdf.queryExecution().executedPlan().toString()
+    assert {k.split("#")[0] for k in re.findall(r"hashpartitioning\(([^\n]*), \d+\), REPARTITION_BY_NUM", text)} == {"l_orderkey", "o_orderkey"}
