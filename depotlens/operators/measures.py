@@ -210,27 +210,27 @@ class SharedDistinct(Distinct):
 @dataclass(frozen=True)
 class BitmapDistinct(Distinct):
     """The same number from bitmaps of numbered values (``<column>__number``, see
-    ``sources.numbers``). A rollup has a row per group and range of 32,768 numbers instead of
-    one per group and value, so its size is bounded by the ranges. :func:`merged_parts`
-    must have made one row of each before the state is taken from it."""
+    ``sources.numbers``). A rollup has a row per group and range of 64 numbers instead of one
+    per group and value. A bitmap is one integer: a group of few values takes as little as
+    they do, and hash aggregation updates it in place. :func:`merged_parts` must have made
+    one row of each before the state is taken from it."""
 
     def _number(self) -> Column:
         return F.col(f"{self.column}__number")
 
     def parts(self) -> dict[str, Column]:
-        return {f"{self.column}__bits": F.call_function("bitmap_construct_agg", F.call_function("bitmap_bit_position", self._number()))}
+        place = self._number().bitwiseAND(F.lit(63)).cast("int")
+        return {f"{self.column}__bits": F.bit_or(F.call_function("shiftleft", F.lit(1).cast("bigint"), place))}
 
     def merged(self) -> Column:
-        counted = F.call_function("bitmap_count", F.col(f"{self.column}__bits"))
-        in_range = F.col(f"{self.column}__range").isNotNull()
-        return F.coalesce(F.sum(F.when(in_range, counted)), F.lit(0))
+        return F.coalesce(F.sum(F.bit_count(f"{self.column}__bits").cast("bigint")), F.lit(0))
 
     @property
     def grain(self) -> tuple[str, ...]:
-        return (f"{self.column}__range",)
+        return (f"{self.column}__word",)
 
     def derived(self) -> dict[str, Column]:
-        return {f"{self.column}__range": F.call_function("bitmap_bucket_number", self._number())}
+        return {f"{self.column}__word": F.shiftright(self._number(), 6)}
 
 
 @dataclass(frozen=True)
@@ -339,7 +339,7 @@ def merged_parts(rolled: DataFrame, states: Iterable[State], tasks: int = 0) ->
 def _merge(measure: Mean | Peak | Hits | Distinct, part: str) -> Column:
     if isinstance(measure, Peak):
         return F.max(part)
-    return F.call_function("bitmap_or_agg", F.col(part)) if isinstance(measure, BitmapDistinct) else F.sum(part)
+    return F.bit_or(part) if isinstance(measure, BitmapDistinct) else F.sum(part)
 
 
 def families(states: Mapping[str, State]) -> list[dict[str, State]]:

@@ -194,14 +194,15 @@ def stream_repeated_landing(spark: SparkSession, folder: str) -> DataFrame:
 def incremental_dispatch_wide(spark: SparkSession, folder: str) -> DataFrame:
     """Lanes of every supplier after two batches, from parts that keep the locations served
     as bitmaps of numbered locations."""
+    tasks = line_tasks(spark, folder)
     store = FolderStore(spark, working_store(spark).path("parts"))
     dispatch = states.DISPATCH.exactly().by_bitmaps()
     parts = graph.family_parts(store, {DISPATCH: dispatch})
     locations = Numbers(store, "retail_location_id")
     bronze = expect_or_drop(signals_from(spark, folder, BATCH_TAG, wide=True))
     for number, batch in enumerate(_landings(bronze)):
-        parts.add(number, rollup(locations.numbered(number, batch), [dispatch]))
-    return dispatch.from_rollup(merged_parts(parts.read(), [dispatch]))
+        parts.add(number, rollup(locations.numbered(number, batch), [dispatch], tasks))
+    return dispatch.from_shares(merged_parts(parts.read(), [dispatch], tasks), tasks)
 
 
 def raw_signals_by_source(spark: SparkSession, folder: str) -> DataFrame:

@@ -90,3 +90,27 @@ def test_narrow_groups_are_aggregated_before_they_are_shuffled(spark, data, many
     """Hot groups stay spread: only the lines and their orders are dealt by number."""
     text = QUERIES["decision_summary"](spark, data)._jdf.queryExecution().executedPlan().toString()
     assert {k.split("#")[0] for k in re.findall(r"hashpartitioning\(([^\n]*), \d+\), REPARTITION_BY_NUM", text)} == {"l_orderkey", "o_orderkey"}
+
+
+def test_lanes_of_incremental_dispatch_wide(spark, data, many_tasks):
+    found = QUERIES["incremental_dispatch_wide"](spark, data)
+    assert dealt_to(found) == {"REPARTITION_BY_NUM": {many_tasks}, "ENSURE_REQUIREMENTS": set()}
+    bronze = expect_or_drop(module.signals_from(spark, data, wide=True))
+    assert as_set(found) == as_set(DISPATCH.exactly().from_signals(bronze))
+
+
+def test_a_bitmap_takes_as_little_as_its_values(spark):
+    """Bitmaps are integers that aggregates update in place, so lanes of one location each
+    take no more than rows of them."""
+    state = DISPATCH.by_bitmaps()
+    rows = signals(spark, *({"id": k, "route_id": f"R{k % 9}"} for k in range(60)))
+    numbered = rows.withColumn("retail_location_id__number", F.when(F.col("id") % 10 > 0, F.col("id") * 3 + (1 << 46)))
+    rolled = rollup(numbered, [state])
+    merged = merged_parts(rolled.unionAll(rolled), [state], 7)
+    for one in (rolled, merged):
+        assert dict(one.dtypes)["retail_location_id__bits"] == "bigint"
+        assert "SortAggregate" not in one._jdf.queryExecution().executedPlan().toString()
+    assert merged.count() == rolled.count() <= 9 * (3 + 1)
+    wanted = numbered.groupBy("route_id").agg(F.count_distinct("retail_location_id__number").alias("n"))
+    for found in (state.from_rollup(merged), state.from_shares(merged, 7)):
+        assert as_set(found.select("route_id", "served_location_count")) == as_set(wanted)
