@@ -28,11 +28,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from depotlens.schema import SIGNALS
+from depotlens.sources.store import stored_bytes
 
 APPEND, REWRITE = "append", "rewrite"
 # kind of a commit, its folder and rows; of a rewrite also the last commit whose rows it holds
 COMMIT = "commit bigint, operation string, landing string, through bigint, sources array<string>, row_count bigint"
 LANDING = "landing_id"
+# a rewrite makes files of at least so many bytes
+FILE_BYTES = 32 << 20
 LEDGER = f"{LANDING} string, batch_id string, row_count bigint"
 
 
@@ -196,9 +199,11 @@ class LandingTable:
     # upkeep
 
     def rewrite(self) -> int | None:
-        """Write all visible rows into evenly sized files, for one shuffle of them. Readers
-        and streams get the same rows as before; the files that are no longer needed stay
-        until :meth:`drop_rewritten`. None if another writer came first."""
+        """Write all visible rows into evenly sized files, without a shuffle: the scan splits
+        large files and packs small ones, and each task writes one. The rows of a landed file
+        stay together, so few row groups hold a landing. Readers and streams get the same
+        rows as before; the files that are no longer needed stay until :meth:`drop_rewritten`.
+        None if another writer came first."""
         last = self._last()
         if not last:
             return None
@@ -211,7 +216,8 @@ class LandingTable:
         if rewritten:
             folders.append(self.path("data", rewritten["landing"]))
         target, counted = uuid.uuid4().hex, Observation()
-        rows = self._rows(*folders).hint("rebalance", LANDING).sortWithinPartitions(LANDING)
+        files = -(-sum(stored_bytes(self.spark, folder) for folder in folders) // FILE_BYTES)
+        rows = self._rows(*folders).coalesce(max(1, files))
         rows.observe(counted, F.count("*").alias("rows")).write.parquet(self.path("data", target))
         entry = {"operation": REWRITE, "landing": target, "through": max(r["commit"] for r in appends), "row_count": counted.get["rows"]}
         if self._commit(last["commit"] + 1, **entry):

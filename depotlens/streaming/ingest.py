@@ -90,7 +90,9 @@ def ingest_commits(
     landed files is no new data, and landings may be rewritten before they are streamed.
 
     Each landing reaches bronze once, whatever is repeated: bronze records which landings
-    its commits hold, in the commit itself. A lost checkpoint costs a look at the log."""
+    its commits hold, in the commit itself. A lost checkpoint costs a look at the log. The
+    tasks that read landed files write those of bronze, without a shuffle; its upkeep is
+    :meth:`LandingTable.rewrite`."""
     done: list[tuple[int, dict[str, int]]] = []
     bronze.create()
 
@@ -102,7 +104,7 @@ def ingest_commits(
             return
         counted = Observation()
         rows = expect_or_drop(landing.rows_of(fresh), expectations, counted)
-        bronze.land(rows, sources=[c["landing"] for c in fresh])
+        bronze.land(rows, sources=[c["landing"] for c in fresh], even_files=False)
         done.append((sum(c["row_count"] for c in fresh), dict(counted.get)))
 
     writer = (
