@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from depotlens.llm.storage import file_size, fresh_folder, put, read_range, stored
-from depotlens.llm.words import LETTERED, coded, column_of, flat_bytes, hashes, mixed, slices, split_words, spread, strings as as_strings
+from depotlens.llm.words import LETTERED, coded, column_of, flat_bytes, hashes, mixed, released, slices, split_words, spread, strings as as_strings
 
 WINDOW = 10
 BLOCK_WINDOWS = 500_000
@@ -257,6 +257,7 @@ def search(
     )
     for number, block in enumerate(blocks):
 
+        @released
         def run(batches: Iterator[pa.RecordBatch], block=block) -> Iterator[pa.RecordBatch]:
             asked = None
             for batch in batches:

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from depotlens.llm.words import byte_table, coded, column_of, flat_bytes, slices, split_words, spread
+from depotlens.llm.words import byte_table, coded, column_of, flat_bytes, released, slices, split_words, spread
 
 BUCKETS = 1 << 15
 SMOOTHING = 0.5
@@ -61,6 +61,7 @@ def grams(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return (mixed >> np.uint32(17)).astype(np.int64) % BUCKETS, bounds
 
 
+@released
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     totals: dict[str, np.ndarray] = {}
     for batch in batches:
@@ -189,6 +190,7 @@ def predict(documents: DataFrame, model: Model) -> DataFrame:
     letters = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
     rows = documents.select(F.struct("*").alias("row"), letters.alias("letters"))
 
+    @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "row.text", most):

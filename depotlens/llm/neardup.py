@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 
 from depotlens.llm.components import components
 from depotlens.llm.storage import fresh_folder, stored
-from depotlens.llm.words import SPACED, coded, hashes, mixed, slices, split_words, unused
+from depotlens.llm.words import SPACED, coded, hashes, mixed, released, slices, split_words, unused
 
 SHINGLE = 5
 PERCENT = 85
@@ -100,6 +100,7 @@ def _set_keys(sets: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndar
     return tuple((total[ends] - total[ends - counts]).view(np.int64) for total in before)
 
 
+@released
 def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for part in slices(batch):

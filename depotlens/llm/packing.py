@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from depotlens.llm.storage import fresh_folder, stored
 from depotlens.llm.tokens import END_ID, encoded
-from depotlens.llm.words import spread
+from depotlens.llm.words import released, spread
 
 CAPACITY = 2048
 CLASS_WIDTH = 16
@@ -196,6 +196,7 @@ def plan(sizes: DataFrame, group_documents: int = GROUP_DOCUMENTS) -> DataFrame:
     return rows.groupBy("pack").applyInArrow(run, f"key bigint, pieces {PIECES}")
 
 
+@released
 def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for first in range(0, batch.num_rows, 512):

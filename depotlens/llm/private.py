@@ -21,7 +21,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
-from depotlens.llm.words import slices
+from depotlens.llm.words import released, slices
 
 KINDS = ("email", "ip", "card", "phone")
 Span = tuple[int, int, str]
@@ -203,6 +203,7 @@ def redacted_text(text: str, spans: list[Span]) -> str:
 def report(documents: DataFrame) -> DataFrame:
     """Plain and all spans of every document."""
 
+    @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch):
@@ -223,6 +224,7 @@ def redacted(documents: DataFrame) -> DataFrame:
     is one, counted anew. Null texts stay null."""
     names = documents.columns
 
+    @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch):

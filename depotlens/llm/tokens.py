@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from tokenizers import Tokenizer
 
-from depotlens.llm.words import coded, flat_bytes, slices, spread, strings
+from depotlens.llm.words import coded, flat_bytes, released, slices, spread, strings
 
 END_ID = 1
 KNOWN_WORDS = 400_000
@@ -207,6 +207,7 @@ def encoded(documents: DataFrame, path: str, end_id: int = END_ID) -> DataFrame:
     and the end id, of two bytes each where the vocabulary allows, else four."""
     columns = [c for c in documents.columns if c != "text"]
 
+    @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = encoder(path)
         width = np.dtype("<u2" if words.vocabulary <= 1 << 16 else "<u4")
